@@ -59,8 +59,9 @@ def ratio(num: Column, den: Column) -> Column:
 
 
 def pct(num: Column, den: Column) -> Column:
-    """100 * num / den, NULL on a zero denominator."""
-    return F.try_divide(num.cast("double") * F.lit(100.0), den.cast("double"))
+    """(num / den) * 100 in that order (the order decides exact-boundary tests);
+    NULL on a zero denominator."""
+    return F.try_divide(num.cast("double"), den.cast("double")) * F.lit(100.0)
 
 
 def is_missing_count(c: str) -> Column:

@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.columns import DEFAULT_COLUMNS as C
-from tidemark.operators import batches, profile
+from pyspark.sql import functions as F
+
+from tidemark.columns import data_columns
+from tidemark.operators import batches, clean, profile
 from tidemark.sources.tables import transactions
 
 BATCH_SIZE = 2000
@@ -41,12 +44,58 @@ def q_missing_per_column(spark, sf_dir):
     return profile.missing_per_column(batched(spark, sf_dir), C)
 
 
+def q_dedupe(spark, sf_dir):
+    return clean.dedupe(batched(spark, sf_dir), C)
+
+
+def q_sparse_columns(spark, sf_dir):
+    raw = batched(spark, sf_dir)
+    data = data_columns(raw, C)
+    miss = profile.missing_per_column(raw, C)
+    rows = clean.dedupe(raw, C).groupBy(C.batch).agg(F.count(F.lit(1)).cast("long").alias("rows_after_dedupe"))
+    share = F.try_divide(F.col("missing_count").cast("double"), F.col("rows_after_dedupe")) * 100.0
+    return miss.join(rows, C.batch).select(
+        C.batch, "column_name", "missing_count", "rows_after_dedupe",
+        F.round(share, 4).alias("missing_pct"),
+        F.coalesce(share > clean.DEFAULT_MAX_MISSING_PCT, F.lit(False)).alias("dropped"),
+    )
+
+
+def q_fill_missing(spark, sf_dir):
+    raw = batched(spark, sf_dir)
+    deduped = clean.dedupe(raw, C)
+    return clean.fill_and_filter(deduped, clean.clean_params(raw, deduped, C), C, filter_invalid=False)
+
+
+def q_invalid_rows(spark, sf_dir):
+    return clean.invalid_rows(batched(spark, sf_dir), C)
+
+
+def cleaned(spark, sf_dir):
+    return clean.clean(batched(spark, sf_dir), C)
+
+
+def q_clean(spark, sf_dir):
+    return cleaned(spark, sf_dir).data
+
+
+def q_clean_audit(spark, sf_dir):
+    raw = batched(spark, sf_dir)
+    return clean.clean_audit(raw, clean.clean(raw, C), C)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_batches": q_assign_batches,
     "batch_meta": q_batch_meta,
     "quality_report": q_quality_report,
     "quality_gate": q_quality_gate,
     "missing_per_column": q_missing_per_column,
+    "dedupe": q_dedupe,
+    "sparse_columns": q_sparse_columns,
+    "fill_missing": q_fill_missing,
+    "invalid_rows": q_invalid_rows,
+    "clean": q_clean,
+    "clean_audit": q_clean_audit,
 }
 
 

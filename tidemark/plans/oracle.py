@@ -79,7 +79,7 @@ agg AS (
          CAST(count(DISTINCT State) AS BIGINT) AS unique_states
   FROM batched GROUP BY batch_index)
 SELECT a.batch_index, n_rows, n_cols, date_min, date_max, missing_total,
-       round(CAST(missing_total AS DOUBLE) * 100.0 / (n_rows * n_cols), 2) AS missing_pct,
+       round(CAST(missing_total AS DOUBLE) / (n_rows * n_cols) * 100.0, 2) AS missing_pct,
        CAST(coalesce(d.duplicates, 0) AS BIGINT) AS duplicates, fraud_count, fraud_rate,
        amount_mean, amount_std, balance_mean, tt_v AS top_transaction_type, dv_v AS top_device_type, unique_states
 FROM agg a LEFT JOIN dup d USING (batch_index) LEFT JOIN tt USING (batch_index) LEFT JOIN dv USING (batch_index)"""
@@ -98,9 +98,9 @@ agg AS (
   FROM batched GROUP BY batch_index),
 rep AS (
   SELECT a.batch_index, n_rows,
-         round(CAST(missing AS DOUBLE) * 100.0 / (n_rows * {len(TX_COLS)}), 2) AS missing_pct_total,
+         round(CAST(missing AS DOUBLE) / (n_rows * {len(TX_COLS)}) * 100.0, 2) AS missing_pct_total,
          CAST(coalesce(duplicates, 0) AS BIGINT) AS duplicates_count,
-         round(CAST(coalesce(duplicates, 0) AS DOUBLE) * 100.0 / n_rows, 2) AS duplicates_pct,
+         round(CAST(coalesce(duplicates, 0) AS DOUBLE) / n_rows * 100.0, 2) AS duplicates_pct,
          fraud_rate, fraud_count, legit_count, amount_mean, amount_std, balance_mean
   FROM agg a LEFT JOIN dup USING (batch_index)),
 gated AS (
@@ -126,3 +126,76 @@ SELECT batch_index, column_name, CAST(missing_count AS BIGINT) AS missing_count
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
+
+
+# ---------------------------------------------------------------- cleaning
+TYPES = {
+    "Transaction_ID": "BIGINT", "Customer_ID": "BIGINT", "Transaction_Amount": "DOUBLE",
+    "Account_Balance": "DOUBLE", "Age": "INTEGER", "Is_Fraud": "INTEGER",
+}
+
+
+def _fill_expr(c: str) -> str:
+    if c in NUM_COLS:
+        f = f"p.f_{c}" if TYPES[c] == "DOUBLE" else f"CAST(round(p.f_{c}) AS {TYPES[c]})"
+        return f"CASE WHEN p.d_{c} THEN NULL ELSE coalesce(d.{c}, {f}) END AS {c}"
+    if c in CAT_COLS:
+        return f"CASE WHEN p.d_{c} THEN NULL ELSE coalesce(d.{c}, p.f_{c}) END AS {c}"
+    return f"CASE WHEN p.d_{c} THEN NULL ELSE d.{c} END AS {c}"
+
+
+VALID = (
+    "(d_Transaction_Amount OR coalesce(Transaction_Amount >= 0, false)) AND "
+    "(d_Account_Balance OR coalesce(Account_Balance >= 0, false)) AND "
+    "(d_Age OR coalesce(Age BETWEEN 0 AND 120, false))"
+)
+
+CLEAN = f"""{TXN},
+miss AS (SELECT batch_index, count(*) AS rows_before,
+  {", ".join(f"sum(CAST({c} IS NULL AS INTEGER)) AS m_{c}" for c in TX_COLS)}
+  FROM batched GROUP BY batch_index),
+dedup AS (SELECT {ALL}, batch_index, min(row_idx) AS row_idx FROM batched GROUP BY batch_index, {ALL}),
+st AS (SELECT batch_index, count(*) AS rows_dedup,
+  {", ".join(f"median({c}) AS f_{c}" for c in NUM_COLS)}
+  FROM dedup GROUP BY batch_index),
+{",".join(mode_cte('mo_' + c, 'dedup', c) for c in CAT_COLS)},
+params AS (SELECT m.batch_index, rows_before, rows_dedup,
+  {", ".join(f"coalesce(CAST(m_{c} AS DOUBLE) / rows_dedup * 100.0 > 30.0, false) AS d_{c}" for c in TX_COLS)},
+  {", ".join(f"f_{c}" for c in NUM_COLS)},
+  {", ".join(f"mo_{c}_v AS f_{c}" for c in CAT_COLS)}
+  FROM miss m JOIN st USING (batch_index) {" ".join(f"LEFT JOIN mo_{c} USING (batch_index)" for c in CAT_COLS)}),
+filled AS (SELECT d.batch_index, d.row_idx, {", ".join(_fill_expr(c) for c in TX_COLS)},
+  {", ".join(f"p.d_{c}" for c in TX_COLS)}
+  FROM dedup d JOIN params p USING (batch_index)),
+cleaned AS (SELECT {ALL}, row_idx, batch_index FROM filled WHERE {VALID})"""
+
+Q["dedupe"] = f"""{CLEAN}
+SELECT * FROM dedup"""
+
+Q["sparse_columns"] = f"""{CLEAN}
+SELECT batch_index, column_name, missing_count, rows_after_dedupe,
+       round(CAST(missing_count AS DOUBLE) / rows_after_dedupe * 100.0, 4) AS missing_pct,
+       coalesce(CAST(missing_count AS DOUBLE) / rows_after_dedupe * 100.0 > 30.0, false) AS dropped
+FROM (""" + "\nUNION ALL\n".join(
+    f"SELECT batch_index, '{c}' AS column_name, CAST(m_{c} AS BIGINT) AS missing_count, "
+    f"CAST(rows_dedup AS BIGINT) AS rows_after_dedupe FROM miss JOIN st USING (batch_index)"
+    for c in TX_COLS
+) + ")"
+
+Q["fill_missing"] = f"""{CLEAN}
+SELECT {ALL}, row_idx, batch_index FROM filled"""
+
+Q["invalid_rows"] = f"""{CLEAN}
+SELECT {ALL}, row_idx, batch_index FROM filled WHERE NOT ({VALID})"""
+
+Q["clean"] = f"""{CLEAN}
+SELECT * FROM cleaned"""
+
+Q["clean_audit"] = f"""{CLEAN},
+aft AS (SELECT batch_index, count(*) AS rows_after FROM cleaned GROUP BY batch_index)
+SELECT batch_index, CAST(rows_before AS BIGINT) AS rows_before,
+       CAST(rows_before - rows_dedup AS BIGINT) AS duplicates_removed,
+       CAST(rows_dedup AS BIGINT) AS rows_after_dedupe,
+       CAST(rows_dedup - coalesce(rows_after, 0) AS BIGINT) AS invalid_removed,
+       CAST(coalesce(rows_after, 0) AS BIGINT) AS rows_after
+FROM params LEFT JOIN aft USING (batch_index)"""
