@@ -14,7 +14,7 @@ from tidemark.columns import DEFAULT_COLUMNS as C
 from pyspark.sql import functions as F
 
 from tidemark.columns import data_columns
-from tidemark.operators import batches, clean, profile
+from tidemark.operators import batches, clean, drift, eda, profile
 from tidemark.sources.tables import transactions
 
 BATCH_SIZE = 2000
@@ -84,6 +84,60 @@ def q_clean_audit(spark, sf_dir):
     return clean.clean_audit(raw, clean.clean(raw, C), C)
 
 
+def q_profile_header(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    return eda.profile_header(c.data, c.dropped, C)
+
+
+def q_describe_numeric(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    return eda.describe_numeric(c.data, c.dropped, C)
+
+
+def q_top_categories(spark, sf_dir):
+    return eda.top_categories(cleaned(spark, sf_dir).data, cols=C)
+
+
+def q_category_counts(spark, sf_dir):
+    return eda.category_counts(cleaned(spark, sf_dir).data, cols=C)
+
+
+def q_correlation(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    return eda.correlation(c.data, c.dropped, C)
+
+
+def q_histogram(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    return eda.histogram(c.data, c.dropped, cols=C)
+
+
+def q_target_rate_by_category(spark, sf_dir):
+    return eda.target_rate_by_category(cleaned(spark, sf_dir).data, C)
+
+
+def features_and_deltas(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    feats = drift.drift_features(c.data, c.dropped, C)
+    ref = drift.reference_features(feats, 0, C)
+    bound = BATCH_SIZE * len(c.data.columns) + 2 * len(c.data.columns) + 1
+    deltas = drift.drift_deltas(feats, ref, cols=C, reference_bound_rows=bound)
+    return feats, deltas
+
+
+def q_drift_features(spark, sf_dir):
+    feats, _ = features_and_deltas(spark, sf_dir)
+    return feats.withColumn("value", F.round("value", 4))
+
+
+def q_drift_deltas(spark, sf_dir):
+    return features_and_deltas(spark, sf_dir)[1]
+
+
+def q_drift_summary(spark, sf_dir):
+    return drift.drift_summary(features_and_deltas(spark, sf_dir)[1], C)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_batches": q_assign_batches,
     "batch_meta": q_batch_meta,
@@ -96,6 +150,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invalid_rows": q_invalid_rows,
     "clean": q_clean,
     "clean_audit": q_clean_audit,
+    "profile_header": q_profile_header,
+    "describe_numeric": q_describe_numeric,
+    "top_categories": q_top_categories,
+    "category_counts": q_category_counts,
+    "correlation": q_correlation,
+    "histogram": q_histogram,
+    "target_rate_by_category": q_target_rate_by_category,
+    "drift_features": q_drift_features,
+    "drift_deltas": q_drift_deltas,
+    "drift_summary": q_drift_summary,
 }
 
 

@@ -199,3 +199,135 @@ SELECT batch_index, CAST(rows_before AS BIGINT) AS rows_before,
        CAST(rows_dedup - coalesce(rows_after, 0) AS BIGINT) AS invalid_removed,
        CAST(coalesce(rows_after, 0) AS BIGINT) AS rows_after
 FROM params LEFT JOIN aft USING (batch_index)"""
+
+
+# ---------------------------------------------------------------- EDA
+DROPPED = "dropped AS (" + "\nUNION ALL ".join(
+    f"SELECT batch_index, '{c}' AS column_name FROM params WHERE d_{c}" for c in TX_COLS
+) + ")"
+
+
+def _not_dropped(alias: str, col: str = "column_name") -> str:
+    return f"NOT EXISTS (SELECT 1 FROM dropped x WHERE x.batch_index = {alias}.batch_index AND x.column_name = {alias}.{col})"
+
+
+EDA = f"""{CLEAN},
+{DROPPED}"""
+
+Q["profile_header"] = f"""{EDA},
+agg AS (SELECT batch_index, CAST(count(*) AS BIGINT) AS n_rows, round(avg(Is_Fraud) * 100.0, 2) AS fraud_rate
+        FROM cleaned GROUP BY batch_index)
+SELECT a.batch_index, a.n_rows,
+       CAST({len(TX_COLS)} - ({" + ".join(f"CAST(p.d_{c} AS INTEGER)" for c in TX_COLS)}) AS INTEGER) AS n_cols,
+       concat_ws(',', {", ".join(f"CASE WHEN NOT p.d_{c} THEN '{c}' END" for c in NUM_COLS)}) AS numeric_cols,
+       concat_ws(',', {", ".join(f"CASE WHEN NOT p.d_{c} THEN '{c}' END" for c in CAT_COLS)}) AS cat_cols,
+       a.fraud_rate
+FROM agg a JOIN params p USING (batch_index)"""
+
+Q["describe_numeric"] = f"""{EDA},
+d AS (""" + "\nUNION ALL\n".join(
+    f"""  SELECT batch_index, '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS count,
+         round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std,
+         round(min(CAST({c} AS DOUBLE)), 4) AS min,
+         round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4) AS p25,
+         round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS p50,
+         round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS p75,
+         round(max(CAST({c} AS DOUBLE)), 4) AS max
+  FROM cleaned GROUP BY batch_index""" for c in NUM_COLS
+) + f""")
+SELECT * FROM d WHERE {_not_dropped('d')}"""
+
+CAT_COUNTS = "cc AS (" + "\nUNION ALL\n".join(
+    f"SELECT batch_index, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, CAST(count(*) AS BIGINT) AS count "
+    f"FROM cleaned WHERE {c} IS NOT NULL GROUP BY batch_index, {c}" for c in CAT_COLS
+) + ")"
+
+Q["top_categories"] = f"""{EDA},
+{CAT_COUNTS}
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY batch_index, column_name ORDER BY count DESC, value ASC) AS INTEGER) AS rank
+               FROM cc) WHERE rank <= 3"""
+
+Q["category_counts"] = f"""{EDA},
+{CAT_COUNTS}
+SELECT batch_index, column_name, value, count FROM (
+  SELECT *, count(*) OVER (PARTITION BY batch_index, column_name) AS nd FROM cc) WHERE nd <= 20"""
+
+
+def _corr(a: str, b: str) -> str:
+    x, y = f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)"
+    return f"CASE WHEN isnan(corr({x}, {y})) THEN NULL ELSE corr({x}, {y}) END"
+
+
+_pairs = []
+for _i, _a in enumerate(NUM_COLS):
+    for _b in NUM_COLS[_i:]:
+        _pairs.append((_a, _b))
+        if _a != _b:
+            _pairs.append((_b, _a))
+
+Q["correlation"] = f"""{EDA},
+m AS (""" + "\nUNION ALL\n".join(
+    f"SELECT batch_index, '{a}' AS col_a, '{b}' AS col_b, round({_corr(a, b)}, 2) AS corr FROM cleaned GROUP BY batch_index"
+    for a, b in _pairs
+) + f""")
+SELECT * FROM m WHERE {_not_dropped('m', 'col_a')} AND {_not_dropped('m', 'col_b')}"""
+
+Q["histogram"] = f"""{EDA},
+lv AS (""" + "\nUNION ALL\n".join(
+    f"SELECT batch_index, '{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM cleaned WHERE {c} IS NOT NULL"
+    for c in NUM_COLS if c != "Is_Fraud"
+) + f"""),
+l AS (SELECT * FROM lv WHERE {_not_dropped('lv')}),
+r0 AS (SELECT batch_index, column_name, min(v) AS lo0, max(v) AS hi0 FROM l GROUP BY batch_index, column_name),
+r AS (SELECT batch_index, column_name,
+             CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
+             CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM r0),
+b AS (SELECT l.batch_index, l.column_name, r.lo, r.hi,
+             CAST(least(floor((l.v - r.lo) * (CAST(30 AS DOUBLE) / (r.hi - r.lo))), 29) AS INTEGER) AS bin
+      FROM l JOIN r USING (batch_index, column_name))
+SELECT batch_index, column_name, bin,
+       round(lo + bin * ((hi - lo) / CAST(30 AS DOUBLE)), 4) AS bin_lo,
+       round(lo + (bin + 1) * ((hi - lo) / CAST(30 AS DOUBLE)), 4) AS bin_hi,
+       CAST(count(*) AS BIGINT) AS count
+FROM b GROUP BY batch_index, column_name, bin, lo, hi"""
+
+Q["target_rate_by_category"] = f"""{EDA}
+""" + "\nUNION ALL\n".join(
+    f"SELECT batch_index, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, "
+    f"round(avg(Is_Fraud) * 100.0, 4) AS target_rate, CAST(count(*) AS BIGINT) AS n "
+    f"FROM cleaned WHERE {c} IS NOT NULL GROUP BY batch_index, {c}"
+    for c in ["Transaction_Type", "Merchant_Category", "Device_Type", "Account_Type"]
+)
+
+# ---------------------------------------------------------------- drift
+FEATURES = f"""{EDA},
+{CAT_COUNTS},
+fv AS (""" + "\nUNION ALL\n".join(
+    [f"SELECT batch_index, '{c}' AS column_name, '{c}_mean' AS feature, avg(CAST({c} AS DOUBLE)) AS value FROM cleaned GROUP BY batch_index"
+     for c in NUM_COLS]
+    + [f"SELECT batch_index, '{c}' AS column_name, '{c}_std' AS feature, stddev_samp(CAST({c} AS DOUBLE)) AS value FROM cleaned GROUP BY batch_index"
+       for c in NUM_COLS]
+    + ["SELECT batch_index, 'Is_Fraud' AS column_name, 'fraud_rate' AS feature, avg(CAST(Is_Fraud AS DOUBLE)) AS value FROM cleaned GROUP BY batch_index",
+       "SELECT batch_index, column_name, column_name || '=' || value || '_share' AS feature, "
+       "CAST(count AS DOUBLE) / CAST(sum(count) OVER (PARTITION BY batch_index, column_name) AS DOUBLE) AS value FROM cc"]
+) + f"""),
+feat AS (SELECT batch_index, feature, value FROM fv WHERE {_not_dropped('fv')}),
+ref AS (SELECT feature, value AS reference FROM feat WHERE batch_index = 0),
+deltas AS (
+  SELECT f.batch_index, f.feature, r.reference, f.value AS current,
+         CASE WHEN r.reference = 0 THEN abs(f.value) ELSE abs(f.value - r.reference) / abs(r.reference) END AS delta
+  FROM feat f JOIN ref r USING (feature) WHERE f.batch_index <> 0)"""
+
+Q["drift_features"] = f"""{FEATURES}
+SELECT batch_index, feature, round(value, 4) AS value FROM feat"""
+
+Q["drift_deltas"] = f"""{FEATURES}
+SELECT batch_index, feature, round(reference, 4) AS reference, round(current, 4) AS current,
+       round(delta * 100.0, 2) AS delta_pct, coalesce(delta > 0.2, false) AS drifted
+FROM deltas"""
+
+Q["drift_summary"] = f"""{FEATURES}
+SELECT batch_index, CAST(count(*) FILTER (WHERE coalesce(delta > 0.2, false)) AS BIGINT) AS n_drifted,
+       bool_or(coalesce(delta > 0.2, false)) AS drift_detected,
+       coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE coalesce(delta > 0.2, false)), '') AS drifted_features
+FROM deltas GROUP BY batch_index"""
