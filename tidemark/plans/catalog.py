@@ -14,7 +14,7 @@ from tidemark.columns import DEFAULT_COLUMNS as C
 from pyspark.sql import functions as F
 
 from tidemark.columns import data_columns
-from tidemark.operators import batches, clean, drift, eda, profile
+from tidemark.operators import batches, clean, drift, eda, profile, rules
 from tidemark.sources.tables import transactions
 
 BATCH_SIZE = 2000
@@ -138,6 +138,35 @@ def q_drift_summary(spark, sf_dir):
     return drift.drift_summary(features_and_deltas(spark, sf_dir)[1], C)
 
 
+def rule_inputs(spark, sf_dir):
+    bk = rules.baskets(cleaned(spark, sf_dir).data, C)
+    return bk, rules.frequent_itemsets(bk, rules.RuleParams(), C)
+
+
+def q_baskets(spark, sf_dir):
+    return rules.as_text(rules.baskets(cleaned(spark, sf_dir).data, C), None)
+
+
+def q_frequent_itemsets(spark, sf_dir):
+    return rules.as_text(rule_inputs(spark, sf_dir)[1], None)
+
+
+def mined_rules(spark, sf_dir):
+    return rules.association_rules(rule_inputs(spark, sf_dir)[1], rules.RuleParams(), C)
+
+
+def q_association_rules(spark, sf_dir):
+    return rules.as_text(mined_rules(spark, sf_dir), None)
+
+
+def q_top_rules(spark, sf_dir):
+    return rules.as_text(rules.top_rules(mined_rules(spark, sf_dir), rules.RuleParams().n_rules, C), None)
+
+
+def q_target_rules(spark, sf_dir):
+    return rules.as_text(rules.target_rules(mined_rules(spark, sf_dir), rules.RuleParams().n_target_rules, C), None)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_batches": q_assign_batches,
     "batch_meta": q_batch_meta,
@@ -160,6 +189,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_features": q_drift_features,
     "drift_deltas": q_drift_deltas,
     "drift_summary": q_drift_summary,
+    "baskets": q_baskets,
+    "frequent_itemsets": q_frequent_itemsets,
+    "association_rules": q_association_rules,
+    "top_rules": q_top_rules,
+    "target_rules": q_target_rules,
 }
 
 

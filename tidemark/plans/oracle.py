@@ -331,3 +331,60 @@ SELECT batch_index, CAST(count(*) FILTER (WHERE coalesce(delta > 0.2, false)) AS
        bool_or(coalesce(delta > 0.2, false)) AS drift_detected,
        coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE coalesce(delta > 0.2, false)), '') AS drifted_features
 FROM deltas GROUP BY batch_index"""
+
+
+# ---------------------------------------------------------------- association rules
+BASKET_COLS = ["Transaction_Type", "Merchant_Category", "Device_Type", "Account_Type", "State", "Gender"]
+_ATTRS = [f"CASE WHEN c.{b} IS NOT NULL THEN '{b}=' || c.{b} END" for b in BASKET_COLS] + [
+    "CASE WHEN c.Transaction_Amount > m.ma THEN 'Amount_high' WHEN c.Transaction_Amount <= m.ma THEN 'Amount_low' END",
+    "CASE WHEN c.Account_Balance > m.mb THEN 'Balance_high' WHEN c.Account_Balance <= m.mb THEN 'Balance_low' END",
+    "CASE WHEN c.Is_Fraud = 1 THEN 'Is_Fraud=1' WHEN c.Is_Fraud = 0 THEN 'Is_Fraud=0' END",
+]
+_A = [f"a{i}" for i in range(len(_ATTRS))]
+
+RULES = f"""{CLEAN},
+med AS (SELECT batch_index, median(Transaction_Amount) AS ma, median(Account_Balance) AS mb FROM cleaned GROUP BY batch_index),
+attrs AS (SELECT c.batch_index, c.row_idx, {", ".join(f"{e} AS {a}" for e, a in zip(_ATTRS, _A))}
+          FROM cleaned c JOIN med m USING (batch_index)),
+nb AS (SELECT batch_index, count(*) AS n FROM cleaned GROUP BY batch_index),
+cub AS (SELECT batch_index, {", ".join(_A)}, {", ".join(f"grouping({a}) AS g{a}" for a in _A)}, count(*) AS c
+        FROM attrs GROUP BY batch_index, CUBE({", ".join(_A)})),
+isets AS (SELECT batch_index, list_sort(list_filter([{", ".join(f"CASE WHEN g{a} = 0 THEN {a} END" for a in _A)}], lambda x: x IS NOT NULL)) AS items, c
+          FROM cub WHERE {" AND ".join(f"(g{a} = 1 OR {a} IS NOT NULL)" for a in _A)}
+            AND NOT ({" AND ".join(f"g{a} = 1" for a in _A)})),
+freq AS (SELECT i.batch_index, items, CAST(c AS BIGINT) AS count, CAST(c AS DOUBLE) / n AS support
+         FROM isets i JOIN nb USING (batch_index) WHERE CAST(c AS DOUBLE) / n >= 0.05),
+rules0 AS (SELECT i.batch_index, a.items AS ante, list_filter(i.items, lambda x: NOT list_contains(a.items, x)) AS cons,
+                  i.support, a.support AS sa
+           FROM freq i JOIN freq a ON a.batch_index = i.batch_index AND len(a.items) < len(i.items)
+                                  AND list_has_all(i.items, a.items)
+           WHERE len(i.items) >= 2),
+rules AS (SELECT r.batch_index, ante, cons, sa, cc.support AS sc, r.support,
+                 r.support / sa AS confidence, (r.support / sa) / cc.support AS lift,
+                 array_to_string(ante, ', ') AS antecedents, array_to_string(cons, ', ') AS consequents
+          FROM rules0 r JOIN freq cc ON cc.batch_index = r.batch_index AND cc.items = r.cons
+          WHERE r.support / sa >= 0.3 AND (r.support / sa) / cc.support >= 1.0)"""
+
+# Scores are exact ratios computed with the same float formulas: compared unrounded.
+_RULE_OUT = """batch_index, antecedents, consequents, sa AS antecedent_support, sc AS consequent_support,
+       support, confidence, lift"""
+
+Q["baskets"] = f"""{RULES}
+SELECT batch_index, row_idx, array_to_string(list_sort(list_filter([{", ".join(_A)}], lambda x: x IS NOT NULL)), ', ') AS items
+FROM attrs"""
+
+Q["frequent_itemsets"] = f"""{RULES}
+SELECT batch_index, array_to_string(items, ', ') AS itemset, count, support FROM freq"""
+
+Q["association_rules"] = f"""{RULES}
+SELECT {_RULE_OUT} FROM rules"""
+
+Q["top_rules"] = f"""{RULES}
+SELECT {_RULE_OUT}, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY batch_index ORDER BY lift DESC, support DESC, antecedents, consequents) AS INTEGER) AS rank
+  FROM rules) WHERE rank <= 10"""
+
+Q["target_rules"] = f"""{RULES}
+SELECT {_RULE_OUT}, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY batch_index ORDER BY lift DESC, support DESC, antecedents, consequents) AS INTEGER) AS rank
+  FROM rules WHERE list_contains(cons, 'Is_Fraud=1')) WHERE rank <= 5"""
