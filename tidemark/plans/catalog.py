@@ -14,7 +14,7 @@ from tidemark.columns import DEFAULT_COLUMNS as C
 from pyspark.sql import functions as F
 
 from tidemark.columns import data_columns
-from tidemark.operators import batches, clean, drift, eda, profile, rules
+from tidemark.operators import batches, clean, drift, eda, features, profile, rules
 from tidemark.sources.tables import transactions
 
 BATCH_SIZE = 2000
@@ -167,6 +167,31 @@ def q_target_rules(spark, sf_dir):
     return rules.as_text(rules.target_rules(mined_rules(spark, sf_dir), rules.RuleParams().n_target_rules, C), None)
 
 
+def fit_batch(data):
+    return data.filter(F.col(C.batch) == 0)
+
+
+def q_impute(spark, sf_dir):
+    return features.imputation_table(fit_batch(cleaned(spark, sf_dir).data), C)
+
+
+def prepared(spark, sf_dir, params):
+    data = cleaned(spark, sf_dir).data
+    fitted = features.fit(fit_batch(data), params, C)
+    wide = fitted.transform(data, keep=[C.batch, C.row])
+    return fitted, wide
+
+
+def q_features_ordinal_standard(spark, sf_dir):
+    fitted, wide = prepared(spark, sf_dir, features.FeatureParams("standard", "ordinal"))
+    return features.to_long(wide, fitted.output_columns(), [C.batch, C.row, "label"])
+
+
+def q_features_onehot_minmax(spark, sf_dir):
+    fitted, wide = prepared(spark, sf_dir, features.FeatureParams("minmax", "onehot"))
+    return features.to_long(wide, fitted.output_columns(), [C.batch, C.row, "label"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_batches": q_assign_batches,
     "batch_meta": q_batch_meta,
@@ -194,6 +219,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "association_rules": q_association_rules,
     "top_rules": q_top_rules,
     "target_rules": q_target_rules,
+    "impute": q_impute,
+    "features_ordinal_standard": q_features_ordinal_standard,
+    "features_onehot_minmax": q_features_onehot_minmax,
 }
 
 

@@ -388,3 +388,44 @@ Q["target_rules"] = f"""{RULES}
 SELECT {_RULE_OUT}, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY batch_index ORDER BY lift DESC, support DESC, antecedents, consequents) AS INTEGER) AS rank
   FROM rules WHERE list_contains(cons, 'Is_Fraud=1')) WHERE rank <= 5"""
+
+
+# ---------------------------------------------------------------- feature preparation
+FEAT_NUM = ["Transaction_Amount", "Account_Balance", "Age"]
+FEAT_CAT = ["Transaction_Type", "Merchant_Category", "Device_Type", "Account_Type", "State", "Gender"]
+
+PREP = f"""{CLEAN},
+fit AS (SELECT * FROM cleaned WHERE batch_index = 0),
+imp AS (SELECT {", ".join(f"median(CAST({c} AS DOUBLE)) AS m_{c}" for c in FEAT_NUM)} FROM fit),
+{",".join(mode_cte('fm_' + c, 'fit', c) for c in FEAT_CAT)},
+modes AS (SELECT {", ".join(f"(SELECT fm_{c}_v FROM fm_{c}) AS o_{c}" for c in FEAT_CAT)}),
+x AS (SELECT c.batch_index, c.row_idx, CAST(c.Is_Fraud AS DOUBLE) AS label,
+             {", ".join(f"coalesce(CAST(c.{n} AS DOUBLE), imp.m_{n}) AS {n}" for n in FEAT_NUM)},
+             {", ".join(f"coalesce(CAST(c.{n} AS VARCHAR), modes.o_{n}) AS {n}" for n in FEAT_CAT)}
+      FROM cleaned c JOIN imp ON true JOIN modes ON true),
+xf AS (SELECT * FROM x WHERE batch_index = 0),
+{",".join(f"voc_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS DOUBLE) AS code FROM (SELECT DISTINCT {c} AS v FROM xf WHERE {c} IS NOT NULL))" for c in FEAT_CAT)},
+std AS (SELECT {", ".join(f"avg({c}) AS a_{c}, CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS b_{c}" for c in FEAT_NUM)} FROM xf),
+mm AS (SELECT {", ".join(f"min({c}) AS a_{c}, CASE WHEN max({c}) - min({c}) = 0 THEN 1.0 ELSE max({c}) - min({c}) END AS b_{c}" for c in FEAT_NUM)} FROM xf)"""
+
+Q["impute"] = f"""{PREP}
+""" + "\nUNION ALL\n".join(
+    [f"SELECT '{c}' AS column_name, m_{c} AS numeric_fill, CAST(NULL AS VARCHAR) AS text_fill FROM imp" for c in FEAT_NUM]
+    + [f"SELECT '{c}' AS column_name, CAST(NULL AS DOUBLE) AS numeric_fill, o_{c} AS text_fill FROM modes" for c in FEAT_CAT]
+)
+
+Q["features_ordinal_standard"] = f"""{PREP}
+""" + "\nUNION ALL\n".join(
+    [f"SELECT batch_index, row_idx, label, '{c}' AS feature, round((x.{c} - s.a_{c}) / s.b_{c}, 4) AS value FROM x JOIN std s ON true"
+     for c in FEAT_NUM]
+    + [f"SELECT batch_index, row_idx, label, '{c}' AS feature, coalesce(v.code, -1.0) AS value FROM x LEFT JOIN voc_{c} v ON x.{c} = v.v"
+       for c in FEAT_CAT]
+)
+
+Q["features_onehot_minmax"] = f"""{PREP}
+""" + "\nUNION ALL\n".join(
+    [f"SELECT batch_index, row_idx, label, '{c}' AS feature, round((x.{c} - s.a_{c}) / s.b_{c}, 4) AS value FROM x JOIN mm s ON true"
+     for c in FEAT_NUM]
+    + [f"SELECT x.batch_index, x.row_idx, x.label, '{c}_' || v.v AS feature, CASE WHEN x.{c} = v.v THEN 1.0 ELSE 0.0 END AS value "
+       f"FROM x JOIN voc_{c} v ON true" for c in FEAT_CAT]
+)
