@@ -14,7 +14,7 @@ from tidemark.columns import DEFAULT_COLUMNS as C
 from pyspark.sql import functions as F
 
 from tidemark.columns import data_columns
-from tidemark.operators import batches, clean, drift, eda, features, profile, rules
+from tidemark.operators import batches, clean, drift, eda, features, profile, rules, validate
 from tidemark.sources.tables import transactions
 
 BATCH_SIZE = 2000
@@ -192,6 +192,52 @@ def q_features_onehot_minmax(spark, sf_dir):
     return features.to_long(wide, fitted.output_columns(), [C.batch, C.row, "label"])
 
 
+# Two transparent scorers stand in for models where the result must be
+# checked by SQL: a clipped amount ratio and a per-status constant.
+SCORERS = ("amount", "status")
+VALIDATION_MIN_BATCHES = 0  # the reference's own test configuration
+
+
+def rule_scored(spark, sf_dir):
+    """(batch, row, model, label, p1, prediction) on holdout rows."""
+    ho = validate.holdout(cleaned(spark, sf_dir).data, validate.DEFAULT_VAL_SIZE, C).filter("is_holdout")
+    amount = F.least(F.greatest(F.col(C.amount) / F.lit(500000.0), F.lit(0.0)), F.lit(1.0))
+    status = (
+        F.when(F.col(C.txn_type) == "F", F.lit(0.6)).when(F.col(C.txn_type) == "O", F.lit(0.3)).otherwise(F.lit(0.1))
+    )
+    entries = F.array(
+        F.struct(F.lit("amount").alias("model"), amount.alias("p1"), F.lit(0.9).alias("thr")),
+        F.struct(F.lit("status").alias("model"), status.alias("p1"), F.lit(0.5).alias("thr")),
+    )
+    long = ho.select(C.batch, C.row, F.col(C.target).alias("label"), F.inline(entries))
+    return long.withColumn("prediction", F.when(F.col("p1") >= F.col("thr"), 1).otherwise(0)).drop("thr")
+
+
+def q_holdout(spark, sf_dir):
+    return validate.holdout(cleaned(spark, sf_dir).data, validate.DEFAULT_VAL_SIZE, C).select(C.batch, C.row, "is_holdout")
+
+
+def q_cv_folds(spark, sf_dir):
+    return validate.cv_folds(cleaned(spark, sf_dir).data, validate.DEFAULT_SPLITS, C).select(C.batch, C.row, "test_fold")
+
+
+def q_binary_metrics(spark, sf_dir):
+    return validate.binary_metrics(rule_scored(spark, sf_dir), [C.batch, "model"])
+
+
+def q_roc_auc(spark, sf_dir):
+    return validate.roc_auc(rule_scored(spark, sf_dir), [C.batch, "model"])
+
+
+def q_holdout_evaluation(spark, sf_dir):
+    return validate.evaluate(rule_scored(spark, sf_dir), C)
+
+
+def q_best_model(spark, sf_dir):
+    ev = validate.evaluate(rule_scored(spark, sf_dir), C)
+    return validate.best_model(ev, "f1", VALIDATION_MIN_BATCHES, SCORERS, C)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_batches": q_assign_batches,
     "batch_meta": q_batch_meta,
@@ -222,6 +268,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "impute": q_impute,
     "features_ordinal_standard": q_features_ordinal_standard,
     "features_onehot_minmax": q_features_onehot_minmax,
+    "holdout": q_holdout,
+    "cv_folds": q_cv_folds,
+    "binary_metrics": q_binary_metrics,
+    "roc_auc": q_roc_auc,
+    "holdout_evaluation": q_holdout_evaluation,
+    "best_model": q_best_model,
 }
 
 

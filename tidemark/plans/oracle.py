@@ -429,3 +429,63 @@ Q["features_onehot_minmax"] = f"""{PREP}
     + [f"SELECT x.batch_index, x.row_idx, x.label, '{c}_' || v.v AS feature, CASE WHEN x.{c} = v.v THEN 1.0 ELSE 0.0 END AS value "
        f"FROM x JOIN voc_{c} v ON true" for c in FEAT_CAT]
 )
+
+
+# ---------------------------------------------------------------- validation (deterministic scorers)
+VALID_BASE = f"""{CLEAN},
+pos AS (SELECT *, row_number() OVER (PARTITION BY batch_index ORDER BY row_idx) - 1 AS p,
+               count(*) OVER (PARTITION BY batch_index) AS n FROM cleaned),
+ho AS (SELECT *, p >= floor(n * (CAST(1.0 AS DOUBLE) - CAST(0.2 AS DOUBLE))) AS is_holdout FROM pos),
+sc AS (
+  SELECT batch_index, row_idx, 'amount' AS model, Is_Fraud AS label,
+         least(greatest(Transaction_Amount / CAST(500000.0 AS DOUBLE), CAST(0.0 AS DOUBLE)), CAST(1.0 AS DOUBLE)) AS p1,
+         CAST(0.9 AS DOUBLE) AS thr FROM ho WHERE is_holdout
+  UNION ALL
+  SELECT batch_index, row_idx, 'status' AS model, Is_Fraud AS label,
+         CASE Transaction_Type WHEN 'F' THEN CAST(0.6 AS DOUBLE) WHEN 'O' THEN CAST(0.3 AS DOUBLE) ELSE CAST(0.1 AS DOUBLE) END AS p1,
+         CAST(0.5 AS DOUBLE) AS thr FROM ho WHERE is_holdout),
+scp AS (SELECT *, CASE WHEN p1 >= thr THEN 1 ELSE 0 END AS prediction FROM sc),
+cm AS (SELECT batch_index, model,
+              CAST(count(*) FILTER (WHERE prediction = 1 AND label = 1) AS BIGINT) AS tp,
+              CAST(count(*) FILTER (WHERE prediction = 1 AND label <> 1) AS BIGINT) AS fp,
+              CAST(count(*) FILTER (WHERE prediction <> 1 AND label = 1) AS BIGINT) AS fn,
+              CAST(count(*) AS BIGINT) AS n
+       FROM scp GROUP BY batch_index, model),
+pr AS (SELECT *, CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) ELSE 0.0 END AS precision,
+                 CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) ELSE 0.0 END AS recall FROM cm),
+met AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2.0 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM pr),
+rk AS (SELECT batch_index, model, label, rank() OVER (PARTITION BY batch_index, model ORDER BY p1) AS r_lo,
+              count(*) OVER (PARTITION BY batch_index, model, p1) AS ties FROM scp),
+au AS (SELECT batch_index, model, CAST(sum(label) AS BIGINT) AS n_pos, CAST(count(*) - sum(label) AS BIGINT) AS n_neg,
+              sum(CASE WHEN label = 1 THEN 2 * r_lo + ties - 1 ELSE 0 END) AS two_r
+       FROM rk GROUP BY batch_index, model),
+auc AS (SELECT batch_index, model, n_pos, n_neg,
+               CASE WHEN n_pos > 0 AND n_neg > 0
+                    THEN CAST(two_r - n_pos * (n_pos + 1) AS DOUBLE) / CAST(2 * n_pos * n_neg AS DOUBLE) END AS roc_auc FROM au),
+ev AS (SELECT m.batch_index, m.model, f1, roc_auc, precision, recall, tp, fp, fn, n
+       FROM met m JOIN auc a USING (batch_index, model) WHERE roc_auc IS NOT NULL)"""
+
+Q["holdout"] = f"""{VALID_BASE}
+SELECT batch_index, row_idx, is_holdout FROM ho"""
+
+Q["cv_folds"] = f"""{CLEAN},
+pos AS (SELECT batch_index, row_idx, row_number() OVER (PARTITION BY batch_index ORDER BY row_idx) - 1 AS p,
+               count(*) OVER (PARTITION BY batch_index) AS n FROM cleaned),
+sz AS (SELECT *, n // 4 AS size, n - 3 * (n // 4) AS first FROM pos)
+SELECT batch_index, row_idx,
+       CASE WHEN size > 0 AND p >= first THEN CAST((p - first) // size AS INTEGER) END AS test_fold
+FROM sz"""
+
+Q["binary_metrics"] = f"""{VALID_BASE}
+SELECT batch_index, model, tp, fp, fn, n, precision, recall, f1 FROM met"""
+
+Q["roc_auc"] = f"""{VALID_BASE}
+SELECT * FROM auc"""
+
+Q["holdout_evaluation"] = f"""{VALID_BASE}
+SELECT * FROM ev"""
+
+Q["best_model"] = f"""{VALID_BASE}
+SELECT model AS model_name, batch_index, f1 AS score, 'f1' AS metric FROM ev
+WHERE batch_index >= 0
+ORDER BY f1 DESC, batch_index DESC, CASE model WHEN 'amount' THEN 0 WHEN 'status' THEN 1 ELSE 2 END DESC LIMIT 1"""
