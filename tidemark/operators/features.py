@@ -47,9 +47,10 @@ class FittedFeatures:
             cats = list(self.categorical)
         return list(self.numeric) + cats
 
-    def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    def transform(self, df: DataFrame, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
         """Imputed, encoded and scaled features (doubles) plus ``label`` when
-        the target exists; ``keep`` columns (ids, batch) pass through."""
+        the target exists; ``keep`` columns (ids, batch) pass through.
+        ``prefix`` renames the feature columns (to keep raw columns beside them)."""
         keep = [c for c in (keep or []) if c in df.columns]
         out: list[Column] = [F.col(c) for c in keep]
         for c in self.numeric:
@@ -57,7 +58,7 @@ class FittedFeatures:
             m = self.medians.get(c)
             if m is not None:
                 v = F.coalesce(v, F.lit(float(m)))
-            out.append(((v - F.lit(self.center[c])) / F.lit(self.scale[c])).alias(c))
+            out.append(((v - F.lit(self.center[c])) / F.lit(self.scale[c])).alias(prefix + c))
         for c in self.categorical:
             v = F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
             m = self.modes.get(c)
@@ -66,14 +67,14 @@ class FittedFeatures:
             vocab = self.vocab.get(c, [])
             if self.params.cat_strategy == "onehot":
                 for item in vocab:
-                    out.append(F.coalesce((v == F.lit(item)).cast("double"), F.lit(0.0)).alias(f"{c}_{item}"))
+                    out.append(F.coalesce((v == F.lit(item)).cast("double"), F.lit(0.0)).alias(f"{prefix}{c}_{item}"))
             else:
                 if len(vocab) > MAP_LIMIT:
                     raise ValueError(f"vocabulary of {c} exceeds {MAP_LIMIT} entries; fit on a smaller batch")
                 mapping = F.create_map(*[x for i, item in enumerate(vocab) for x in (F.lit(item), F.lit(float(i)))])
                 code = F.element_at(mapping, v) if vocab else F.lit(None).cast("double")
-                out.append(F.coalesce(F.when(v.isNotNull(), code), F.lit(-1.0)).alias(c))
-        if self.target in df.columns:
+                out.append(F.coalesce(F.when(v.isNotNull(), code), F.lit(-1.0)).alias(prefix + c))
+        if self.target in df.columns and "label" not in keep:
             out.append(F.col(self.target).cast("double").alias("label"))
         return df.select(*out)
 

@@ -141,3 +141,66 @@ def with_gate(rep: DataFrame, thresholds: QualityThresholds = QualityThresholds(
 
 def quality_gate(rep: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
     return rep.select(cols.batch, "missing_ok", "duplicates_ok", "fraud_rate_ok", "passed")
+
+
+def column_profile(df: DataFrame, batch_col: str) -> DataFrame:
+    """Schema-driven profile of any table, one row per (batch, column).
+
+    Numeric columns: count, missing, distinct, mean, sample std, min, max.
+    String columns: count, missing, distinct, most frequent value (ties:
+    smallest) and its count. Every step aggregates with map-side combine
+    (value counts first, then per column), so a batch key holding a large
+    share of the rows never lands in one task as raw rows.
+    """
+    from pyspark.sql.types import NumericType, StringType
+
+    num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name != batch_col]
+    txt = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name != batch_col]
+    parts = []
+    if num:
+        long = df.select(batch_col, F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in num
+        ])).alias("e")).select(batch_col, "e.column_name", "e.v")
+        stats = long.groupBy(batch_col, "column_name").agg(
+            F.count("v").alias("count"),
+            F.count_if(F.col("v").isNull()).alias("n_missing"),
+            F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+            F.min("v").alias("min"), F.max("v").alias("max"),
+        )
+        distinct = (
+            long.groupBy(batch_col, "column_name", "v").agg(F.count(F.lit(1)).alias("k"))
+            .groupBy(batch_col, "column_name").agg(F.count("v").alias("n_distinct"))
+        )
+        parts.append(stats.join(distinct, [batch_col, "column_name"]).select(
+            batch_col, "column_name",
+            F.col("count").cast("long").alias("count"),
+            F.col("n_missing").cast("long").alias("n_missing"),
+            F.col("n_distinct").cast("long").alias("n_distinct"),
+            "mean", "std", "min", "max",
+            F.lit(None).cast("string").alias("top_value"), F.lit(None).cast("long").alias("top_count"),
+        ))
+    if txt:
+        long = df.select(batch_col, F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("t")) for c in txt
+        ])).alias("e")).select(batch_col, "e.column_name", "e.t")
+        vc = long.groupBy(batch_col, "column_name", "t").agg(F.count(F.lit(1)).alias("k"))
+        top = F.min(F.when(F.col("t").isNotNull(), F.struct((-F.col("k")).alias("nk"), F.col("t").alias("t"))))
+        stats = vc.groupBy(batch_col, "column_name").agg(
+            F.sum(F.when(F.col("t").isNotNull(), F.col("k"))).alias("count"),
+            F.sum(F.when(F.col("t").isNull(), F.col("k"))).alias("n_missing"),
+            F.count("t").alias("n_distinct"),
+            top.alias("__top"),
+        )
+        parts.append(stats.select(
+            batch_col, "column_name",
+            F.coalesce("count", F.lit(0)).cast("long").alias("count"),
+            F.coalesce("n_missing", F.lit(0)).cast("long").alias("n_missing"),
+            F.col("n_distinct").cast("long").alias("n_distinct"),
+            F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("std"),
+            F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max"),
+            F.col("__top.t").alias("top_value"), (-F.col("__top.nk")).cast("long").alias("top_count"),
+        ))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -279,3 +279,214 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
+
+
+# ---------------------------------------------------------------- models (rows-only checks)
+import functools  # noqa: E402
+
+from tidemark.columns import Columns  # noqa: E402
+from tidemark.operators import serve, train  # noqa: E402
+from tidemark.plans import jobs  # noqa: E402
+from tidemark.session import scratch_path  # noqa: E402
+from tidemark.sources import csv_source, store as store_mod  # noqa: E402
+from tidemark.sources.tables import read_table  # noqa: E402
+from tidemark.streaming import micro  # noqa: E402
+
+PIPELINE = jobs.PipelineConfig(min_batches=VALIDATION_MIN_BATCHES)
+
+
+def prepared_all(spark, sf_dir):
+    fitted, wide = prepared(spark, sf_dir, features.FeatureParams())
+    return fitted, wide
+
+
+def q_class_weights(spark, sf_dir):
+    data = fit_batch(cleaned(spark, sf_dir).data).select(F.col(C.target).cast("double").alias("label"))
+    return train.class_weights(data)
+
+
+def q_rf_scores(spark, sf_dir):
+    fitted, wide = prepared_all(spark, sf_dir)
+    state = train.ModelState(fitted.output_columns(), PIPELINE.train_params).fit(fit_batch(wide))
+    return state.predict_proba(wide, "rf").select(C.batch, C.row, "label", "p1", "prediction")
+
+
+@functools.lru_cache(maxsize=4)
+def _trained(spark, sf_dir):
+    """The incremental training loop over every batch, in order."""
+    fitted, wide = prepared_all(spark, sf_dir)
+    ids = [r[0] for r in wide.select(C.batch).distinct().orderBy(C.batch).collect()]
+    state = train.ModelState(fitted.output_columns(), PIPELINE.train_params)
+    evals = []
+    for b in ids:
+        part = validate.holdout(wide.filter(F.col(C.batch) == b), PIPELINE.val_size, C)
+        state.fit(part.drop("is_holdout"))
+        hold = part.filter("is_holdout")
+        for m in validate.MODEL_ORDER:
+            pdf = state.predict_proba(hold, m).select(C.batch, "label", "p1", "prediction", F.lit(m).alias("model"))
+            evals.append(validate.evaluate(pdf, C).checkpoint(eager=True))
+    return state, wide, evals
+
+
+def q_rf_ensemble_scores(spark, sf_dir):
+    state, wide, _ = _trained(spark, sf_dir)
+    return state.predict_proba(wide, "rf").select(C.batch, C.row, "label", "p1", "prediction")
+
+
+def q_mlp_scores(spark, sf_dir):
+    state, wide, _ = _trained(spark, sf_dir)
+    return state.predict_proba(wide, "mlp").select(C.batch, C.row, "label", "p1", "prediction")
+
+
+def q_evaluate_models(spark, sf_dir):
+    _, _, evals = _trained(spark, sf_dir)
+    out = evals[0]
+    for e in evals[1:]:
+        out = out.unionByName(e)
+    return out
+
+
+def q_cv_scores(spark, sf_dir):
+    """V5: expanding-window CV of a fresh forest per fold and batch."""
+    fitted, wide = prepared_all(spark, sf_dir)
+    folds = validate.fold_membership(validate.cv_folds(wide, validate.DEFAULT_SPLITS, C), validate.DEFAULT_SPLITS, C)
+    folds = folds.checkpoint(eager=True)
+    ids = [r[0] for r in folds.select(C.batch).distinct().orderBy(C.batch).collect()]
+    results = []
+    for b in ids:
+        for k in range(validate.DEFAULT_SPLITS):
+            part = folds.filter((F.col(C.batch) == b) & (F.col("fold") == k))
+            tr = part.filter(F.col("role") == "train")
+            st = train.ModelState(fitted.output_columns(), PIPELINE.train_params).fit(tr)
+            te = st.predict_proba(part.filter(F.col("role") == "test"), "rf")
+            m = validate.binary_metrics(te.withColumn("fold", F.lit(k)), [C.batch, "fold"])
+            results.append(m.select(C.batch, "fold", "f1").checkpoint(eager=True))
+    allf = results[0]
+    for r in results[1:]:
+        allf = allf.unionByName(r)
+    return allf.groupBy(C.batch).agg(
+        F.round(F.avg("f1"), 4).alias("mean_f1"), F.round(F.stddev_pop("f1"), 4).alias("std_f1"),
+        F.count(F.lit(1)).cast("long").alias("n_folds"),
+    )
+
+
+@functools.lru_cache(maxsize=4)
+def _pipeline_root(spark, sf_dir):
+    """J1 over every batch of the fixture into a fresh store, then J2 twice."""
+    root = scratch_path(spark, "pipeline")
+    jobs.run_update(spark, transactions(spark, sf_dir), root, PIPELINE, process_all=True)
+    out = scratch_path(spark, "scored")
+    jobs.run_inference(spark, transactions(spark, sf_dir), root, out + "/all", PIPELINE)
+    jobs.run_inference(spark, transactions(spark, sf_dir).filter(F.col(C.amount) > 0), root, out + "/positive", PIPELINE)
+    return root
+
+
+def q_inference(spark, sf_dir):
+    root = _pipeline_root(spark, sf_dir)
+    return jobs.run_inference(spark, transactions(spark, sf_dir), root, None, PIPELINE)
+
+
+def q_scoring_summary(spark, sf_dir):
+    root = _pipeline_root(spark, sf_dir)
+    return serve.performance_summary(store_mod.BatchStore(spark, root).read("scoring_log"))
+
+
+def q_summary(spark, sf_dir):
+    return jobs.run_summary(spark, _pipeline_root(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- sources, store, stream
+def q_read_all_batches(spark, sf_dir):
+    st = store_mod.BatchStore(spark, scratch_path(spark, "store"))
+    b = batched(spark, sf_dir)
+    st.save_batches(b, profile.batch_meta(b, C))
+    return st.load_all_batches()
+
+
+def q_pending_batches(spark, sf_dir):
+    st = store_mod.BatchStore(spark, scratch_path(spark, "store"))
+    b = batched(spark, sf_dir)
+    empty = spark.createDataFrame([], f"{C.batch} int")
+    first = batches.next_batch(b, empty, C)
+    st.save_batches(first, profile.batch_meta(first, C))
+    return batches.pending_batches(b, st.read("batch_meta"), C)
+
+
+def q_stream_quality(spark, sf_dir):
+    base = scratch_path(spark, "stream")
+    b = batched(spark, sf_dir)
+    micro.write_landing(b, base + "/landing")
+    return micro.run_stream(
+        spark, base + "/landing", b.schema,
+        lambda df: profile.quality_report(df, C), base + "/quality", base + "/checkpoint",
+    ).select(*profile.quality_report(b, C).columns)
+
+
+CSV_TYPES = {
+    "Transaction_ID": "bigint", "Customer_ID": "bigint", "Transaction_Date": "timestamp",
+    "Transaction_Amount": "double", "Account_Balance": "double", "Age": "int",
+    "Transaction_Type": "string", "Merchant_Category": "string", "Device_Type": "string",
+    "Account_Type": "string", "State": "string", "Gender": "string", "Bank_Branch": "string", "Is_Fraud": "int",
+}
+
+
+def q_csv_source(spark, sf_dir):
+    """S1/S2 round trip: the fixture as CSV text with three date layouts and
+    missing-value tokens, read back through the source."""
+    t = transactions(spark, sf_dir)
+    layouts = F.when(F.col(C.id) % 3 == 0, F.date_format(C.time, "yyyy-MM-dd HH:mm:ss")).when(
+        F.col(C.id) % 3 == 1, F.date_format(C.time, "MM/dd/yyyy")
+    ).otherwise(F.date_format(C.time, "yyyy/MM/dd"))
+    text = t.select(*[
+        layouts.alias(c) if c == C.time
+        else F.coalesce(F.col(c).cast("string"), F.lit("NaN")).alias(c) if c == C.amount
+        else F.coalesce(F.col(c).cast("string"), F.lit("N/A")).alias(c) if c == C.device
+        else F.col(c).cast("string").alias(c)
+        for c in t.columns
+    ])
+    path = scratch_path(spark, "csv")
+    text.write.mode("overwrite").option("header", True).csv(path)
+    return csv_source.read_transactions_csv(spark, path, CSV_TYPES, C)
+
+
+# ---------------------------------------------------------------- events table
+def events_by_day(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    return ev.withColumn(C.batch, F.datediff(F.to_date("ts"), F.lit("1970-01-01")).cast("int"))
+
+
+EVENT_COLS = Columns(time="ts", id="event_id", target="__no_target__")
+
+
+def q_event_profile(spark, sf_dir):
+    p = profile.column_profile(events_by_day(spark, sf_dir).drop("ts"), C.batch)
+    for c in ("mean", "std", "min", "max"):
+        p = p.withColumn(c, F.round(c, 4))
+    return p
+
+
+def q_event_drift(spark, sf_dir):
+    ev = events_by_day(spark, sf_dir).drop("ts")
+    feats = drift.drift_features(ev, None, EVENT_COLS)
+    first = ev.agg(F.min(C.batch)).first()[0]
+    ref = drift.reference_features(feats, first, EVENT_COLS)
+    return drift.drift_deltas(feats, ref, drift.DEFAULT_THRESHOLD, first, EVENT_COLS)
+
+
+QUERIES.update({
+    "class_weights": q_class_weights,
+    "rf_scores": q_rf_scores,
+    "rf_ensemble_scores": q_rf_ensemble_scores,
+    "mlp_scores": q_mlp_scores,
+    "evaluate_models": q_evaluate_models,
+    "cv_scores": q_cv_scores,
+    "inference": q_inference,
+    "scoring_summary": q_scoring_summary,
+    "summary": q_summary,
+    "read_all_batches": q_read_all_batches,
+    "pending_batches": q_pending_batches,
+    "stream_quality": q_stream_quality,
+    "csv_source": q_csv_source,
+    "event_profile": q_event_profile,
+    "event_drift": q_event_drift,
+})

@@ -489,3 +489,61 @@ Q["best_model"] = f"""{VALID_BASE}
 SELECT model AS model_name, batch_index, f1 AS score, 'f1' AS metric FROM ev
 WHERE batch_index >= 0
 ORDER BY f1 DESC, batch_index DESC, CASE model WHEN 'amount' THEN 0 WHEN 'status' THEN 1 ELSE 2 END DESC LIMIT 1"""
+
+
+# ---------------------------------------------------------------- class weights, store, stream, CSV
+Q["class_weights"] = f"""{CLEAN},
+l AS (SELECT CAST(Is_Fraud AS DOUBLE) AS label FROM cleaned WHERE batch_index = 0),
+c AS (SELECT label, CAST(count(*) AS BIGINT) AS count FROM l GROUP BY label)
+SELECT label, count,
+       CAST((SELECT count(*) FROM l) AS DOUBLE) / (CAST((SELECT count(*) FROM c) AS DOUBLE) * CAST(count AS DOUBLE)) AS weight
+FROM c"""
+
+Q["read_all_batches"] = Q["assign_batches"]
+
+Q["pending_batches"] = f"""{TXN}
+SELECT DISTINCT batch_index FROM batched WHERE batch_index > (SELECT min(batch_index) FROM batched)"""
+
+Q["stream_quality"] = Q["quality_report"]
+
+Q["csv_source"] = f"""WITH {BASE_CTE}
+SELECT * FROM base UNION ALL SELECT * FROM base WHERE Transaction_ID % 50 = 7"""
+
+# ---------------------------------------------------------------- events
+EV = """WITH ev AS (SELECT *, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS batch_index FROM events)"""
+EV_NUM = ["event_id", "user_id", "value"]
+EV_TXT = ["event_type", "props"]
+
+Q["event_profile"] = f"""{EV},
+{",".join(mode_cte('top_' + c, 'ev', c) for c in EV_TXT)},
+{",".join(f"tc_{c} AS (SELECT batch_index, {c} AS v, CAST(count(*) AS BIGINT) AS k FROM ev WHERE {c} IS NOT NULL GROUP BY batch_index, {c})" for c in EV_TXT)}
+""" + "\nUNION ALL\n".join(
+    [f"""SELECT batch_index, '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS count,
+       CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_missing, CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct,
+       round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std,
+       round(min(CAST({c} AS DOUBLE)), 4) AS min, round(max(CAST({c} AS DOUBLE)), 4) AS max,
+       CAST(NULL AS VARCHAR) AS top_value, CAST(NULL AS BIGINT) AS top_count
+FROM ev GROUP BY batch_index""" for c in EV_NUM]
+    + [f"""SELECT a.batch_index, '{c}' AS column_name, a.count, a.n_missing, a.n_distinct,
+       CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max,
+       t.top_{c}_v AS top_value, k.k AS top_count
+FROM (SELECT batch_index, CAST(count({c}) AS BIGINT) AS count, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_missing,
+             CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct FROM ev GROUP BY batch_index) a
+LEFT JOIN top_{c} t USING (batch_index)
+LEFT JOIN tc_{c} k ON k.batch_index = a.batch_index AND k.v = t.top_{c}_v""" for c in EV_TXT]
+)
+
+Q["event_drift"] = f"""{EV},
+fv AS (""" + "\nUNION ALL\n".join(
+    [f"SELECT batch_index, '{c}_mean' AS feature, avg(CAST({c} AS DOUBLE)) AS value FROM ev GROUP BY batch_index" for c in EV_NUM]
+    + [f"SELECT batch_index, '{c}_std' AS feature, stddev_samp(CAST({c} AS DOUBLE)) AS value FROM ev GROUP BY batch_index" for c in EV_NUM]
+    + [f"SELECT batch_index, '{c}=' || {c} || '_share' AS feature, "
+       f"CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER (PARTITION BY batch_index) AS DOUBLE) AS value "
+       f"FROM ev WHERE {c} IS NOT NULL GROUP BY batch_index, {c}" for c in EV_TXT]
+) + """),
+ref AS (SELECT feature, value AS reference FROM fv WHERE batch_index = (SELECT min(batch_index) FROM ev)),
+d AS (SELECT f.batch_index, f.feature, r.reference, f.value AS current,
+             CASE WHEN r.reference = 0 THEN abs(f.value) ELSE abs(f.value - r.reference) / abs(r.reference) END AS delta
+      FROM fv f JOIN ref r USING (feature) WHERE f.batch_index <> (SELECT min(batch_index) FROM ev))
+SELECT batch_index, feature, round(reference, 4) AS reference, round(current, 4) AS current,
+       round(delta * 100.0, 2) AS delta_pct, coalesce(delta > 0.2, false) AS drifted FROM d"""
