@@ -146,11 +146,22 @@ def clean(
     raw: DataFrame,
     cols: Columns = DEFAULT_COLUMNS,
     max_missing_pct: float = DEFAULT_MAX_MISSING_PCT,
+    materialize: bool = True,
 ) -> Cleaned:
-    """C1 -> C2 -> C3 -> C4 for all batches at once."""
+    """C1 -> C2 -> C3 -> C4 for all batches at once.
+
+    With ``materialize`` the cleaned rows and the per-batch parameters are
+    written to the shared checkpoint folder: every later stage reads them,
+    most of them several times."""
+    from tidemark.session import materialize as write_back
+
     deduped = dedupe(raw, cols)
     params = clean_params(raw, deduped, cols, max_missing_pct)
+    if materialize:
+        params = write_back(params, "clean-params")
     data = fill_and_filter(deduped, params, cols)
+    if materialize:
+        data = write_back(data, "clean")
     return Cleaned(data=data, dropped=dropped_columns(params, data_columns(raw, cols), cols), params=params)
 
 

@@ -75,10 +75,25 @@ def _subsets(items: str, proper: bool) -> Column:
     )
 
 
-def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
+def basket_counts(bk: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
+    """Distinct baskets per batch with their row counts (one pass over rows,
+    map-side combined); everything after it works on this table."""
+    return bk.groupBy(cols.batch, "items").agg(F.count(F.lit(1)).cast("long").alias("__w"))
+
+
+def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS,
+                      materialize: bool = True) -> DataFrame:
     """A4: (batch_index, itemset, count, support) with support >= min_support."""
-    n = bk.groupBy(cols.batch).agg(F.count(F.lit(1)).alias("__n"))
-    item_counts = bk.select(cols.batch, F.explode("items").alias("item")).groupBy(cols.batch, "item").count()
+    from tidemark.session import materialize as write_back
+
+    bc = basket_counts(bk, cols)
+    if materialize:
+        bc = write_back(bc, "baskets")
+    n = bc.groupBy(cols.batch).agg(F.sum("__w").alias("__n"))
+    item_counts = (
+        bc.select(cols.batch, "__w", F.explode("items").alias("item"))
+        .groupBy(cols.batch, "item").agg(F.sum("__w").alias("count"))
+    )
     frequent_items = (
         item_counts.join(n, cols.batch)
         .filter(F.col("count") / F.col("__n") >= F.lit(params.min_support))
@@ -91,18 +106,17 @@ def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Co
         F.size(kept) > params.max_items,
         F.raise_error(F.lit(f"a pruned basket holds more than {params.max_items} items; use FP-growth")),
     ).otherwise(kept)
-    pruned = bk.join(frequent_items, cols.batch).select(cols.batch, guarded.alias("items"))
-    weighted = pruned.groupBy(cols.batch, "items").agg(F.count(F.lit(1)).alias("__w"))
-    subsets = weighted.select(
-        cols.batch, "__w", F.explode(_subsets("items", proper=False)).alias("itemset")
-    )
+    pruned = bc.join(frequent_items, cols.batch).select(cols.batch, "__w", guarded.alias("items"))
+    weighted = pruned.groupBy(cols.batch, "items").agg(F.sum("__w").alias("__w"))
+    subsets = weighted.select(cols.batch, "__w", F.explode(_subsets("items", proper=False)).alias("itemset"))
     counted = subsets.groupBy(cols.batch, "itemset").agg(F.sum("__w").cast("long").alias("count"))
-    return (
+    out = (
         counted.join(n, cols.batch)
         .withColumn("support", F.col("count") / F.col("__n"))
         .filter(F.col("support") >= F.lit(params.min_support))
         .select(cols.batch, "itemset", "count", "support")
     )
+    return write_back(out, "itemsets") if materialize else out
 
 
 def frequent_itemsets_fpgrowth(bk: DataFrame, batch_index: int, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS) -> DataFrame:

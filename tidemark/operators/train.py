@@ -75,7 +75,9 @@ class ModelState:
     def fit(self, batch: DataFrame) -> "ModelState":
         """T2/T4 on the first call, T3/T5 afterwards. ``batch`` holds the
         feature columns and ``label``."""
-        data = assemble(batch, self.feature_cols)
+        from pyspark import StorageLevel
+
+        data = assemble(batch, self.feature_cols).persist(StorageLevel.MEMORY_AND_DISK)
         if self.batch_count == 0:
             rows = class_weights(batch).collect()  # at most two rows
             self.weights = {float(r["label"]): float(r["weight"]) for r in rows}
@@ -87,6 +89,7 @@ class ModelState:
             w = F.when(F.col("label") == lab, F.lit(wt)).otherwise(w)
         data = data.withColumn("__w", w)
         rf = RandomForestClassifier(
+            cacheNodeIds=True,
             numTrees=trees, maxDepth=self.params.rf_depth, weightCol="__w",
             seed=self.params.seed + self.batch_count, labelCol="label", featuresCol="features",
         )
@@ -98,6 +101,7 @@ class ModelState:
         if self.mlp is not None:
             mlp.setInitialWeights(self.mlp.weights)
         self.mlp = mlp.fit(data)
+        data.unpersist()
         self.batch_count += 1
         return self
 

@@ -296,8 +296,10 @@ PIPELINE = jobs.PipelineConfig(min_batches=VALIDATION_MIN_BATCHES)
 
 
 def prepared_all(spark, sf_dir):
+    """Prepared features, checkpointed: model fits pass over their batch
+    several times, and must not recompute the cleaning lineage each time."""
     fitted, wide = prepared(spark, sf_dir, features.FeatureParams())
-    return fitted, wide
+    return fitted, wide.checkpoint(eager=True)
 
 
 def q_class_weights(spark, sf_dir):

@@ -6,7 +6,7 @@ even a value (or a group of identical rows) holding a third of the table is
 split over many tasks. Each task numbers its rows; the per-partition row counts
 (one row per partition, a proven size bound) give the partition offsets.
 
-The numbered table is checkpointed into the shared checkpoint folder before the
+The numbered table is written to the shared checkpoint folder before the
 counts are taken: the position of a row must not change if a task is re-run
 after an executor loss, and the counts and the positions must come from the
 same range split.
@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import materialize
 
 _PID = "__pid"
 _POS = "__pos"
@@ -55,8 +55,7 @@ def global_positions(
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
     )
     if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)
-        ranged = ranged.checkpoint(eager=True)
+        ranged = materialize(ranged, "positions")
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: the running sum runs in one task over <= n rows.
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

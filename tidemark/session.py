@@ -58,3 +58,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder
+    and read it back. Columnar and compressed (cheaper than an RDD
+    checkpoint), survives executor loss, and later scans get pushdown."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
