@@ -81,41 +81,94 @@ def basket_counts(bk: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
     return bk.groupBy(cols.batch, "items").agg(F.count(F.lit(1)).cast("long").alias("__w"))
 
 
-def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS,
-                      materialize: bool = True) -> DataFrame:
-    """A4: (batch_index, itemset, count, support) with support >= min_support."""
-    from tidemark.session import materialize as write_back
-
-    bc = basket_counts(bk, cols)
-    if materialize:
-        bc = write_back(bc, "baskets")
-    n = bc.groupBy(cols.batch).agg(F.sum("__w").alias("__n"))
+def _frequent_item_dictionary(bc: DataFrame, n: DataFrame, params: RuleParams, cols: Columns) -> DataFrame:
+    """Per batch: the sorted array of items with support >= min_support."""
     item_counts = (
         bc.select(cols.batch, "__w", F.explode("items").alias("item"))
         .groupBy(cols.batch, "item").agg(F.sum("__w").alias("count"))
     )
-    frequent_items = (
+    return (
         item_counts.join(n, cols.batch)
         .filter(F.col("count") / F.col("__n") >= F.lit(params.min_support))
         .groupBy(cols.batch)
-        .agg(F.collect_set("item").alias("__keep"))
+        .agg(F.array_sort(F.collect_set("item")).alias("__dict"))
     )
-    kept = F.array_sort(F.array_intersect("items", "__keep"))
+
+
+def _guard(items: Column, params: RuleParams) -> Column:
     # In-plan guard (no extra job): the subset fan-out must stay bounded.
-    guarded = F.when(
-        F.size(kept) > params.max_items,
+    return F.when(
+        F.size(items) > params.max_items,
         F.raise_error(F.lit(f"a pruned basket holds more than {params.max_items} items; use FP-growth")),
-    ).otherwise(kept)
-    pruned = bc.join(frequent_items, cols.batch).select(cols.batch, "__w", guarded.alias("items"))
-    weighted = pruned.groupBy(cols.batch, "items").agg(F.sum("__w").alias("__w"))
-    subsets = weighted.select(cols.batch, "__w", F.explode(_subsets("items", proper=False)).alias("itemset"))
-    counted = subsets.groupBy(cols.batch, "itemset").agg(F.sum("__w").cast("long").alias("count"))
-    out = (
-        counted.join(n, cols.batch)
-        .withColumn("support", F.col("count") / F.col("__n"))
-        .filter(F.col("support") >= F.lit(params.min_support))
-        .select(cols.batch, "itemset", "count", "support")
-    )
+    ).otherwise(items)
+
+
+def _mask_subsets(pos: str, width: int) -> Column:
+    """Bit mask (over the batch dictionary) of local subset ``__m`` of the
+    sorted position array ``pos``: an unrolled bit deposit, codegen only."""
+    terms = [
+        f"IF((shiftright(__m, {i}) & 1) = 1 AND get({pos}, {i}) IS NOT NULL, "
+        f"shiftleft(CAST(1 AS BIGINT), get({pos}, {i})), CAST(0 AS BIGINT))"
+        for i in range(width)
+    ]
+    return F.expr(" + ".join(terms))
+
+
+def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS,
+                      materialize: bool = True) -> DataFrame:
+    """A4: (batch_index, itemset, count, support) with support >= min_support.
+
+    Subsets are enumerated as bit masks over each batch's frequent-item
+    dictionary (at most 63 items: one ``long``), so the exploded rows carry a
+    long key and the work is arithmetic inside whole-stage codegen. Only the
+    frequent masks are decoded back to item arrays. A batch with more than 63
+    frequent items takes the array path.
+    """
+    from tidemark.session import materialize as write_back
+
+    bc = basket_counts(bk, cols)
+    if materialize:
+        bc = write_back(bc, "baskets")
+    n = bc.groupBy(cols.batch).agg(F.sum("__w").alias("__n"))
+    dic = _frequent_item_dictionary(bc, n, params, cols)
+    if materialize:
+        dic = write_back(dic, "item-dictionary")
+    widest = dic.agg(F.max(F.size("__dict"))).first()[0]
+    if widest is None:
+        out = bk.sparkSession.createDataFrame([], f"{cols.batch} int, itemset array<string>, count long, support double")
+        return out
+    j = bc.join(dic, cols.batch)
+    if widest <= 63:
+        pos = F.array_sort(F.filter(F.transform("items", lambda x: F.array_position("__dict", x).cast("int") - 1),
+                                    lambda p: p >= 0))
+        pruned = j.select(cols.batch, "__w", _guard(pos, params).alias("__pos"))
+        weighted = pruned.groupBy(cols.batch, "__pos").agg(F.sum("__w").alias("__w"))
+        top = F.expr("shiftleft(1, size(__pos)) - 1")
+        subsets = weighted.select(
+            cols.batch, "__w", "__pos",
+            F.explode(F.when(top >= 1, F.sequence(F.lit(1), top)).otherwise(F.array().cast("array<int>"))).alias("__m"),
+        ).select(cols.batch, "__w", _mask_subsets("__pos", params.max_items).alias("__mask"))
+        counted = subsets.groupBy(cols.batch, "__mask").agg(F.sum("__w").cast("long").alias("count"))
+        frequent = counted.join(n, cols.batch).withColumn("support", F.col("count") / F.col("__n")).filter(
+            F.col("support") >= F.lit(params.min_support)
+        )
+        out = frequent.join(dic, cols.batch).select(
+            cols.batch,
+            F.expr("filter(__dict, (x, i) -> (shiftright(__mask, i) & 1) = 1)").alias("itemset"),
+            "count", "support",
+        )
+    else:
+        kept = _guard(F.array_sort(F.array_intersect("items", "__dict")), params)
+        pruned = j.select(cols.batch, "__w", kept.alias("items"))
+        weighted = pruned.groupBy(cols.batch, "items").agg(F.sum("__w").alias("__w"))
+        subsets = weighted.select(cols.batch, "__w", F.explode(_subsets("items", proper=False)).alias("itemset"))
+        counted = subsets.groupBy(cols.batch, "itemset").agg(F.sum("__w").cast("long").alias("count"))
+        out = (
+            counted.join(n, cols.batch)
+            .withColumn("support", F.col("count") / F.col("__n"))
+            .filter(F.col("support") >= F.lit(params.min_support))
+            .select(cols.batch, "itemset", "count", "support")
+        )
     return write_back(out, "itemsets") if materialize else out
 
 

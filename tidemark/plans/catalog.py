@@ -414,13 +414,13 @@ def q_pending_batches(spark, sf_dir):
     return batches.pending_batches(b, st.read("batch_meta"), C)
 
 
-def q_stream_quality(spark, sf_dir):
+def q_stream_quality(spark, sf_dir, files_per_trigger: int = 16):
     base = scratch_path(spark, "stream")
     b = batched(spark, sf_dir)
     micro.write_landing(b, base + "/landing")
     return micro.run_stream(
         spark, base + "/landing", b.schema,
-        lambda df: profile.quality_report(df, C), base + "/quality", base + "/checkpoint",
+        lambda df: profile.quality_report(df, C), base + "/quality", base + "/checkpoint", files_per_trigger,
     ).select(*profile.quality_report(b, C).columns)
 
 
