@@ -70,6 +70,7 @@ class ModelState:
     forest: list[tuple[RandomForestClassificationModel, int]] = field(default_factory=list)
     mlp: MultilayerPerceptronClassificationModel | None = None
     batch_count: int = 0
+    member_paths: list[str | None] = field(default_factory=list)
 
     # ----------------------------------------------------------------- fit
     def fit(self, batch: DataFrame) -> "ModelState":
@@ -94,8 +95,10 @@ class ModelState:
             seed=self.params.seed + self.batch_count, labelCol="label", featuresCol="features",
         )
         self.forest.append((rf.fit(data), trees))
+        self.member_paths.append(None)
         if self.params.max_members and len(self.forest) > self.params.max_members:
             self.forest = self.forest[-self.params.max_members:]
+            self.member_paths = self.member_paths[-self.params.max_members:]
         layers = [len(self.feature_cols), *self.params.mlp_layers, 2]
         mlp = MultilayerPerceptronClassifier(layers=layers, maxIter=1, seed=self.params.seed, labelCol="label", featuresCol="features")
         if self.mlp is not None:
@@ -145,20 +148,30 @@ class ModelState:
 
     # ----------------------------------------------------------------- store
     def save(self, path: str) -> str:
-        """Write version ``batch_count`` under ``path``; returns the folder."""
-        vdir = f"{path.rstrip('/')}/version={self.batch_count:06d}"
+        """Write version ``batch_count`` under ``path``; returns the folder.
+
+        Forest members are written once (``members/``) and each version's
+        manifest lists the members it uses, so saving stays linear in the
+        number of batches."""
+        from pyspark.sql import SparkSession
+
+        root = path.rstrip("/")
+        vdir = f"{root}/version={self.batch_count:06d}"
+        while len(self.member_paths) < len(self.forest):
+            self.member_paths.insert(0, None)
         for i, (member, _) in enumerate(self.forest):
-            member.write().overwrite().save(f"{vdir}/rf_{i:04d}")
+            if self.member_paths[i] is None:
+                mpath = f"{root}/members/rf_{self.batch_count:06d}_{i:04d}"
+                member.write().overwrite().save(mpath)
+                self.member_paths[i] = mpath
         if self.mlp is not None:
             self.mlp.write().overwrite().save(f"{vdir}/mlp")
         manifest = {
             "feature_cols": self.feature_cols, "params": asdict(self.params),
             "weights": {str(k): v for k, v in self.weights.items()},
-            "forest_trees": [n for _, n in self.forest], "batch_count": self.batch_count,
-            "has_mlp": self.mlp is not None,
+            "forest_trees": [n for _, n in self.forest], "member_paths": self.member_paths,
+            "batch_count": self.batch_count, "has_mlp": self.mlp is not None,
         }
-        from pyspark.sql import SparkSession
-
         spark = SparkSession.getActiveSession()
         spark.createDataFrame([(json.dumps(manifest),)], "manifest string").coalesce(1).write.mode("overwrite").json(f"{vdir}/manifest")
         return vdir
@@ -181,8 +194,9 @@ class ModelState:
         p["mlp_layers"] = tuple(p["mlp_layers"])
         st = ModelState(man["feature_cols"], TrainParams(**p))
         st.weights = {float(k): v for k, v in man["weights"].items()}
+        st.member_paths = list(man["member_paths"])
         st.forest = [
-            (RandomForestClassificationModel.load(f"{vdir}/rf_{i:04d}"), n) for i, n in enumerate(man["forest_trees"])
+            (RandomForestClassificationModel.load(mp), n) for mp, n in zip(st.member_paths, man["forest_trees"])
         ]
         st.mlp = MultilayerPerceptronClassificationModel.load(f"{vdir}/mlp") if man["has_mlp"] else None
         st.batch_count = man["batch_count"]

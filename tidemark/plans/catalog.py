@@ -451,6 +451,23 @@ def q_csv_source(spark, sf_dir):
     return csv_source.read_transactions_csv(spark, path, CSV_TYPES, C)
 
 
+def q_stream_clean(spark, sf_dir):
+    """The cleaned table produced by the streaming analytics (same as ``clean``)."""
+    base = scratch_path(spark, "stream-analytics")
+    b = batched(spark, sf_dir)
+    micro.write_landing(b, base + "/landing")
+    out = micro.stream_analytics(spark, base + "/landing", b.schema, base + "/reports", base + "/checkpoint", 16, C)
+    return out["clean"].select(*b.columns)
+
+
+def q_meta_history(spark, sf_dir):
+    """S5 + S7: stored batch metadata read back in batch order."""
+    st = store_mod.BatchStore(spark, scratch_path(spark, "store"))
+    b = batched(spark, sf_dir)
+    st.save_batches(b, profile.batch_meta(b, C))
+    return st.history("batch_meta").drop("saved_at")
+
+
 # ---------------------------------------------------------------- events table
 def events_by_day(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
@@ -488,6 +505,8 @@ QUERIES.update({
     "read_all_batches": q_read_all_batches,
     "pending_batches": q_pending_batches,
     "stream_quality": q_stream_quality,
+    "stream_clean": q_stream_clean,
+    "meta_history": q_meta_history,
     "csv_source": q_csv_source,
     "event_profile": q_event_profile,
     "event_drift": q_event_drift,

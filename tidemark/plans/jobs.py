@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.columns import DEFAULT_COLUMNS, Columns
 from tidemark.operators import batches, clean, drift, eda, features, profile, rules, serve, train, validate
+from tidemark.session import materialize
 
 
 @dataclass
@@ -43,30 +44,33 @@ def _store(spark, root):
 def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineConfig = PipelineConfig(),
                n_batches: int | None = 1, process_all: bool = False) -> list[int]:
     """Process the next ``n_batches`` pending batches (all with ``process_all``).
-    Returns the processed batch numbers."""
+    Returns the processed batch numbers (in a real deployment with very many
+    batches, use the returned list only for logging)."""
     C = cfg.cols
     store = _store(spark, root)
     numbered = batches.assign_batches(source, cfg.batch_size, C)
     stored = store.read("batch_meta")
     ids = numbered.select(C.batch).distinct() if stored is None else batches.pending_batches(numbered, stored, C)
-    ids = ids.orderBy(C.batch)
     if not process_all:
-        ids = ids.limit(n_batches or 1)
-    todo = [r[0] for r in ids.collect()]
-    if not todo:
+        ids = ids.orderBy(C.batch).limit(n_batches or 1)
+    # The pending ids stay a table (never a driver list): analytics select
+    # their rows with a semi join, which also prunes store partitions.
+    ids = materialize(ids, "pending")
+    if ids.isEmpty():
         return []
-    chosen = numbered.join(F.broadcast(spark.createDataFrame([(i,) for i in todo], f"{C.batch} int")), C.batch, "left_semi")
+    chosen = numbered.join(ids, C.batch, "left_semi")
     store.save_batches(chosen, profile.batch_meta(chosen, C))
-    raw = store.read("raw").filter(F.col(C.batch).isin(todo))
+    raw = store.read("raw").join(ids, C.batch, "left_semi")
 
     store.write("quality", profile.quality_report(raw, C, cfg.thresholds))
     store.write("missing", profile.missing_per_column(raw, C))
     cl = clean.clean(raw, C, cfg.max_missing_pct)
     store.write("clean", cl.data)
     store.write("dropped", cl.dropped)
-    data = store.read("clean").filter(F.col(C.batch).isin(todo))
+    data = store.read("clean").join(ids, C.batch, "left_semi")
     dropped = store.read("dropped")
-    dropped = None if dropped is None else dropped.filter(F.col(C.batch).isin(todo))
+    dropped = None if dropped is None else dropped.join(ids, C.batch, "left_semi")
+    has_first = not ids.filter(F.col(C.batch) == 0).isEmpty()
 
     bk = rules.baskets(data, C)
     mined = rules.association_rules(rules.frequent_itemsets(bk, cfg.rule_params, C), cfg.rule_params, C)
@@ -79,7 +83,7 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
     store.write("eda_rate", eda.target_rate_by_category(data, C))
 
     feats = drift.drift_features(data, dropped, C)
-    if 0 in todo:
+    if has_first:
         store.write("drift_reference", drift.reference_features(feats, 0, C), partitioned=False)
     ref = store.read("drift_reference")
     if ref is not None:
@@ -88,7 +92,7 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
         store.write("drift_summary", drift.drift_summary(deltas, C))
 
     state_path = store.path("fitted_features")
-    if 0 in todo:
+    if has_first:
         fitted = features.fit(data.filter(F.col(C.batch) == 0), cfg.feature_params, C)
         fitted.save(spark, state_path)
     else:
@@ -108,7 +112,12 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
         best_score = float(best["score"])
     except serve.NoModelError:
         best_score = 0.0
-    for b in todo:
+    done = []
+    # Sequential by definition (each batch extends the models); the ids are
+    # streamed to the driver in order, never held as one list.
+    for row in ids.orderBy(C.batch).toLocalIterator():
+        b = row[0]
+        done.append(b)
         part = prepared.filter(F.col(C.batch) == b)
         flagged = validate.holdout(part, cfg.val_size, C)
         fit_rows = flagged if cfg.holdout == "in_sample" else flagged.filter(~F.col("is_holdout"))
@@ -132,7 +141,7 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
                 serve.promote(spark, registry)
             except serve.NoModelError:
                 pass
-    return todo
+    return done
 
 
 def run_inference(spark: SparkSession, table: DataFrame, root: str, out_path: str | None = None,

@@ -506,6 +506,10 @@ SELECT DISTINCT batch_index FROM batched WHERE batch_index > (SELECT min(batch_i
 
 Q["stream_quality"] = Q["quality_report"]
 
+Q["stream_clean"] = Q["clean"]
+
+Q["meta_history"] = Q["batch_meta"]
+
 Q["csv_source"] = f"""WITH {BASE_CTE}
 SELECT * FROM base UNION ALL SELECT * FROM base WHERE Transaction_ID % 50 = 7"""
 

@@ -67,3 +67,54 @@ def run_stream(
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(sink_dir)
+
+
+def stream_analytics(
+    spark: SparkSession,
+    landing_dir: str,
+    schema,
+    root: str,
+    checkpoint_dir: str,
+    files_per_trigger: int = 16,
+    cols=None,
+) -> dict[str, DataFrame]:
+    """J1 on the stream: quality, cleaning, profile and rules for every
+    micro-batch with the batch operators, written to per-batch tables under
+    ``root`` (dynamic partition overwrite: replays are idempotent). Returns the
+    written tables. Drift and training need batch 0's state first; they run in
+    the update job over the stored tables."""
+    from tidemark.columns import DEFAULT_COLUMNS
+    from tidemark.operators import clean, eda, profile, rules
+
+    C = cols or DEFAULT_COLUMNS
+
+    def sink(df: DataFrame, name: str) -> None:
+        (
+            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH).parquet(f"{root}/{name}")
+        )
+
+    def each(df: DataFrame, epoch_id: int) -> None:
+        sink(profile.quality_report(df, C), "quality")
+        sink(profile.batch_meta(df, C), "batch_meta")
+        cl = clean.clean(df, C)
+        sink(cl.data, "clean")
+        sink(eda.describe_numeric(cl.data, cl.dropped, C), "eda_numeric")
+        fi = rules.frequent_itemsets(rules.baskets(cl.data, C), rules.RuleParams(), C)
+        sink(rules.as_text(rules.top_rules(rules.association_rules(fi, rules.RuleParams(), C), 10, C)), "rules")
+
+    q = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .option("basePath", landing_dir)
+        .parquet(landing_dir)
+        .writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    names = ("quality", "batch_meta", "clean", "eda_numeric", "rules")
+    return {n: spark.read.parquet(f"{root}/{n}") for n in names}
