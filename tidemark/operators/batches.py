@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.columns import DEFAULT_COLUMNS, Columns
 from tidemark.functions.exprs import nan_to_null
 from tidemark.plans.positions import global_positions
+from tidemark.session import materialize
 
 DEFAULT_BATCH_SIZE = 2000
 
@@ -17,6 +18,7 @@ def assign_batches(
     batch_size: int = DEFAULT_BATCH_SIZE,
     cols: Columns = DEFAULT_COLUMNS,
     num_partitions: int | None = None,
+    bucketed: bool = True,
 ) -> DataFrame:
     """Number rows in (time, id) order and cut them into ``batch_size`` slices.
 
@@ -30,7 +32,13 @@ def assign_batches(
     if cols.id in df.columns:
         order.append(F.col(cols.id).asc_nulls_last())
     numbered = global_positions(nan_to_null(df), order, cols.row, num_partitions)
-    return numbered.withColumn(cols.batch, F.expr(f"CAST(`{cols.row}` DIV {int(batch_size)} AS INT)"))
+    out = numbered.withColumn(cols.batch, F.expr(f"CAST(`{cols.row}` DIV {int(batch_size)} AS INT)"))
+    if bucketed:
+        # Every later operator groups or joins on batch_index: write the table
+        # bucketed by it once, so those stages run without another shuffle of
+        # the rows (a batch holds at most batch_size rows: no skewed bucket).
+        out = materialize(out, "batched", bucket_col=cols.batch, buckets=num_partitions)
+    return out
 
 
 def batch_ids(batched: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:

@@ -158,10 +158,10 @@ def clean(
     deduped = dedupe(raw, cols)
     params = clean_params(raw, deduped, cols, max_missing_pct)
     if materialize:
-        params = write_back(params, "clean-params")
+        params = write_back(params, "clean-params", bucket_col=cols.batch)
     data = fill_and_filter(deduped, params, cols)
     if materialize:
-        data = write_back(data, "clean")
+        data = write_back(data, "clean", bucket_col=cols.batch)
     return Cleaned(data=data, dropped=dropped_columns(params, data_columns(raw, cols), cols), params=params)
 
 

@@ -60,11 +60,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", bucket_col: str | None = None, buckets: int | None = None):
     """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder
     and read it back. Columnar and compressed (cheaper than an RDD
-    checkpoint), survives executor loss, and later scans get pushdown."""
+    checkpoint), survives executor loss, and later scans get pushdown.
+
+    With ``bucket_col`` the table is written bucketed (one file per bucket,
+    registered as an external table over that folder), so later aggregates
+    and joins keyed by that column reuse the partitioning instead of
+    shuffling the rows again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if bucket_col is None:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    import uuid
+
+    n = int(buckets or spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    table = f"tidemark_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    (
+        df.repartition(n, bucket_col)
+        .write.mode("overwrite")
+        .bucketBy(n, bucket_col)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return spark.table(table)
