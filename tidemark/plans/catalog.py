@@ -317,7 +317,7 @@ def q_rf_scores(spark, sf_dir):
 def _trained(spark, sf_dir):
     """The incremental training loop over every batch, in order."""
     fitted, wide = prepared_all(spark, sf_dir)
-    ids = [r[0] for r in wide.select(C.batch).distinct().orderBy(C.batch).collect()]
+    ids = (r[0] for r in wide.select(C.batch).distinct().orderBy(C.batch).toLocalIterator())
     state = train.ModelState(fitted.output_columns(), PIPELINE.train_params)
     evals = []
     for b in ids:
@@ -353,7 +353,7 @@ def q_cv_scores(spark, sf_dir):
     fitted, wide = prepared_all(spark, sf_dir)
     folds = validate.fold_membership(validate.cv_folds(wide, validate.DEFAULT_SPLITS, C), validate.DEFAULT_SPLITS, C)
     folds = folds.checkpoint(eager=True)
-    ids = [r[0] for r in folds.select(C.batch).distinct().orderBy(C.batch).collect()]
+    ids = [r[0] for r in folds.select(C.batch).distinct().orderBy(C.batch).toLocalIterator()]
     results = []
     for b in ids:
         for k in range(validate.DEFAULT_SPLITS):
