@@ -59,3 +59,16 @@ def test_stream_equals_batch(spark):
     exp = profile.quality_report(b, C)
     cols = exp.columns
     assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_group_medians_exact_with_a_hot_group(spark):
+    from tidemark.plans.positions import group_medians
+
+    hot = [("hot", float(i % 17)) for i in range(3000)]
+    cold = [("a", 1.0), ("a", 2.0), ("a", 10.0), ("a", 11.0), ("b", 5.0), ("b", None)]
+    df = spark.createDataFrame(hot + cold, "g string, v double")
+    got = {r["g"]: r["median"] for r in group_medians(df, ["g"], "v", num_partitions=7).collect()}
+    import statistics
+
+    assert got["a"] == 6.0 and got["b"] == 5.0
+    assert got["hot"] == statistics.median([float(i % 17) for i in range(3000)])

@@ -146,7 +146,8 @@ def quality_gate(rep: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
 def column_profile(df: DataFrame, batch_col: str) -> DataFrame:
     """Schema-driven profile of any table, one row per (batch, column).
 
-    Numeric columns: count, missing, distinct, mean, sample std, min, max.
+    Numeric columns: count, missing, distinct, mean, sample std, min, max and
+    the exact median (skew-proof, see ``plans.positions.group_medians``).
     String columns: count, missing, distinct, most frequent value (ties:
     smallest) and its count. Every step aggregates with map-side combine
     (value counts first, then per column), so a batch key holding a large
@@ -171,12 +172,15 @@ def column_profile(df: DataFrame, batch_col: str) -> DataFrame:
             long.groupBy(batch_col, "column_name", "v").agg(F.count(F.lit(1)).alias("k"))
             .groupBy(batch_col, "column_name").agg(F.count("v").alias("n_distinct"))
         )
-        parts.append(stats.join(distinct, [batch_col, "column_name"]).select(
+        from tidemark.plans.positions import group_medians
+
+        medians = group_medians(long, [batch_col, "column_name"], "v")
+        parts.append(stats.join(distinct, [batch_col, "column_name"]).join(medians, [batch_col, "column_name"], "left").select(
             batch_col, "column_name",
             F.col("count").cast("long").alias("count"),
             F.col("n_missing").cast("long").alias("n_missing"),
             F.col("n_distinct").cast("long").alias("n_distinct"),
-            "mean", "std", "min", "max",
+            "mean", "std", "min", "max", "median",
             F.lit(None).cast("string").alias("top_value"), F.lit(None).cast("long").alias("top_count"),
         ))
     if txt:
@@ -198,6 +202,7 @@ def column_profile(df: DataFrame, batch_col: str) -> DataFrame:
             F.col("n_distinct").cast("long").alias("n_distinct"),
             F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("std"),
             F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max"),
+            F.lit(None).cast("double").alias("median"),
             F.col("__top.t").alias("top_value"), (-F.col("__top.nk")).cast("long").alias("top_count"),
         ))
     out = parts[0]

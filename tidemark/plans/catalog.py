@@ -479,7 +479,7 @@ EVENT_COLS = Columns(time="ts", id="event_id", target="__no_target__")
 
 def q_event_profile(spark, sf_dir):
     p = profile.column_profile(events_by_day(spark, sf_dir).drop("ts"), C.batch)
-    for c in ("mean", "std", "min", "max"):
+    for c in ("mean", "std", "min", "max", "median"):
         p = p.withColumn(c, F.round(c, 4))
     return p
 

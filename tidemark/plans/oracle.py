@@ -526,11 +526,12 @@ Q["event_profile"] = f"""{EV},
        CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_missing, CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct,
        round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std,
        round(min(CAST({c} AS DOUBLE)), 4) AS min, round(max(CAST({c} AS DOUBLE)), 4) AS max,
+       round(median(CAST({c} AS DOUBLE)), 4) AS median,
        CAST(NULL AS VARCHAR) AS top_value, CAST(NULL AS BIGINT) AS top_count
 FROM ev GROUP BY batch_index""" for c in EV_NUM]
     + [f"""SELECT a.batch_index, '{c}' AS column_name, a.count, a.n_missing, a.n_distinct,
        CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max,
-       t.top_{c}_v AS top_value, k.k AS top_count
+       CAST(NULL AS DOUBLE) AS median, t.top_{c}_v AS top_value, k.k AS top_count
 FROM (SELECT batch_index, CAST(count({c}) AS BIGINT) AS count, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_missing,
              CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct FROM ev GROUP BY batch_index) a
 LEFT JOIN top_{c} t USING (batch_index)
