@@ -72,3 +72,15 @@ def test_group_medians_exact_with_a_hot_group(spark):
 
     assert got["a"] == 6.0 and got["b"] == 5.0
     assert got["hot"] == statistics.median([float(i % 17) for i in range(3000)])
+
+
+def test_store_rewrite_replaces_only_its_batches(spark):
+    st = BatchStore(spark, scratch_path(spark, "test-store-groups"), group_size=4)
+    df = spark.createDataFrame([(b, i, "v1") for b in range(6) for i in range(3)], "batch_index int, i int, tag string")
+    st.write("t", df)
+    st.write("t", spark.createDataFrame([(1, 0, "v2"), (5, 0, "v2")], "batch_index int, i int, tag string"))
+    got = st.read("t")
+    assert "batch_group" not in got.columns
+    rows = sorted((r["batch_index"], r["i"], r["tag"]) for r in got.collect())
+    exp = sorted([(b, i, "v1") for b in (0, 2, 3, 4) for i in range(3)] + [(1, 0, "v2"), (5, 0, "v2")])
+    assert rows == exp

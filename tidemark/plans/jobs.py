@@ -112,7 +112,7 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
         best_score = float(best["score"])
     except serve.NoModelError:
         best_score = 0.0
-    done = []
+    done, reports = [], []
     # Sequential by definition (each batch extends the models); the ids are
     # streamed to the driver in order, never held as one list.
     for row in ids.orderBy(C.batch).toLocalIterator():
@@ -129,8 +129,8 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
             for m in validate.MODEL_ORDER
         ]
         metrics = validate.evaluate(scored[0].unionByName(scored[1]), C)
-        metrics = metrics.withColumn("can_use_model", F.lit(b >= cfg.min_batches))
-        store.write("validation", metrics)
+        metrics = metrics.withColumn("can_use_model", F.lit(b >= cfg.min_batches)).checkpoint(eager=True)
+        reports.append(metrics)
         if b >= cfg.min_batches:
             for r in metrics.orderBy(F.expr(f"CASE model WHEN 'rf' THEN 0 ELSE 1 END")).collect():
                 score = r[cfg.metric]
@@ -141,6 +141,11 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
                 serve.promote(spark, registry)
             except serve.NoModelError:
                 pass
+    if reports:
+        allm = reports[0]
+        for r in reports[1:]:
+            allm = allm.unionByName(r)
+        store.write("validation", allm)
     return done
 
 

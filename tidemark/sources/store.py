@@ -1,8 +1,12 @@
 """The batch store and report tables.
 
 Raw batches and every report are Parquet tables with a ``batch_index``
-column, written with dynamic partition overwrite: re-running a batch (a
-replayed micro-batch, a retried job) replaces only that batch's partition.
+column, partitioned by ``batch_group = batch_index div group_size`` (one
+folder per group of batches, not per batch: a table of many millions of
+batches stays at a sane folder count) and written with dynamic partition
+overwrite. A write replaces exactly the groups it touches; rows of other
+batches inside a partly covered group are carried over first, so re-running
+a batch (a replayed micro-batch, a retried job) replaces only its own rows.
 """
 
 from __future__ import annotations
@@ -13,10 +17,14 @@ from pyspark.sql import functions as F
 from tidemark.columns import BATCH
 
 
+GROUP = "batch_group"
+
+
 class BatchStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, group_size: int = 1024):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.group_size = int(group_size)
 
     def path(self, kind: str) -> str:
         return f"{self.root}/{kind}"
@@ -28,17 +36,32 @@ class BatchStore:
         return fs.exists(jpath)
 
     def write(self, kind: str, df: DataFrame, partitioned: bool = True) -> None:
-        """Write a per-batch table; the same batch index overwrites."""
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        if partitioned and BATCH in df.columns:
-            w = w.partitionBy(BATCH)
-        w.parquet(self.path(kind))
+        """Write a per-batch table; rows of the same batch index are replaced."""
+        if not (partitioned and BATCH in df.columns):
+            df.write.mode("overwrite").parquet(self.path(kind))
+            return
+        from tidemark.session import materialize
+
+        new = df.withColumn(GROUP, F.floor(F.col(BATCH) / F.lit(self.group_size)).cast("int"))
+        if self._exists(kind):
+            # Carry over the other batches of the groups this write touches
+            # (materialized first: the folder is about to be overwritten).
+            groups = new.select(GROUP).distinct()
+            batches = new.select(BATCH).distinct()
+            old = self.spark.read.parquet(self.path(kind))
+            keep = old.join(groups, GROUP, "left_semi").join(batches, BATCH, "left_anti")
+            new = new.unionByName(materialize(keep, f"carry-{kind}"), allowMissingColumns=True)
+        (
+            new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(GROUP).parquet(self.path(kind))
+        )
 
     def read(self, kind: str) -> DataFrame | None:
         """All batches of a table (None when nothing was written)."""
         if not self._exists(kind):
             return None
-        return self.spark.read.parquet(self.path(kind))
+        df = self.spark.read.parquet(self.path(kind))
+        return df.drop(GROUP) if GROUP in df.columns else df
 
     def save_batches(self, batched: DataFrame, meta: DataFrame) -> None:
         """Raw rows and their metadata (with ``saved_at``)."""

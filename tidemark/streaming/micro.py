@@ -17,15 +17,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.columns import BATCH
+from tidemark.sources.store import GROUP, BatchStore
 
 
-def write_landing(batched: DataFrame, landing_dir: str) -> None:
-    """Land every batch as its own file under ``batch_index=<n>/``."""
+GROUP_SIZE = 1024
+
+
+def write_landing(batched: DataFrame, landing_dir: str, group_size: int = GROUP_SIZE) -> None:
+    """Land the batches as Parquet files that each hold whole batches (rows are
+    hash-partitioned by ``batch_index`` before the write), in one folder per
+    group of ``group_size`` batches. A batch never spans two files, so it never
+    spans two micro-batches."""
     (
         batched.repartition(F.col(BATCH))
+        .withColumn(GROUP, F.floor(F.col(BATCH) / F.lit(group_size)).cast("int"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
+        .partitionBy(GROUP)
         .parquet(landing_dir)
     )
 
@@ -44,14 +51,11 @@ def run_stream(
     ``process`` maps a micro-batch to a result keyed by ``batch_index``.
     """
 
+    parent, kind = sink_dir.rstrip("/").rsplit("/", 1)
+    store = BatchStore(spark, parent)
+
     def each(df: DataFrame, epoch_id: int) -> None:
-        out = process(df)
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH)
-            .parquet(sink_dir)
-        )
+        store.write(kind, process(df.drop(GROUP)))
 
     q = (
         spark.readStream.schema(schema)
@@ -66,7 +70,7 @@ def run_stream(
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(sink_dir)
+    return store.read(kind)
 
 
 def stream_analytics(
@@ -87,14 +91,13 @@ def stream_analytics(
     from tidemark.operators import clean, eda, profile, rules
 
     C = cols or DEFAULT_COLUMNS
+    store = BatchStore(spark, root)
 
     def sink(df: DataFrame, name: str) -> None:
-        (
-            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH).parquet(f"{root}/{name}")
-        )
+        store.write(name, df)
 
     def each(df: DataFrame, epoch_id: int) -> None:
+        df = df.drop(GROUP)
         sink(profile.quality_report(df, C), "quality")
         sink(profile.batch_meta(df, C), "batch_meta")
         cl = clean.clean(df, C)
@@ -117,4 +120,4 @@ def stream_analytics(
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     names = ("quality", "batch_meta", "clean", "eda_numeric", "rules")
-    return {n: spark.read.parquet(f"{root}/{n}") for n in names}
+    return {n: store.read(n) for n in names}
