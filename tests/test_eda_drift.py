@@ -66,3 +66,16 @@ def test_zero_reference_uses_absolute_value(spark):
     feats = spark.createDataFrame([(0, "x", 0.0), (1, "x", 0.5), (1, "y", 1.0)], "batch_index int, feature string, value double")
     d = drift.drift_deltas(feats, drift.reference_features(feats, 0, C), cols=C).collect()
     assert len(d) == 1 and d[0]["delta_pct"] == 50.0 and d[0]["drifted"] is True
+
+
+def test_approximate_options_close_to_exact(spark, cleaned_small):
+    from tidemark.operators import clean, profile
+
+    ex = {r["column_name"]: r["p50"] for r in eda.describe_numeric(cleaned_small.data, None, C).collect()}
+    ap = {r["column_name"]: r["p50"] for r in eda.describe_numeric(cleaned_small.data, None, C, exact=False).collect()}
+    assert set(ex) == set(ap)
+    for k in ex:
+        assert abs(ex[k] - ap[k]) <= 0.02 * (abs(ex[k]) + 1.0)
+    m1 = profile.batch_meta(cleaned_small.data, C).first()["unique_states"]
+    m2 = profile.batch_meta(cleaned_small.data, C, approx_distinct=True).first()["unique_states"]
+    assert m1 == m2 == 25

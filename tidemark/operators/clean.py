@@ -59,8 +59,10 @@ def clean_params(
     deduped: DataFrame,
     cols: Columns = DEFAULT_COLUMNS,
     max_missing_pct: float = DEFAULT_MAX_MISSING_PCT,
+    exact: bool = True,
 ) -> DataFrame:
-    """One row per batch: drop flags (C2) and fill values."""
+    """One row per batch: drop flags (C2) and fill values.
+    ``exact=False`` takes medians with ``percentile_approx``."""
     data = data_columns(raw, cols)
     miss = raw.groupBy(cols.batch).agg(
         F.count(F.lit(1)).alias("__rows_before"),
@@ -71,7 +73,8 @@ def clean_params(
         if f.name not in data:
             continue
         if isinstance(f.dataType, NumericType):
-            fills.append(F.median(f.name).alias(_f(f.name)))
+            med = F.median(f.name) if exact else F.percentile_approx(F.col(f.name).cast("double"), 0.5)
+            fills.append(med.cast("double").alias(_f(f.name)))
         elif isinstance(f.dataType, StringType):
             fills.append(F.mode(f.name, True).alias(_f(f.name)))
     stats = deduped.groupBy(cols.batch).agg(F.count(F.lit(1)).alias("__rows_dedup"), *fills)

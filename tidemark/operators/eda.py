@@ -63,12 +63,14 @@ def profile_header(df: DataFrame, dropped: DataFrame | None = None, cols: Column
     )
 
 
-def describe_numeric(df: DataFrame, dropped: DataFrame | None = None, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
+def describe_numeric(df: DataFrame, dropped: DataFrame | None = None, cols: Columns = DEFAULT_COLUMNS,
+                     exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (interpolated), max.
 
     Rounded to 4 digits (not 2): quantiles interpolated between cent values
     often fall on an exact half-cent, where 2-digit rounding depends on the
-    last bit of the interpolation formula; at 4 digits they are exact."""
+    last bit of the interpolation formula; at 4 digits they are exact.
+    ``exact=False`` uses ``percentile_approx`` (bounded memory per group)."""
     num = numeric_columns(df, cols)
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs = []
@@ -76,7 +78,9 @@ def describe_numeric(df: DataFrame, dropped: DataFrame | None = None, cols: Colu
         v = F.col(c).cast("double")
         aggs += [
             F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"),
-            F.min(v).alias(f"min{i}"), F.percentile(v, probs).alias(f"q{i}"), F.max(v).alias(f"max{i}"),
+            F.min(v).alias(f"min{i}"),
+            (F.percentile(v, probs) if exact else F.percentile_approx(v, probs)).cast("array<double>").alias(f"q{i}"),
+            F.max(v).alias(f"max{i}"),
         ]
     wide = df.groupBy(cols.batch).agg(*aggs)
     entries = F.array(*[

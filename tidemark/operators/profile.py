@@ -52,8 +52,9 @@ def _num_or_null(df: DataFrame, name: str, fn) -> Column:
     return fn(F.col(name)) if _has(df, name) else F.lit(None).cast("double")
 
 
-def batch_meta(df: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
-    """M1-M9: one metadata row per batch."""
+def batch_meta(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, approx_distinct: bool = False) -> DataFrame:
+    """M1-M9: one metadata row per batch (``approx_distinct``: HyperLogLog++
+    for M9 instead of the exact distinct count)."""
     data = data_columns(df, cols)
     n = F.count(F.lit(1))
     agg = [
@@ -69,7 +70,8 @@ def batch_meta(df: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
         _round(F.avg(cols.balance), 2).alias("balance_mean"),
         F.mode(cols.txn_type, True).cast("string").alias("top_transaction_type"),
         F.mode(cols.device, True).cast("string").alias("top_device_type"),
-        F.count_distinct(cols.state).cast("long").alias("unique_states"),
+        (F.approx_count_distinct(cols.state) if approx_distinct else F.count_distinct(cols.state))
+        .cast("long").alias("unique_states"),
     ]
     base = df.groupBy(cols.batch).agg(*agg)
     out = base.join(duplicate_counts(df, cols), cols.batch, "left").withColumn(

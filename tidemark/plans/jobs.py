@@ -129,18 +129,21 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
             for m in validate.MODEL_ORDER
         ]
         metrics = validate.evaluate(scored[0].unionByName(scored[1]), C)
-        metrics = metrics.withColumn("can_use_model", F.lit(b >= cfg.min_batches)).checkpoint(eager=True)
-        reports.append(metrics)
+        metrics = metrics.checkpoint(eager=True)
+        has_best = False
         if b >= cfg.min_batches:
-            for r in metrics.orderBy(F.expr(f"CASE model WHEN 'rf' THEN 0 ELSE 1 END")).collect():
+            for r in metrics.orderBy(F.expr("CASE model WHEN 'rf' THEN 0 ELSE 1 END")).collect():
                 score = r[cfg.metric]
                 if score is not None and score >= best_score:
                     best_score = float(score)
                     serve.register(spark, registry, "best", r["model"], vdir, best_score, cfg.metric, b)
             try:
                 serve.promote(spark, registry)
+                has_best = True
             except serve.NoModelError:
                 pass
+        # usable only when a best model exists (not merely past min_batches)
+        reports.append(metrics.withColumn("can_use_model", F.lit(has_best)))
     if reports:
         allm = reports[0]
         for r in reports[1:]:
