@@ -6,16 +6,21 @@ or ``events``) over their whole extent; the batch numbering is shared.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tidemark.columns import DEFAULT_COLUMNS as C
 from pyspark.sql import functions as F
 
-from tidemark.columns import data_columns
-from tidemark.operators import batches, clean, drift, eda, features, profile, rules, validate
-from tidemark.sources.tables import transactions
+from tidemark.columns import DEFAULT_COLUMNS as C
+from tidemark.columns import Columns, data_columns
+from tidemark.operators import batches, clean, drift, eda, features, profile, rules, serve, train, validate
+from tidemark.plans import jobs
+from tidemark.session import scratch_path
+from tidemark.sources import csv_source
+from tidemark.sources import store as store_mod
+from tidemark.sources.tables import read_table, transactions
+from tidemark.streaming import micro
 
 BATCH_SIZE = 2000
 
@@ -282,15 +287,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # ---------------------------------------------------------------- models (rows-only checks)
-import functools  # noqa: E402
-
-from tidemark.columns import Columns  # noqa: E402
-from tidemark.operators import serve, train  # noqa: E402
-from tidemark.plans import jobs  # noqa: E402
-from tidemark.session import scratch_path  # noqa: E402
-from tidemark.sources import csv_source, store as store_mod  # noqa: E402
-from tidemark.sources.tables import read_table  # noqa: E402
-from tidemark.streaming import micro  # noqa: E402
 
 PIPELINE = jobs.PipelineConfig(min_batches=VALIDATION_MIN_BATCHES)
 
