@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = 1
     Keeps the memory of a task bounded by its longest text, not by the batch."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
-        sizes = [0 if v is None else v for v in pa.compute.binary_length(column).to_pylist()]
+        sizes = [0 if v is None else v for v in pc.binary_length(column).to_pylist()]
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if i > start and held + n > limit:
