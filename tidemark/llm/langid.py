@@ -119,9 +119,9 @@ def score_text(text: str | None, model: dict) -> tuple[str, float]:
     return model["langs"][best], float(1.0 / np.exp(total - total[best]).sum())
 
 
-def identify(df: DataFrame, model: dict) -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score``; only the text is looked at."""
-    columns = [c for c in df.columns if c not in ("lang_pred", "score")]
+def identify(df: DataFrame, model: dict, predicted: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``df`` with two more columns, named ``predicted`` and ``score``; only the text is looked at."""
+    columns = [c for c in df.columns if c.lower() not in (predicted, score)]
     shared = df.sparkSession.sparkContext.broadcast(model)
     kept = df.select(*columns)
 
@@ -129,7 +129,7 @@ def identify(df: DataFrame, model: dict) -> DataFrame:
         for part, texts in pieces(batches):
             found = [score_text(text, shared.value) for text in texts]
             more = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, predicted, score])
 
-    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*kept.schema.fields, T.StructField(predicted, T.StringType()), T.StructField(score, T.DoubleType())])
     return kept.mapInArrow(predict, schema)

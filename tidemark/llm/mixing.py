@@ -143,7 +143,7 @@ def mix(df: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST) -
     """The mixed rows: every row of ``df`` as often as the mix takes it. Texts aren't shuffled; decisions come from the thresholds."""
     _, cuts = plan(df, weights, most)
     keyed = df.withColumns({"__src": _source_name(), "__size": word_count(), "__key": mix_key(), "__row": F.monotonically_increasing_id()})
-    taken = keyed.join(cuts, "__src").withColumn("__times", _times()).filter("__times > 0")
+    taken = keyed.join(cuts.select("__src", "__whole", "__upto", "__tied", "__upto2"), "__src").withColumn("__times", _times()).filter("__times > 0")
     return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*df.columns)
 
 

@@ -63,7 +63,7 @@ def prefix_sums(df: DataFrame, order: list, size: str = "__size") -> DataFrame:
 
 def shard(df: DataFrame, n_shards: int = N_SHARDS, group_slack: float = GROUP_SLACK) -> DataFrame:
     """``df`` with ``shard`` (0 to ``n_shards - 1``) and ``slot`` (gapless from 0 in each shard, in the global order)."""
-    columns = [c for c in df.columns if c not in ("shard", "slot")]
+    columns = [c for c in df.columns if c.lower() not in ("shard", "slot")]
     keyed = df.select(*columns, byte_size().alias("__size"), text_key().alias("__text"))
     return _cut(keyed, columns, n_shards, group_slack)
 
