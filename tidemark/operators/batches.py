@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.columns import DEFAULT_COLUMNS, Columns
 from tidemark.functions.exprs import nan_to_null
 from tidemark.plans.positions import global_positions
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 DEFAULT_BATCH_SIZE = 2000
 
@@ -19,6 +19,8 @@ def assign_batches(
     cols: Columns = DEFAULT_COLUMNS,
     num_partitions: int | None = None,
     bucketed: bool = True,
+    start_row: int = 0,
+    start_batch: int = 0,
 ) -> DataFrame:
     """Number rows in (time, id) order and cut them into ``batch_size`` slices.
 
@@ -26,18 +28,21 @@ def assign_batches(
     ``row_idx div batch_size``: the last batch is short and no row is lost.
     The ordering runs as a range-partitioned sort (see ``plans.positions``),
     so no task holds more than its share of the table. NaN becomes NULL here,
-    once, so every later comparison has pandas semantics.
+    once, so every later comparison has pandas semantics. ``start_row`` and
+    ``start_batch`` continue the numbering of rows stored before.
     """
     order = [F.col(cols.time).asc_nulls_last()]
     if cols.id in df.columns:
         order.append(F.col(cols.id).asc_nulls_last())
     numbered = global_positions(nan_to_null(df), order, cols.row, num_partitions)
-    out = numbered.withColumn(cols.batch, F.expr(f"CAST(`{cols.row}` DIV {int(batch_size)} AS INT)"))
+    out = numbered.withColumn(cols.batch, F.expr(f"CAST(`{cols.row}` DIV {int(batch_size)} AS INT)") + F.lit(int(start_batch)))
+    out = out.withColumn(cols.row, F.col(cols.row) + F.lit(int(start_row)).cast("long"))
     if bucketed:
         # Every later operator groups or joins on batch_index: write the table
         # bucketed by it once, so those stages run without another shuffle of
         # the rows (a batch holds at most batch_size rows: no skewed bucket).
         out = materialize(out, "batched", bucket_col=cols.batch, buckets=num_partitions)
+        discard(numbered)
     return out
 
 

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import materialize, partitions_for
 
 _PID = "__pid"
 _POS = "__pos"
@@ -29,8 +29,7 @@ _UID = "__uid"
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return int(num_partitions)
-    spark = df.sparkSession
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return partitions_for(df)
 
 
 def global_positions(
@@ -60,11 +59,13 @@ def global_positions(
     # One row per partition: the running sum runs in one task over <= n rows.
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    return (
+    out = (
         ranged.join(F.broadcast(offsets), _PID)
         .withColumn(out_col, (F.col("__off") + F.col(_POS)).cast("long"))
         .drop(_PID, _POS, _UID, "__off")
     )
+    out._tidemark_path = getattr(ranged, "_tidemark_path", None)
+    return out
 
 
 def positions_within_groups(

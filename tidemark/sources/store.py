@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.columns import BATCH
-
+from tidemark.session import delete_path, discard, materialize, path_exists
 
 GROUP = "batch_group"
 
@@ -30,31 +30,38 @@ class BatchStore:
         return f"{self.root}/{kind}"
 
     def _exists(self, kind: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(self.path(kind))
-        fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(jpath)
+        return path_exists(self.spark, self.path(kind))
+
+    def _grouped(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(GROUP, F.floor(F.col(BATCH) / F.lit(self.group_size)).cast("int"))
 
-    def write(self, kind: str, df: DataFrame, partitioned: bool = True) -> None:
-        """Write a per-batch table; rows of the same batch index are replaced."""
+    def write(self, kind: str, df: DataFrame, partitioned: bool = True, ids: DataFrame | None = None) -> None:
+        """Write a per-batch table. The rows of the batches in ``ids`` (by
+        default: those that occur in ``df``) are replaced, also where a batch has
+        no rows any more. ``df`` is evaluated once."""
         if not (partitioned and BATCH in df.columns):
             df.write.mode("overwrite").parquet(self.path(kind))
             return
-        from tidemark.session import materialize
-
-        new = df.withColumn(GROUP, F.floor(F.col(BATCH) / F.lit(self.group_size)).cast("int"))
-        if self._exists(kind):
-            # Carry over the other batches of the groups this write touches
-            # (materialized first: the folder is about to be overwritten).
-            groups = new.select(GROUP).distinct()
-            batches = new.select(BATCH).distinct()
-            old = self.spark.read.parquet(self.path(kind))
-            keep = old.join(groups, GROUP, "left_semi").join(batches, BATCH, "left_anti")
-            new = new.unionByName(materialize(keep, f"carry-{kind}"), allowMissingColumns=True)
-        (
-            new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(GROUP).parquet(self.path(kind))
-        )
+        exists = self._exists(kind)
+        new = self._grouped(df)
+        if not exists:
+            self._put(kind, new)
+            return
+        new = materialize(new, f"new-{kind}")
+        done = (new if ids is None else self._grouped(ids.select(BATCH))).select(GROUP, BATCH).distinct()
+        touched = [r[0] for r in done.select(GROUP).distinct().collect()]  # one number for each folder this write touches
+        # carry over the other batches of those folders (written first: the folders are about to be replaced)
+        old = self.spark.read.parquet(self.path(kind)).filter(F.col(GROUP).isin(touched))
+        keep = materialize(old.join(done.select(BATCH), BATCH, "left_anti"), f"carry-{kind}")
+        whole = new.unionByName(keep, allowMissingColumns=True)
+        left = {r[0] for r in whole.select(GROUP).distinct().collect()}
+        self._put(kind, whole)
+        for group in set(touched) - left:
+            delete_path(self.spark, f"{self.path(kind)}/{GROUP}={group}")
+        discard(new, keep)
+
+    def _put(self, kind: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(GROUP).parquet(self.path(kind))
 
     def read(self, kind: str) -> DataFrame | None:
         """All batches of a table (None when nothing was written)."""
@@ -63,10 +70,17 @@ class BatchStore:
         df = self.spark.read.parquet(self.path(kind))
         return df.drop(GROUP) if GROUP in df.columns else df
 
-    def save_batches(self, batched: DataFrame, meta: DataFrame) -> None:
+    def read_batches(self, kind: str, ids: DataFrame) -> DataFrame | None:
+        """The rows of the batches in ``ids``; only their folders are read."""
+        if not self._exists(kind):
+            return None
+        df = self.spark.read.parquet(self.path(kind))
+        return df.join(self._grouped(ids.select(BATCH)), [GROUP, BATCH], "left_semi").drop(GROUP)
+
+    def save_batches(self, batched: DataFrame, meta: DataFrame, ids: DataFrame | None = None) -> None:
         """Raw rows and their metadata (with ``saved_at``)."""
-        self.write("raw", batched)
-        self.write("batch_meta", meta.withColumn("saved_at", F.current_timestamp()))
+        self.write("raw", batched, ids=ids)
+        self.write("batch_meta", meta.withColumn("saved_at", F.current_timestamp()), ids=ids)
 
     def load_all_batches(self) -> DataFrame | None:
         return self.read("raw")

@@ -55,7 +55,7 @@ def run_stream(
     store = BatchStore(spark, parent)
 
     def each(df: DataFrame, epoch_id: int) -> None:
-        store.write(kind, process(df.drop(GROUP)))
+        store.write(kind, process(df.drop(GROUP)), ids=df.select(BATCH).distinct())
 
     q = (
         spark.readStream.schema(schema)
@@ -93,11 +93,13 @@ def stream_analytics(
     C = cols or DEFAULT_COLUMNS
     store = BatchStore(spark, root)
 
-    def sink(df: DataFrame, name: str) -> None:
-        store.write(name, df)
-
     def each(df: DataFrame, epoch_id: int) -> None:
         df = df.drop(GROUP)
+        ids = df.select(BATCH).distinct()
+
+        def sink(rows: DataFrame, name: str) -> None:
+            store.write(name, rows, ids=ids)
+
         sink(profile.quality_report(df, C), "quality")
         sink(profile.batch_meta(df, C), "batch_meta")
         cl = clean.clean(df, C)
