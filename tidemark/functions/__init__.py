@@ -1,8 +1,6 @@
 from tidemark.functions.exprs import (  # noqa: F401
-    is_missing_count,
     nan_to_null,
     parse_mixed_timestamp,
     pct,
     ratio,
-    safe_scale,
 )

@@ -15,23 +15,37 @@ MISSING_TOKENS = (
 )
 
 # Date layouts tried in order; month-first wins for ambiguous day/month text.
+# One pattern letter accepts one or two digits; the zoned ones end in an offset or Z.
 DEFAULT_DATE_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
-    "MM-dd-yyyy HH:mm:ss",
-    "MM-dd-yyyy",
-    "dd-MM-yyyy HH:mm:ss",
-    "dd-MM-yyyy",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy",
+    "yyyy-M-d H:m:s.SSSSSS",
+    "yyyy-M-d H:m:s",
+    "yyyy-M-d'T'H:m:s.SSSSSS",
+    "yyyy-M-d'T'H:m:s",
+    "yyyy-M-d'T'H:m",
+    "yyyy-M-d H:m",
+    "yyyy-M-d",
+    "yyyy/M/d H:m:s",
+    "yyyy/M/d",
+    "M-d-yyyy H:m:s",
+    "M-d-yyyy",
+    "d-M-yyyy H:m:s",
+    "d-M-yyyy",
+    "M/d/yyyy H:m:s",
+    "M/d/yyyy H:m",
+    "M/d/yyyy",
+    "d/M/yyyy H:m:s",
+    "d/M/yyyy H:m",
+    "d/M/yyyy",
+    "MMM d, yyyy H:m:s",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "d MMM yyyy H:m:s",
+    "d MMM yyyy",
+    "d MMMM yyyy",
+    "d-MMM-yyyy",
+    "yyyy-M-d'T'H:m:s.SSSSSSXXX",
+    "yyyy-M-d'T'H:m:sXXX",
+    "yyyy-M-d H:m:sXXX",
 )
 
 
@@ -47,10 +61,17 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def parse_mixed_timestamp(col: Column | str, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
-    """Parse text whose layout varies per value: the first layout that fits wins."""
-    c = F.col(col) if isinstance(col, str) else col
-    tries = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    """Parse text whose layout varies per value: the first layout that fits wins.
+
+    Layouts with a zone give the UTC wall time, whatever the session's zone."""
+    c = F.trim(F.col(col) if isinstance(col, str) else col)
+    tries = []
+    for fmt in formats:
+        at = F.try_to_timestamp(c, F.lit(fmt))
+        if fmt.endswith("X"):
+            at = F.convert_timezone(F.current_timezone(), F.lit("UTC"), at.cast("timestamp_ntz"))
+        tries.append(at.cast("timestamp_ntz"))
+    return F.coalesce(*tries)
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -62,12 +83,3 @@ def pct(num: Column, den: Column) -> Column:
     """(num / den) * 100 in that order (the order decides exact-boundary tests);
     NULL on a zero denominator."""
     return F.try_divide(num.cast("double"), den.cast("double")) * F.lit(100.0)
-
-
-def is_missing_count(c: str) -> Column:
-    return F.when(F.col(c).isNull(), F.lit(1)).otherwise(F.lit(0))
-
-
-def safe_scale(scale: Column) -> Column:
-    """A zero (or NULL) scale divides by 1, as common scalers do."""
-    return F.when((scale.isNull()) | (scale == 0), F.lit(1.0)).otherwise(scale)

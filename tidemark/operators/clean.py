@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NumericType, StringType
+from pyspark.sql.types import ByteType, DoubleType, IntegerType, LongType, NumericType, ShortType, StringType
 
 from tidemark.columns import DEFAULT_COLUMNS, Columns, data_columns
 from tidemark.functions.exprs import pct
@@ -100,8 +100,13 @@ def fill_and_filter(
     params: DataFrame,
     cols: Columns = DEFAULT_COLUMNS,
     filter_invalid: bool = True,
+    only_invalid: bool = False,
 ) -> DataFrame:
-    """C2 (NULL dropped), C3 (fill), C4 (validity filter) on de-duplicated rows."""
+    """C2 (NULL dropped), C3 (fill), C4 (validity filter) on de-duplicated rows.
+
+    Integer columns of up to 32 bits become doubles, as a median may lie
+    between two integers; 64-bit integers are identifiers and keep their type
+    (their median is rounded)."""
     data = data_columns(deduped, cols)
     j = deduped.join(params, cols.batch)
     out = []
@@ -114,14 +119,18 @@ def fill_and_filter(
         v = F.col(c)
         if _f(c) in params.columns:
             fill = F.col(_f(c))
-            if isinstance(t, IntegralType):
+            if isinstance(t, (ByteType, ShortType, IntegerType)):
+                t, v = DoubleType(), v.cast("double")
+            elif isinstance(t, LongType):
                 fill = F.round(fill).cast(t)
             elif isinstance(t, NumericType):
                 fill = fill.cast(t)
             v = F.coalesce(v, fill)
         out.append(F.when(F.col(_d(c)), F.lit(None).cast(t)).otherwise(v).alias(c))
     filled = j.select(*out, *[F.col(_d(c)) for c in data])
-    if filter_invalid:
+    if only_invalid:
+        filled = filled.filter(~valid_rows(filled, cols))
+    elif filter_invalid:
         filled = filled.filter(valid_rows(filled, cols))
     return filled.select(*deduped.columns)
 
@@ -172,10 +181,7 @@ def invalid_rows(raw: DataFrame, cols: Columns = DEFAULT_COLUMNS, max_missing_pc
     """Rows removed by C4 (after C1-C3)."""
     deduped = dedupe(raw, cols)
     params = clean_params(raw, deduped, cols, max_missing_pct)
-    filled = fill_and_filter(deduped, params, cols, filter_invalid=False)
-    data = data_columns(raw, cols)
-    flagged = filled.join(params.select(cols.batch, *[_d(c) for c in data]), cols.batch)
-    return flagged.filter(~valid_rows(flagged, cols)).select(*raw.columns)
+    return fill_and_filter(deduped, params, cols, only_invalid=True)
 
 
 def clean_audit(raw: DataFrame, cleaned: Cleaned, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:

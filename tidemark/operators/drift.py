@@ -1,14 +1,13 @@
 """Drift features per batch, the reference snapshot and the deltas.
 
 Features are a long table ``(batch_index, feature, value)``. The reference is
-one batch's features; its size is bounded by that batch's rows times the
-string columns (plus two per numeric column), so it is broadcast only when
-that bound is under the broadcast threshold, and shuffled otherwise.
+one batch's features; whether it is broadcast is left to the optimizer, which
+knows its measured size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.columns import DEFAULT_COLUMNS, Columns, categorical_columns, numeric_columns
@@ -22,12 +21,11 @@ def drift_features(
     df: DataFrame,
     dropped: DataFrame | None = None,
     cols: Columns = DEFAULT_COLUMNS,
-    max_categories: int | None = None,
 ) -> DataFrame:
     """``{col}_mean``, ``{col}_std`` (sample), ``{col}={val}_share`` and
-    ``fraud_rate`` (a fraction). ``max_categories`` keeps only the most
-    frequent values per (batch, column) as a guard for identifier columns;
-    the default None keeps all of them."""
+    ``fraud_rate`` (a fraction). Totals are aggregates with map-side combine
+    joined back, so a group with very many distinct values is no window in one
+    task."""
     num = numeric_columns(df, cols)
     aggs = []
     for c in num:
@@ -45,11 +43,8 @@ def drift_features(
     numeric_long = wide.select(cols.batch, F.inline(F.array(*entries)))
 
     counts = category_value_counts(df, cols, categorical_columns(df, cols))
-    w = Window.partitionBy(cols.batch, "column_name")
-    shares = counts.withColumn("__tot", F.sum("count").over(w))
-    if max_categories is not None:
-        wr = Window.partitionBy(cols.batch, "column_name").orderBy(F.desc("count"), F.asc("value"))
-        shares = shares.withColumn("__r", F.row_number().over(wr)).filter(F.col("__r") <= max_categories)
+    totals = counts.groupBy(cols.batch, "column_name").agg(F.sum("count").alias("__tot"))
+    shares = counts.join(totals, [cols.batch, "column_name"])
     shares = shares.select(
         cols.batch, "column_name",
         F.concat(F.col("column_name"), F.lit("="), F.col("value"), F.lit("_share")).alias("feature"),
@@ -64,30 +59,16 @@ def reference_features(features: DataFrame, reference_batch: int = 0, cols: Colu
     return features.filter(F.col(cols.batch) == reference_batch).select("feature", F.col("value").alias("reference"))
 
 
-def _broadcast_if_bounded(ref: DataFrame, bound_rows: int | None) -> DataFrame:
-    if bound_rows is None:
-        return ref
-    threshold = ref.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(str(threshold).rstrip("bB"))
-    except ValueError:
-        limit = 10 * 1024 * 1024
-    # ~64 bytes per (feature, value) row is a generous upper estimate.
-    return F.broadcast(ref) if 0 < bound_rows * 64 <= limit else ref
-
-
 def drift_deltas(
     features: DataFrame,
     reference: DataFrame,
     threshold: float = DEFAULT_THRESHOLD,
     reference_batch: int | None = 0,
     cols: Columns = DEFAULT_COLUMNS,
-    reference_bound_rows: int | None = None,
 ) -> DataFrame:
     """Features present on both sides; ref = 0 -> |cur|, else |cur-ref|/|ref|."""
     cur = features if reference_batch is None else features.filter(F.col(cols.batch) != reference_batch)
-    ref = _broadcast_if_bounded(reference, reference_bound_rows)
-    j = cur.join(ref, "feature")
+    j = cur.join(reference, "feature")
     delta = F.when(F.col("reference") == 0, F.abs(F.col("value"))).otherwise(
         F.try_divide(F.abs(F.col("value") - F.col("reference")), F.abs(F.col("reference")))
     )

@@ -164,34 +164,44 @@ def correlation(df: DataFrame, dropped: DataFrame | None = None, cols: Columns =
 def histogram(
     df: DataFrame, dropped: DataFrame | None = None, bins: int = HIST_BINS, cols: Columns = DEFAULT_COLUMNS
 ) -> DataFrame:
-    """E5: equal-width bins on [min, max] per (batch, column), last bin closed.
-
-    A constant column is widened by 0.5 on each side. Only non-empty bins are
-    emitted. The target column is excluded.
+    """E5: equal-width bins on [min, max] per (batch, column), last bin closed,
+    empty bins with count 0. A constant column is widened by 0.5 on each side.
+    The target column is excluded.
+
+    The ranges are one wide row per batch, joined on the batch alone (the
+    table's own partitioning); bins are computed per column and counted as
+    (column, bin) pairs with map-side combine; dropped columns go from the
+    short tables.
     """
     num = [c for c in numeric_columns(df, cols) if c != cols.target]
-    long = df.select(cols.batch, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in num
-    ])).alias("__e")).select(cols.batch, "__e.column_name", "__e.v").filter(F.col("v").isNotNull())
-    long = _without_dropped(long, dropped, cols)
-    rng = long.groupBy(cols.batch, "column_name").agg(F.min("v").alias("__lo"), F.max("v").alias("__hi"))
-    rng = rng.select(
-        cols.batch, "column_name",
-        F.when(F.col("__lo") == F.col("__hi"), F.col("__lo") - 0.5).otherwise(F.col("__lo")).alias("lo"),
-        F.when(F.col("__lo") == F.col("__hi"), F.col("__hi") + 0.5).otherwise(F.col("__hi")).alias("hi"),
-    )
-    j = long.join(rng, [cols.batch, "column_name"])
-    norm = F.lit(float(bins)) / (F.col("hi") - F.col("lo"))
-    b = F.least(F.floor((F.col("v") - F.col("lo")) * norm), F.lit(bins - 1)).cast("int")
-    counted = j.groupBy(cols.batch, "column_name", b.alias("bin"), "lo", "hi").agg(
-        F.count(F.lit(1)).cast("long").alias("count")
+    value = {c: F.col(c).cast("double") for c in num}
+    wide = df.groupBy(cols.batch).agg(
+        *[F.min(value[c]).alias(f"__lo{i}") for i, c in enumerate(num)], *[F.max(value[c]).alias(f"__hi{i}") for i, c in enumerate(num)]
     )
+    ends = []
+    for i, _ in enumerate(num):
+        same = F.col(f"__lo{i}") == F.col(f"__hi{i}")
+        ends += [F.when(same, F.col(f"__lo{i}") - 0.5).otherwise(F.col(f"__lo{i}")).alias(f"lo{i}"),
+                 F.when(same, F.col(f"__hi{i}") + 0.5).otherwise(F.col(f"__hi{i}")).alias(f"hi{i}")]
+    wide = wide.select(cols.batch, *ends)
+    at = []
+    for i, c in enumerate(num):
+        norm = F.lit(float(bins)) / (F.col(f"hi{i}") - F.col(f"lo{i}"))
+        at.append(F.when(value[c].isNotNull(), F.struct(
+            F.lit(c).alias("column_name"), F.least(F.floor((value[c] - F.col(f"lo{i}")) * norm), F.lit(bins - 1)).cast("int").alias("bin"))))
+    pairs = df.join(wide, cols.batch).select(cols.batch, F.explode(F.array_compact(F.array(*at))).alias("__e"))
+    counted = pairs.groupBy(cols.batch, "__e.column_name", "__e.bin").agg(F.count(F.lit(1)).cast("long").alias("__n"))
+    ranges = wide.select(cols.batch, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi")) for i, c in enumerate(num)
+    ]))).filter(F.col("lo").isNotNull())
+    ranges = _without_dropped(ranges, dropped, cols)
+    every = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return counted.select(
+    return every.join(counted, [cols.batch, "column_name", "bin"], "left").select(
         cols.batch, "column_name", "bin",
         F.round(F.col("lo") + F.col("bin") * width, 4).alias("bin_lo"),
         F.round(F.col("lo") + (F.col("bin") + 1) * width, 4).alias("bin_hi"),
-        "count",
+        F.coalesce("__n", F.lit(0)).cast("long").alias("count"),
     )
 
 

@@ -20,6 +20,7 @@ DEFAULT_VAL_SIZE = 0.2
 DEFAULT_SPLITS = 3
 DEFAULT_MIN_BATCHES = 10
 MODEL_ORDER = ("rf", "mlp")
+SCORE_DIGITS = 4
 
 
 def with_batch_position(df: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
@@ -112,13 +113,15 @@ def roc_auc(scored: DataFrame, keys: Sequence[str], label: str = "label", score:
 
 
 def evaluate(scored: DataFrame, cols: Columns = DEFAULT_COLUMNS, model_col: str = "model") -> DataFrame:
-    """V4: metrics per (batch, model) on holdout rows; a model whose AUC is
-    undefined (one class in the holdout) gets no row, as in the reference."""
+    """V4: metrics per (batch, model) on holdout rows, rounded to 4 digits before
+    any comparison; a model whose AUC is undefined (one class in the holdout)
+    gets no row."""
     keys = [cols.batch, model_col]
     m = binary_metrics(scored, keys)
     a = roc_auc(scored, keys)
     j = m.join(a, keys)
-    return j.filter(F.col("roc_auc").isNotNull()).select(*keys, "f1", "roc_auc", "precision", "recall", "tp", "fp", "fn", "n")
+    scores = [F.round(c, SCORE_DIGITS).alias(c) for c in ("f1", "roc_auc", "precision", "recall")]
+    return j.filter(F.col("roc_auc").isNotNull()).select(*keys, *scores, "tp", "fp", "fn", "n")
 
 
 def best_model(
@@ -130,8 +133,8 @@ def best_model(
     model_col: str = "model",
 ) -> DataFrame:
     """V6: the best (batch, model) among batches >= min_batches: highest score;
-    ties go to the later batch, then the later model (the reference replaces
-    the best on ``>=`` while walking batches and models in order)."""
+    ties go to the later batch, then the later model (a walk over batches and
+    models in order that replaces the best on ``>=``)."""
     order = F.create_map(*[x for i, name in enumerate(model_order) for x in (F.lit(name), F.lit(i))])
     eligible = metrics.filter((F.col(cols.batch) >= min_batches) & F.col(metric).isNotNull())
     rank = F.coalesce(F.element_at(order, F.col(model_col)), F.lit(len(model_order)))

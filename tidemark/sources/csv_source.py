@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.columns import DEFAULT_COLUMNS, Columns
 from tidemark.functions.exprs import DEFAULT_DATE_FORMATS, MISSING_TOKENS, parse_mixed_timestamp
@@ -16,40 +15,52 @@ class UnparsedDatesError(ValueError):
     pass
 
 
+class UnparsedValuesError(ValueError):
+    pass
+
+
 def read_transactions_csv(
     spark: SparkSession,
     path: str,
     types: Mapping[str, str],
     cols: Columns = DEFAULT_COLUMNS,
     date_formats: Sequence[str] = DEFAULT_DATE_FORMATS,
-    check_dates: bool = True,
+    check: bool = True,
 ) -> DataFrame:
     """Read header CSV files as text, NULL the missing tokens, then cast.
 
-    ``types`` maps column -> Spark SQL type (``double``, ``int``, ``string``...);
-    the time column is parsed per value with ``date_formats``. Reading as text
-    first keeps ``NaN``/``NA`` handling identical for every type.
-    With ``check_dates`` a value that fits no layout raises (the parse error of
-    the source); the check is one distributed count.
+    Columns are found by their header name; ``types`` maps column -> Spark SQL
+    type (``double``, ``int``, ``string``...) and gives the order, a missing column
+    raises, and files with different headers raise. Further columns follow in
+    file order with an inferred type (``bigint``, ``double`` or ``string``: the
+    narrowest that fits every value). The time column is parsed per value with
+    ``date_formats``. Reading as text first keeps ``NaN``/``NA`` handling identical
+    for every type. With ``check`` a value that fits no date layout, or isn't of
+    its column's type, raises; checks and inference are one distributed
+    aggregate.
     """
-    schema = StructType([StructField(c, StringType(), True) for c in types])
-    raw = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
+    missing = [c for c in types if c not in raw.columns]
+    if missing:
+        raise ValueError(f"columns not in the header: {', '.join(missing)}")
     tokens = F.array(*[F.lit(t) for t in MISSING_TOKENS])
-    out = []
-    for c, t in types.items():
-        txt = F.when(F.array_contains(tokens, F.trim(F.col(c))), F.lit(None)).otherwise(F.col(c))
+    text = raw.select(*[F.when(F.array_contains(tokens, F.trim(F.col(c))), F.lit(None)).otherwise(F.col(c)).alias(c) for c in raw.columns])
+    more = [c for c in raw.columns if c not in types]
+
+    def typed(c: str, kind: str):
         if c == cols.time:
-            out.append(parse_mixed_timestamp(txt, date_formats).alias(c))
-            out.append(txt.alias("__raw_time"))
-        elif t == "string":
-            out.append(txt.alias(c))
-        else:
-            out.append(txt.try_cast(t).alias(c))
-    df = raw.select(*out)
-    if cols.time in types:
-        if check_dates:
-            bad = df.filter(F.col("__raw_time").isNotNull() & F.col(cols.time).isNull()).limit(1).count()
-            if bad:
-                raise UnparsedDatesError(f"values of {cols.time} fit none of the date layouts")
-        df = df.drop("__raw_time")
-    return df
+            return parse_mixed_timestamp(F.col(c), date_formats)
+        return F.col(c) if kind == "string" else F.trim(F.col(c)).try_cast(kind)
+
+    def lost(c: str, kind: str):
+        return F.count_if(F.col(c).isNotNull() & typed(c, kind).isNull())
+
+    tests = [lost(c, t).alias(f"bad_{i}") for i, (c, t) in enumerate(types.items())] if check else []
+    tests += [lost(c, t).alias(f"{t}_{i}") for i, c in enumerate(more) for t in ("bigint", "double")]
+    found = text.agg(*tests).first().asDict() if tests else {}
+    for i, c in enumerate(types):
+        if found.get(f"bad_{i}"):
+            kind = UnparsedDatesError if c == cols.time else UnparsedValuesError
+            raise kind(f"{found[f'bad_{i}']} values of {c} are not of type {types[c]}")
+    kinds = dict(types) | {c: next((t for t in ("bigint", "double") if not found[f"{t}_{i}"]), "string") for i, c in enumerate(more)}
+    return text.select(*[typed(c, t).alias(c) for c, t in kinds.items()])
