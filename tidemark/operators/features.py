@@ -2,10 +2,10 @@
 
 Fitting reads one batch (bounded by ``batch_size`` rows) and brings back only
 fitted parameters: medians, modes, sorted vocabularies (at most one entry per
-fit row) and scaler statistics. ``transform`` is a narrow projection (no
-shuffle): imputation with literals, encoding with a literal map or, for a
-vocabulary above ``MAP_LIMIT`` entries, a broadcast join whose size is that
-bounded vocabulary, and scaling.
+fit row) and scaler statistics. ``transform`` imputes with literals, scales, and
+encodes ordinals by a left join with each column's vocabulary table, of any
+size: broadcast if its bytes (known exactly) are under ``BROADCAST_BYTES``,
+shuffled otherwise.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.columns import DEFAULT_COLUMNS, Columns
 
-MAP_LIMIT = 5000
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass
@@ -53,6 +53,7 @@ class FittedFeatures:
         ``prefix`` renames the feature columns (to keep raw columns beside them)."""
         keep = [c for c in (keep or []) if c in df.columns]
         out: list[Column] = [F.col(c) for c in keep]
+        codes: list[tuple[Column, list[str]]] = []
         for c in self.numeric:
             v = F.col(c).cast("double") if c in df.columns else F.lit(None).cast("double")
             m = self.medians.get(c)
@@ -69,13 +70,18 @@ class FittedFeatures:
                 for item in vocab:
                     out.append(F.coalesce((v == F.lit(item)).cast("double"), F.lit(0.0)).alias(f"{prefix}{c}_{item}"))
             else:
-                if len(vocab) > MAP_LIMIT:
-                    raise ValueError(f"vocabulary of {c} exceeds {MAP_LIMIT} entries; fit on a smaller batch")
-                mapping = F.create_map(*[x for i, item in enumerate(vocab) for x in (F.lit(item), F.lit(float(i)))])
-                code = F.element_at(mapping, v) if vocab else F.lit(None).cast("double")
-                out.append(F.coalesce(F.when(v.isNotNull(), code), F.lit(-1.0)).alias(prefix + c))
+                n = len(codes)
+                codes.append((v.alias(f"__v{n}"), vocab))
+                out.append(F.coalesce(F.col(f"__c{n}"), F.lit(-1.0)).alias(prefix + c))
         if self.target in df.columns and "label" not in keep:
             out.append(F.col(self.target).cast("double").alias("label"))
+        if codes:
+            df = df.select("*", *[v for v, _ in codes])
+        for n, (_, vocab) in enumerate(codes):
+            table = df.sparkSession.createDataFrame([(x, float(i)) for i, x in enumerate(vocab)], f"__v{n} string, __c{n} double")
+            if sum(len(x) for x in vocab) * 4 + 32 * len(vocab) <= BROADCAST_BYTES:
+                table = F.broadcast(table)
+            df = df.join(table, f"__v{n}", "left")
         return df.select(*out)
 
     # ------------------------------------------------------------ persistence

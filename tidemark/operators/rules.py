@@ -1,12 +1,11 @@
 """Baskets, frequent itemsets and association rules for every batch.
 
-Items of one attribute exclude each other, so a basket holds at most one item
-per attribute (9 for the transaction table). Itemsets are mined in one job:
-items under the support bound are removed (no superset of them can be
-frequent), identical pruned baskets are counted once per batch (map-side
-combine), and every non-empty subset of a distinct pruned basket is emitted
-with that basket's weight. The subset fan-out is bounded by 2**max_items per
-distinct basket; wider inputs should use ``frequent_itemsets_fpgrowth``.
+Itemsets are mined level by level. Every itemset carries the set of its rows as
+a bit array over the rows of its batch (64 rows in a ``long``), so its support is
+a bit count. An itemset of size k joins two frequent ones of size k - 1 that
+share their first k - 2 items, and its rows are the AND of theirs: nothing is
+counted that is not made of frequent parts, baskets are read once, and there is
+no limit on the width of a basket.
 
 Supports, confidence and lift use the same float formulas as the common
 Python implementation (support = count / n, confidence = s(AC) / s(A),
@@ -31,7 +30,6 @@ class RuleParams:
     min_lift: float = 1.0
     n_rules: int = 10
     n_target_rules: int = 5
-    max_items: int = 12
 
 
 # Item names of the median splits and the label.
@@ -75,101 +73,58 @@ def _subsets(items: str, proper: bool) -> Column:
     )
 
 
-def basket_counts(bk: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
-    """Distinct baskets per batch with their row counts (one pass over rows,
-    map-side combined); everything after it works on this table."""
-    return bk.groupBy(cols.batch, "items").agg(F.count(F.lit(1)).cast("long").alias("__w"))
-
-
-def _frequent_item_dictionary(bc: DataFrame, n: DataFrame, params: RuleParams, cols: Columns) -> DataFrame:
-    """Per batch: the sorted array of items with support >= min_support."""
-    item_counts = (
-        bc.select(cols.batch, "__w", F.explode("items").alias("item"))
-        .groupBy(cols.batch, "item").agg(F.sum("__w").alias("count"))
+def _row_bits(bk: DataFrame, stat: DataFrame, cols: Columns) -> DataFrame:
+    """(batch, item, rows): the rows of every item as a bit array over its batch's rows."""
+    at = F.col(cols.row) - F.col("__first")
+    single = bk.join(stat, cols.batch).select(cols.batch, at.alias("__at"), F.explode("items").alias("item"))
+    words = single.groupBy(cols.batch, "item", F.floor(F.col("__at") / 64).cast("int").alias("__word")).agg(
+        F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), CAST(__at % 64 AS INT))")).alias("__bits")
     )
-    return (
-        item_counts.join(n, cols.batch)
-        .filter(F.col("count") / F.col("__n") >= F.lit(params.min_support))
-        .groupBy(cols.batch)
-        .agg(F.array_sort(F.collect_set("item")).alias("__dict"))
+    # every item has every word of its batch, so that arrays line up
+    zero = words.select(cols.batch, "item").distinct().join(stat, cols.batch).select(
+        cols.batch, "item", F.explode(F.sequence(F.lit(0), F.floor((F.col("__last") - F.col("__first")) / 64).cast("int"))).alias("__word"),
+        F.lit(0).cast("long").alias("__bits"),
     )
+    whole = words.unionByName(zero).groupBy(cols.batch, "item", "__word").agg(F.bit_or("__bits").alias("__bits"))
+    lists = whole.groupBy(cols.batch, "item").agg(F.array_sort(F.collect_list(F.struct("__word", "__bits"))).alias("__list"))
+    return lists.select(cols.batch, "item", F.transform("__list", lambda x: x["__bits"]).alias("rows"))
 
 
-def _guard(items: Column, params: RuleParams) -> Column:
-    # In-plan guard (no extra job): the subset fan-out must stay bounded.
-    return F.when(
-        F.size(items) > params.max_items,
-        F.raise_error(F.lit(f"a pruned basket holds more than {params.max_items} items; use FP-growth")),
-    ).otherwise(items)
-
-
-def _mask_subsets(pos: str, width: int) -> Column:
-    """Bit mask (over the batch dictionary) of local subset ``__m`` of the
-    sorted position array ``pos``: an unrolled bit deposit, codegen only."""
-    terms = [
-        f"IF((shiftright(__m, {i}) & 1) = 1 AND get({pos}, {i}) IS NOT NULL, "
-        f"shiftleft(CAST(1 AS BIGINT), get({pos}, {i})), CAST(0 AS BIGINT))"
-        for i in range(width)
-    ]
-    return F.expr(" + ".join(terms))
-
-
-def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS,
-                      materialize: bool = True) -> DataFrame:
-    """A4: (batch_index, itemset, count, support) with support >= min_support.
+def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
+    """A4: (batch_index, itemset, count, support) with support >= min_support, mined level by level.
 
-    Subsets are enumerated as bit masks over each batch's frequent-item
-    dictionary (at most 63 items: one ``long``), so the exploded rows carry a
-    long key and the work is arithmetic inside whole-stage codegen. Only the
-    frequent masks are decoded back to item arrays. A batch with more than 63
-    frequent items takes the array path.
-    """
+    Each level is a small written table; the loop ends with the first empty one."""
+    from tidemark.session import discard
     from tidemark.session import materialize as write_back
 
-    bc = basket_counts(bk, cols)
-    if materialize:
-        bc = write_back(bc, "baskets")
-    n = bc.groupBy(cols.batch).agg(F.sum("__w").alias("__n"))
-    dic = _frequent_item_dictionary(bc, n, params, cols)
-    if materialize:
-        dic = write_back(dic, "item-dictionary")
-    widest = dic.agg(F.max(F.size("__dict"))).first()[0]
-    if widest is None:
-        out = bk.sparkSession.createDataFrame([], f"{cols.batch} int, itemset array<string>, count long, support double")
-        return out
-    j = bc.join(dic, cols.batch)
-    if widest <= 63:
-        pos = F.array_sort(F.filter(F.transform("items", lambda x: F.array_position("__dict", x).cast("int") - 1),
-                                    lambda p: p >= 0))
-        pruned = j.select(cols.batch, "__w", _guard(pos, params).alias("__pos"))
-        weighted = pruned.groupBy(cols.batch, "__pos").agg(F.sum("__w").alias("__w"))
-        top = F.expr("shiftleft(1, size(__pos)) - 1")
-        subsets = weighted.select(
-            cols.batch, "__w", "__pos",
-            F.explode(F.when(top >= 1, F.sequence(F.lit(1), top)).otherwise(F.array().cast("array<int>"))).alias("__m"),
-        ).select(cols.batch, "__w", _mask_subsets("__pos", params.max_items).alias("__mask"))
-        counted = subsets.groupBy(cols.batch, "__mask").agg(F.sum("__w").cast("long").alias("count"))
-        frequent = counted.join(n, cols.batch).withColumn("support", F.col("count") / F.col("__n")).filter(
-            F.col("support") >= F.lit(params.min_support)
-        )
-        out = frequent.join(dic, cols.batch).select(
-            cols.batch,
-            F.expr("filter(__dict, (x, i) -> (shiftright(__mask, i) & 1) = 1)").alias("itemset"),
-            "count", "support",
-        )
-    else:
-        kept = _guard(F.array_sort(F.array_intersect("items", "__dict")), params)
-        pruned = j.select(cols.batch, "__w", kept.alias("items"))
-        weighted = pruned.groupBy(cols.batch, "items").agg(F.sum("__w").alias("__w"))
-        subsets = weighted.select(cols.batch, "__w", F.explode(_subsets("items", proper=False)).alias("itemset"))
-        counted = subsets.groupBy(cols.batch, "itemset").agg(F.sum("__w").cast("long").alias("count"))
-        out = (
-            counted.join(n, cols.batch)
-            .withColumn("support", F.col("count") / F.col("__n"))
-            .filter(F.col("support") >= F.lit(params.min_support))
-            .select(cols.batch, "itemset", "count", "support")
-        )
-    return write_back(out, "itemsets") if materialize else out
+    stat = write_back(bk.groupBy(cols.batch).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(cols.row).alias("__first"), F.max(cols.row).alias("__last")), "baskets")
+    total = stat.select(cols.batch, "__n")
+
+    def frequent(df: DataFrame) -> DataFrame:
+        count = F.aggregate("rows", F.lit(0).cast("long"), lambda acc, x: acc + F.bit_count(x).cast("long"))
+        counted = df.withColumn("count", count).join(total, cols.batch)
+        counted = counted.withColumn("support", F.col("count") / F.col("__n")).filter(F.col("support") >= F.lit(params.min_support))
+        return write_back(counted.select(cols.batch, "itemset", "rows", "count", "support"), "itemsets")
+
+    single = _row_bits(bk, stat, cols)
+    level = frequent(single.select(cols.batch, F.array("item").alias("itemset"), "rows"))
+    out = [level]
+    while True:
+        head = F.slice("itemset", F.lit(1), F.size("itemset") - 1)
+        left = level.select(cols.batch, head.alias("__head"), F.element_at("itemset", -1).alias("__x"), F.col("rows").alias("__rx"))
+        right = level.select(cols.batch, head.alias("__head"), F.element_at("itemset", -1).alias("__y"), F.col("rows").alias("__ry"))
+        both = left.join(right, [cols.batch, "__head"]).filter(F.col("__x") < F.col("__y"))
+        rows = F.zip_with("__rx", "__ry", lambda x, y: x.bitwiseAND(y))
+        level = frequent(both.select(cols.batch, F.concat("__head", F.array("__x", "__y")).alias("itemset"), rows.alias("rows")))
+        if level.isEmpty():
+            discard(level)
+            break
+        out.append(level)
+    found = out[0]
+    for more in out[1:]:  # as many as the largest itemset has items
+        found = found.unionByName(more)
+    return found.select(cols.batch, "itemset", "count", "support")
 
 
 def frequent_itemsets_fpgrowth(bk: DataFrame, batch_index: int, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
