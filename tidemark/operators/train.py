@@ -1,19 +1,19 @@
 """Class weights, a growing random forest and a warm-started MLP (MLlib).
 
-MLlib has no warm start for forests: each later batch fits a new small
-forest and appends it to an ensemble; the ensemble probability is the
-tree-count-weighted mean of the members' probabilities (MLlib averages its
-trees' class distributions, so this equals one forest of all trees). The MLP
-continues from the previous weights with one more pass per batch.
+MLlib has no warm start for forests: each later batch fits a new small forest
+whose trees are added to those before. Scoring puts all trees into one model
+(MLlib averages its trees' class distributions), so it is one pass whatever the
+number of batches. The MLP continues from the previous weights with one more
+pass per batch.
 
 Training is sequential by nature (each batch extends the previous model); the
-data of one fit is one batch, and scoring is a narrow map over any table.
+data of one fit is one batch, which fits in one partition by construction, and
+scoring is a narrow map over any table.
 """
 
 from __future__ import annotations
 
 import json
-import os
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.classification import (
@@ -24,9 +24,11 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import list_names, path_exists
+
 
 @dataclass(frozen=True)
 class TrainParams:
@@ -36,7 +38,6 @@ class TrainParams:
     rf_depth: int = 10
     mlp_layers: tuple[int, ...] = (64, 32)
     seed: int = 42
-    max_members: int | None = None
 
 
 class NotFittedError(RuntimeError):
@@ -60,6 +61,20 @@ def assemble(df: DataFrame, feature_cols: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep").transform(df)
 
 
+def merged_forest(members: list[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+    """One model of all trees of the members."""
+    if len(members) == 1:
+        return members[0]
+    sc = SparkSession.getActiveSession().sparkContext
+    package = sc._jvm.org.apache.spark.ml.classification
+    trees = [t for m in members for t in m._java_obj.trees()]
+    array = sc._gateway.new_array(package.DecisionTreeClassificationModel, len(trees))
+    for i, tree in enumerate(trees):
+        array[i] = tree
+    uid = f"{members[0].uid}_{len(trees)}"
+    return RandomForestClassificationModel(package.RandomForestClassificationModel(uid, array, members[0].numFeatures, members[0].numClasses))
+
+
 @dataclass
 class ModelState:
     """The two incrementally trained models of the pipeline."""
@@ -71,14 +86,16 @@ class ModelState:
     mlp: MultilayerPerceptronClassificationModel | None = None
     batch_count: int = 0
     member_paths: list[str | None] = field(default_factory=list)
+    _merged: RandomForestClassificationModel | None = field(default=None, repr=False)
 
     # ----------------------------------------------------------------- fit
-    def fit(self, batch: DataFrame) -> "ModelState":
+    def fit(self, batch: DataFrame, models: tuple[str, ...] = ("rf", "mlp")) -> "ModelState":
         """T2/T4 on the first call, T3/T5 afterwards. ``batch`` holds the
-        feature columns and ``label``."""
+        feature columns and ``label``; ``models`` names those to fit."""
         from pyspark import StorageLevel
 
-        data = assemble(batch, self.feature_cols).persist(StorageLevel.MEMORY_AND_DISK)
+        # one batch: at most batch_size rows, so one partition and no task overhead in MLlib's many passes
+        batch = batch.select(*self.feature_cols, "label").coalesce(1)
         if self.batch_count == 0:
             rows = class_weights(batch).collect()  # at most two rows
             self.weights = {float(r["label"]): float(r["weight"]) for r in rows}
@@ -88,23 +105,24 @@ class ModelState:
         w = F.lit(1.0)
         for lab, wt in self.weights.items():
             w = F.when(F.col("label") == lab, F.lit(wt)).otherwise(w)
-        data = data.withColumn("__w", w)
-        rf = RandomForestClassifier(
-            cacheNodeIds=True,
-            numTrees=trees, maxDepth=self.params.rf_depth, weightCol="__w",
-            seed=self.params.seed + self.batch_count, labelCol="label", featuresCol="features",
-        )
-        self.forest.append((rf.fit(data), trees))
-        self.member_paths.append(None)
-        if self.params.max_members and len(self.forest) > self.params.max_members:
-            self.forest = self.forest[-self.params.max_members:]
-            self.member_paths = self.member_paths[-self.params.max_members:]
-        layers = [len(self.feature_cols), *self.params.mlp_layers, 2]
-        mlp = MultilayerPerceptronClassifier(layers=layers, maxIter=1, seed=self.params.seed, labelCol="label", featuresCol="features")
-        if self.mlp is not None:
-            mlp.setInitialWeights(self.mlp.weights)
-        self.mlp = mlp.fit(data)
-        data.unpersist()
+        data = assemble(batch, self.feature_cols).select("features", "label", w.alias("__w")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if "rf" in models:
+                rf = RandomForestClassifier(
+                    numTrees=trees, maxDepth=self.params.rf_depth, weightCol="__w",
+                    seed=self.params.seed + self.batch_count, labelCol="label", featuresCol="features",
+                )
+                self.forest.append((rf.fit(data), trees))
+                self.member_paths.append(None)
+                self._merged = None
+            if "mlp" in models:
+                layers = [len(self.feature_cols), *self.params.mlp_layers, 2]
+                mlp = MultilayerPerceptronClassifier(layers=layers, maxIter=1, seed=self.params.seed, labelCol="label", featuresCol="features")
+                if self.mlp is not None:
+                    mlp.setInitialWeights(self.mlp.weights)
+                self.mlp = mlp.fit(data)
+        finally:
+            data.unpersist()
         self.batch_count += 1
         return self
 
@@ -124,23 +142,11 @@ class ModelState:
         """Adds ``p1`` = P(class 1) and ``prediction`` (argmax, class 0 on ties).
         ``feature_cols`` names the input columns when they carry a prefix."""
         m = self._get(model)
+        if model == "rf":
+            m = self._merged = self._merged or merged_forest([f for f, _ in m])
         data = assemble(df, feature_cols or self.feature_cols)
-        if model == "mlp":
-            out = m.setProbabilityCol("__prob").setPredictionCol("__pred").setRawPredictionCol("__raw").transform(data)
-            p1 = vector_to_array("__prob")[1]
-            out = out.withColumn("p1", p1).drop("__prob", "__pred", "__raw")
-        else:
-            total = float(sum(n for _, n in m))
-            acc = F.lit(0.0)
-            out = data
-            for i, (member, n) in enumerate(m):
-                prob = f"__prob{i}"
-                out = (
-                    member.setProbabilityCol(prob).setPredictionCol(f"__pred{i}").setRawPredictionCol(f"__raw{i}")
-                    .transform(out).drop(f"__pred{i}", f"__raw{i}")
-                )
-                acc = acc + F.lit(n / total) * vector_to_array(prob)[1]
-            out = out.withColumn("p1", acc).drop(*[f"__prob{i}" for i in range(len(m))])
+        out = m.setProbabilityCol("__prob").setPredictionCol("__pred").setRawPredictionCol("__raw").transform(data)
+        out = out.withColumn("p1", vector_to_array("__prob")[1]).drop("__prob", "__pred", "__raw")
         return out.drop("features").withColumn("prediction", F.when(F.col("p1") > 0.5, 1).otherwise(0))
 
     def predict(self, df: DataFrame, model: str = "rf", feature_cols: list[str] | None = None) -> DataFrame:
@@ -153,8 +159,6 @@ class ModelState:
         Forest members are written once (``members/``) and each version's
         manifest lists the members it uses, so saving stays linear in the
         number of batches."""
-        from pyspark.sql import SparkSession
-
         root = path.rstrip("/")
         vdir = f"{root}/version={self.batch_count:06d}"
         while len(self.member_paths) < len(self.forest):
@@ -178,17 +182,17 @@ class ModelState:
 
     @staticmethod
     def load(path: str, version: int | None = None) -> "ModelState":
-        from pyspark.sql import SparkSession
-
         spark = SparkSession.getActiveSession()
+        root = path.rstrip("/")
         if version is None:
-            local = path[len("file:"):] if path.startswith("file:") else path
-            versions = sorted(d for d in os.listdir(local) if d.startswith("version="))
+            versions = [d for d in list_names(spark, root) if d.startswith("version=")]
             if not versions:
                 raise FileNotFoundError(f"no saved models in {path}")
-            vdir = f"{path.rstrip('/')}/{versions[-1]}"
+            vdir = f"{root}/{versions[-1]}"
         else:
-            vdir = f"{path.rstrip('/')}/version={version:06d}"
+            vdir = f"{root}/version={version:06d}"
+            if not path_exists(spark, vdir):
+                raise FileNotFoundError(vdir)
         man = json.loads(spark.read.json(f"{vdir}/manifest").first()["manifest"])
         p = man["params"]
         p["mlp_layers"] = tuple(p["mlp_layers"])

@@ -6,9 +6,11 @@ or ``events``) over their whole extent; the batch numbering is shared.
 
 from __future__ import annotations
 
-import functools
+import itertools
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from tidemark.columns import DEFAULT_COLUMNS as C
 from tidemark.columns import Columns, data_columns
 from tidemark.operators import batches, clean, drift, eda, features, profile, rules, serve, train, validate
 from tidemark.plans import jobs
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources import csv_source
 from tidemark.sources import store as store_mod
 from tidemark.sources.tables import read_table, transactions
@@ -125,9 +127,7 @@ def features_and_deltas(spark, sf_dir):
     c = cleaned(spark, sf_dir)
     feats = drift.drift_features(c.data, c.dropped, C)
     ref = drift.reference_features(feats, 0, C)
-    bound = BATCH_SIZE * len(c.data.columns) + 2 * len(c.data.columns) + 1
-    deltas = drift.drift_deltas(feats, ref, cols=C, reference_bound_rows=bound)
-    return feats, deltas
+    return feats, drift.drift_deltas(feats, ref, cols=C)
 
 
 def q_drift_features(spark, sf_dir):
@@ -143,9 +143,12 @@ def q_drift_summary(spark, sf_dir):
     return drift.drift_summary(features_and_deltas(spark, sf_dir)[1], C)
 
 
-def rule_inputs(spark, sf_dir):
-    bk = rules.baskets(cleaned(spark, sf_dir).data, C)
-    return bk, rules.frequent_itemsets(bk, rules.RuleParams(), C)
+# The positive label is rare (about 3 %): rules about it need lower bounds.
+TARGET_PARAMS = rules.RuleParams(min_support=0.01, min_confidence=0.1)
+
+
+def itemsets(spark, sf_dir, params=rules.RuleParams()):
+    return rules.frequent_itemsets(rules.baskets(cleaned(spark, sf_dir).data, C), params, C)
 
 
 def q_baskets(spark, sf_dir):
@@ -153,11 +156,11 @@ def q_baskets(spark, sf_dir):
 
 
 def q_frequent_itemsets(spark, sf_dir):
-    return rules.as_text(rule_inputs(spark, sf_dir)[1], None)
+    return rules.as_text(itemsets(spark, sf_dir), None)
 
 
-def mined_rules(spark, sf_dir):
-    return rules.association_rules(rule_inputs(spark, sf_dir)[1], rules.RuleParams(), C)
+def mined_rules(spark, sf_dir, params=rules.RuleParams()):
+    return rules.association_rules(itemsets(spark, sf_dir, params), params, C)
 
 
 def q_association_rules(spark, sf_dir):
@@ -169,7 +172,7 @@ def q_top_rules(spark, sf_dir):
 
 
 def q_target_rules(spark, sf_dir):
-    return rules.as_text(rules.target_rules(mined_rules(spark, sf_dir), rules.RuleParams().n_target_rules, C), None)
+    return rules.as_text(rules.target_rules(mined_rules(spark, sf_dir, TARGET_PARAMS), TARGET_PARAMS.n_target_rules, C), None)
 
 
 def fit_batch(data):
@@ -291,11 +294,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 PIPELINE = jobs.PipelineConfig(min_batches=VALIDATION_MIN_BATCHES)
 
 
-def prepared_all(spark, sf_dir):
-    """Prepared features, checkpointed: model fits pass over their batch
-    several times, and must not recompute the cleaning lineage each time."""
+def training_table(spark, sf_dir):
+    """Prepared features, written bucketed by batch: a fit reads the bucket of its batch and nothing is recomputed."""
     fitted, wide = prepared(spark, sf_dir, features.FeatureParams())
-    return fitted, wide.checkpoint(eager=True)
+    return fitted, materialize(wide, "features", bucket_col=C.batch)
+
+
+def batch_numbers(df):
+    """The batch numbers in order, streamed."""
+    return (r[0] for r in df.select(C.batch).distinct().orderBy(C.batch).toLocalIterator())
+
+
+def trained(fitted, wide, models, each=None):
+    """The models named, extended batch by batch in order; ``each(state, batch, rows)`` runs after every fit."""
+    state = train.ModelState(fitted.output_columns(), PIPELINE.train_params)
+    for b in batch_numbers(wide):
+        part = wide.filter(F.col(C.batch) == b)
+        state.fit(part, models)
+        if each:
+            each(state, b, part)
+    return state
 
 
 def q_class_weights(spark, sf_dir):
@@ -303,72 +321,64 @@ def q_class_weights(spark, sf_dir):
     return train.class_weights(data)
 
 
-def q_rf_scores(spark, sf_dir):
-    fitted, wide = prepared_all(spark, sf_dir)
-    state = train.ModelState(fitted.output_columns(), PIPELINE.train_params).fit(fit_batch(wide))
-    return state.predict_proba(wide, "rf").select(C.batch, C.row, "label", "p1", "prediction")
+def scores(state, wide, model):
+    return state.predict_proba(wide, model).select(C.batch, C.row, "label", "p1", "prediction")
 
 
-@functools.lru_cache(maxsize=4)
-def _trained(spark, sf_dir):
-    """The incremental training loop over every batch, in order."""
-    fitted, wide = prepared_all(spark, sf_dir)
-    ids = (r[0] for r in wide.select(C.batch).distinct().orderBy(C.batch).toLocalIterator())
-    state = train.ModelState(fitted.output_columns(), PIPELINE.train_params)
-    evals = []
-    for b in ids:
-        part = validate.holdout(wide.filter(F.col(C.batch) == b), PIPELINE.val_size, C)
-        state.fit(part.drop("is_holdout"))
-        hold = part.filter("is_holdout")
-        for m in validate.MODEL_ORDER:
-            pdf = state.predict_proba(hold, m).select(C.batch, "label", "p1", "prediction", F.lit(m).alias("model"))
-            evals.append(validate.evaluate(pdf, C).checkpoint(eager=True))
-    return state, wide, evals
+def q_rf_scores(spark, sf_dir):
+    fitted, wide = training_table(spark, sf_dir)
+    state = train.ModelState(fitted.output_columns(), PIPELINE.train_params).fit(fit_batch(wide), ("rf",))
+    return scores(state, wide, "rf")
 
 
 def q_rf_ensemble_scores(spark, sf_dir):
-    state, wide, _ = _trained(spark, sf_dir)
-    return state.predict_proba(wide, "rf").select(C.batch, C.row, "label", "p1", "prediction")
+    fitted, wide = training_table(spark, sf_dir)
+    return scores(trained(fitted, wide, ("rf",)), wide, "rf")
 
 
 def q_mlp_scores(spark, sf_dir):
-    state, wide, _ = _trained(spark, sf_dir)
-    return state.predict_proba(wide, "mlp").select(C.batch, C.row, "label", "p1", "prediction")
+    fitted, wide = training_table(spark, sf_dir)
+    return scores(trained(fitted, wide, ("mlp",)), wide, "mlp")
 
 
 def q_evaluate_models(spark, sf_dir):
-    _, _, evals = _trained(spark, sf_dir)
-    out = evals[0]
-    for e in evals[1:]:
-        out = out.unionByName(e)
-    return out
+    """V4: each batch's holdout rows are scored by the models of that moment; all batches are evaluated in one job."""
+    fitted, wide = training_table(spark, sf_dir)
+    path = scratch_path(spark, "holdout")
+
+    def score(state, b, part):
+        jobs.score_holdout(state, validate.holdout(part, PIPELINE.val_size, C).filter("is_holdout"), path, b, C)
+
+    trained(fitted, wide, validate.MODEL_ORDER, score)
+    return validate.evaluate(spark.read.parquet(path), C)
 
 
-def q_cv_scores(spark, sf_dir):
-    """V5: expanding-window CV of a fresh forest per fold and batch."""
-    fitted, wide = prepared_all(spark, sf_dir)
+def q_cv_scores(spark, sf_dir, parallel: int = 8):
+    """V5: expanding-window CV of fresh models per batch and fold. Folds are independent: ``parallel`` fits run at a
+    time, each writes its scored test rows, and one job scores all folds."""
+    fitted, wide = training_table(spark, sf_dir)
     folds = validate.fold_membership(validate.cv_folds(wide, validate.DEFAULT_SPLITS, C), validate.DEFAULT_SPLITS, C)
-    folds = folds.checkpoint(eager=True)
-    ids = [r[0] for r in folds.select(C.batch).distinct().orderBy(C.batch).toLocalIterator()]
-    results = []
-    for b in ids:
-        for k in range(validate.DEFAULT_SPLITS):
-            part = folds.filter((F.col(C.batch) == b) & (F.col("fold") == k))
-            tr = part.filter(F.col("role") == "train")
-            st = train.ModelState(fitted.output_columns(), PIPELINE.train_params).fit(tr)
-            te = st.predict_proba(part.filter(F.col("role") == "test"), "rf")
-            m = validate.binary_metrics(te.withColumn("fold", F.lit(k)), [C.batch, "fold"])
-            results.append(m.select(C.batch, "fold", "f1").checkpoint(eager=True))
-    allf = results[0]
-    for r in results[1:]:
-        allf = allf.unionByName(r)
-    return allf.groupBy(C.batch).agg(
+    folds = materialize(folds, "folds", bucket_col=C.batch)
+    path = scratch_path(spark, "cv")
+
+    def run(task):
+        b, k = task
+        part = folds.filter((F.col(C.batch) == b) & (F.col("fold") == k))
+        state = train.ModelState(fitted.output_columns(), PIPELINE.train_params).fit(part.filter(F.col("role") == "train"))
+        jobs.score_holdout(state, part.filter(F.col("role") == "test"), f"{path}/fold={k}", b, C)
+
+    tasks = ((b, k) for b in batch_numbers(folds) for k in range(validate.DEFAULT_SPLITS))
+    with ThreadPoolExecutor(parallel) as pool:
+        while some := list(itertools.islice(tasks, 8 * parallel)):
+            list(pool.map(inheritable_thread_target(run), some))
+    scored = validate.binary_metrics(spark.read.parquet(path), [C.batch, "model", "fold"])
+    return scored.groupBy(C.batch, "model").agg(
         F.round(F.avg("f1"), 4).alias("mean_f1"), F.round(F.stddev_pop("f1"), 4).alias("std_f1"),
         F.count(F.lit(1)).cast("long").alias("n_folds"),
+        F.transform(F.array_sort(F.collect_list(F.struct("fold", "f1"))), lambda x: F.round(x["f1"], 4)).alias("fold_f1"),
     )
 
 
-@functools.lru_cache(maxsize=4)
 def _pipeline_root(spark, sf_dir):
     """J1 over every batch of the fixture into a fresh store, then J2 twice
     over the whole table (two logged scoring runs for the G5 summary)."""
@@ -429,20 +439,23 @@ CSV_TYPES = {
 }
 
 
+CSV_LAYOUTS = ("yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "yyyy/MM/dd", "yyyy-MM-dd'T'HH:mm:ss'Z'", "MMM d, yyyy", "d MMM yyyy")
+
+
 def q_csv_source(spark, sf_dir):
-    """S1/S2 round trip: the fixture as CSV text with three date layouts and
-    missing-value tokens, read back through the source."""
+    """S1/S2 round trip: the fixture as CSV text with its columns in another order, a further column, six date layouts
+    and missing-value tokens, read back through the source."""
     t = transactions(spark, sf_dir)
-    layouts = F.when(F.col(C.id) % 3 == 0, F.date_format(C.time, "yyyy-MM-dd HH:mm:ss")).when(
-        F.col(C.id) % 3 == 1, F.date_format(C.time, "MM/dd/yyyy")
-    ).otherwise(F.date_format(C.time, "yyyy/MM/dd"))
-    text = t.select(*[
-        layouts.alias(c) if c == C.time
-        else F.coalesce(F.col(c).cast("string"), F.lit("NaN")).alias(c) if c == C.amount
-        else F.coalesce(F.col(c).cast("string"), F.lit("N/A")).alias(c) if c == C.device
-        else F.col(c).cast("string").alias(c)
-        for c in t.columns
-    ])
+    layout = F.pmod(F.col(C.id), F.lit(len(CSV_LAYOUTS)))
+    day = F.coalesce(*[F.when(layout == i, F.date_format(C.time, fmt)) for i, fmt in enumerate(CSV_LAYOUTS)])
+    text = t.select(
+        (F.col(C.id) % 7).cast("string").alias("Channel_Code"),
+        *[day.alias(c) if c == C.time
+          else F.coalesce(F.col(c).cast("string"), F.lit("NaN")).alias(c) if c == C.amount
+          else F.coalesce(F.col(c).cast("string"), F.lit("N/A")).alias(c) if c == C.device
+          else F.col(c).cast("string").alias(c)
+          for c in reversed(t.columns)],
+    )
     path = scratch_path(spark, "csv")
     text.write.mode("overwrite").option("header", True).csv(path)
     return csv_source.read_transactions_csv(spark, path, CSV_TYPES, C)
@@ -465,6 +478,52 @@ def q_meta_history(spark, sf_dir):
     return st.history("batch_meta").drop("saved_at")
 
 
+def q_quality_history(spark, sf_dir):
+    """The stored quality reports."""
+    st = store_mod.BatchStore(spark, scratch_path(spark, "store"))
+    st.write("quality", profile.quality_report(batched(spark, sf_dir), C))
+    return st.history("quality")
+
+
+def q_drift_history(spark, sf_dir):
+    """The stored drift reports."""
+    st = store_mod.BatchStore(spark, scratch_path(spark, "store"))
+    st.write("drift", features_and_deltas(spark, sf_dir)[1])
+    return st.history("drift")
+
+
+def q_update_reports(spark, sf_dir):
+    """J1's report step over all batches; returns the stored category counts."""
+    st = store_mod.BatchStore(spark, scratch_path(spark, "store"))
+    raw = batched(spark, sf_dir)
+    jobs.run_analytics(st, raw, raw.select(C.batch).distinct(), PIPELINE)
+    return st.read("eda_counts")
+
+
+def q_features_reloaded(spark, sf_dir):
+    """Features prepared by a fitted state that was saved and loaded."""
+    fitted, _ = prepared(spark, sf_dir, features.FeatureParams("standard", "ordinal"))
+    path = scratch_path(spark, "state")
+    fitted.save(spark, path)
+    back = features.FittedFeatures.load(spark, path)
+    wide = back.transform(cleaned(spark, sf_dir).data, keep=[C.batch, C.row])
+    return features.to_long(wide, back.output_columns(), [C.batch, C.row, "label"])
+
+
+def q_registered_model(spark, sf_dir):
+    """V7/G1: the best scorer registered, promoted and read back."""
+    path = scratch_path(spark, "registry")
+    best = q_best_model(spark, sf_dir).first()
+    serve.register(spark, path, "best", best["model_name"], "", float(best["score"]), best["metric"], best[C.batch])
+    serve.promote(spark, path)
+    return spark.read.parquet(path).filter("stage = 'production'").select("model_name", C.batch, "score", "metric")
+
+
+def q_scoring_log_summary(spark, sf_dir):
+    """G5 on a fixed log: one entry for each order, its price as the elapsed time."""
+    return serve.performance_summary(read_table(spark, sf_dir, "orders").select(F.col("o_totalprice").alias("elapsed_ms")))
+
+
 # ---------------------------------------------------------------- events table
 def events_by_day(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
@@ -505,6 +564,12 @@ QUERIES.update({
     "stream_clean": q_stream_clean,
     "meta_history": q_meta_history,
     "csv_source": q_csv_source,
+    "quality_history": q_quality_history,
+    "drift_history": q_drift_history,
+    "update_reports": q_update_reports,
+    "features_reloaded": q_features_reloaded,
+    "registered_model": q_registered_model,
+    "scoring_log_summary": q_scoring_log_summary,
     "event_profile": q_event_profile,
     "event_drift": q_event_drift,
 })

@@ -1,10 +1,14 @@
 """The update, inference and summary jobs.
 
-update: assign batches -> store pending batches -> analytics for all pending
-batches in one pass each (quality, cleaning, rules, profile, drift) -> the
-training loop over the pending batches in order (sequential by nature) ->
-validation, best model, promotion. Stage outputs are written tables, which
-also cut lineage for the later stages that read them several times.
+update: number the rows not stored yet -> store pending batches -> analytics for
+all pending batches in one pass each (quality, cleaning, rules, profile, drift)
+-> the training loop over the pending batches in order (sequential by nature)
+-> validation of all of them in one job, best model, promotion -> progress.
+
+A batch counts as done when its last step is written (the ``progress`` table),
+so a run that stops anywhere is simply started again: the open batches are
+taken from the store, every table replaces exactly their rows, and training
+goes on from the model version of the last finished batch.
 """
 
 from __future__ import annotations
@@ -15,8 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.columns import DEFAULT_COLUMNS, Columns
+from tidemark.functions.exprs import nan_to_null
 from tidemark.operators import batches, clean, drift, eda, features, profile, rules, serve, train, validate
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
+from tidemark.sources.store import BatchStore
 
 
 @dataclass
@@ -35,121 +41,162 @@ class PipelineConfig:
     cols: Columns = DEFAULT_COLUMNS
 
 
-def _store(spark, root):
-    from tidemark.sources.store import BatchStore
+def unseen_rows(source: DataFrame, stored: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
+    """Rows of ``source`` that ``stored`` doesn't hold yet (as multisets).
+
+    Rows after the latest stored time are new as they are. Only rows at that
+    very time, or without a time, are compared one by one; older rows are
+    compared only if their number shows that some came late."""
+    source = nan_to_null(source)
+    stored = stored.select(*source.columns)
+    latest = stored.agg(F.max(cols.time)).first()[0]
+    t = F.col(cols.time)
+    if latest is None:
+        return source.exceptAll(stored)
+    fresh = source.filter(t > F.lit(latest))
+    border = (t == F.lit(latest)) | t.isNull()
+    fresh = fresh.unionByName(source.filter(border).exceptAll(stored.filter(border)))
+    old = source.filter(t < F.lit(latest))
+    known = stored.filter(t < F.lit(latest))
+    if old.count() != known.count():
+        fresh = fresh.unionByName(old.exceptAll(known))
+    return fresh
+
+
+def pending(source: DataFrame, store: BatchStore, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
+    """``(numbered new rows, pending batch ids)``: stored batches that aren't finished, then new ones."""
+    C = cfg.cols
+    raw, done = store.read("raw"), store.read("progress")
+    if raw is None:
+        numbered = batches.assign_batches(source, cfg.batch_size, C)
+        return numbered, numbered.select(C.batch).distinct()
+    row = raw.agg(F.count(F.lit(1)), F.max(C.batch), F.max(C.row)).first()
+    new = batches.assign_batches(unseen_rows(source, raw, C), cfg.batch_size, C, start_row=row[2] + 1, start_batch=row[1] + 1)
+    stored = raw.select(C.batch).distinct()
+    opened = stored if done is None else stored.join(done.select(C.batch), C.batch, "left_anti")
+    return new, opened.union(new.select(C.batch).distinct())
 
-    return BatchStore(spark, root)
+
+def run_analytics(store: BatchStore, raw: DataFrame, ids: DataFrame, cfg: PipelineConfig) -> None:
+    """Every report table of the batches in ``ids``: quality, cleaning, rules, profile, drift."""
+    C = cfg.cols
+
+    def put(kind: str, df: DataFrame) -> None:
+        store.write(kind, df, ids=ids)
+
+    put("quality", profile.quality_report(raw, C, cfg.thresholds))
+    put("missing", profile.missing_per_column(raw, C))
+    cl = clean.clean(raw, C, cfg.max_missing_pct)
+    put("clean", cl.data)
+    put("dropped", cl.dropped)
+    put("clean_audit", clean.clean_audit(raw, cl, C))
+    data, dropped = cl.data, cl.dropped
+
+    mined = rules.association_rules(rules.frequent_itemsets(rules.baskets(data, C), cfg.rule_params, C), cfg.rule_params, C)
+    mined = materialize(mined, "rules")
+    put("rules", rules.as_text(rules.top_rules(mined, cfg.rule_params.n_rules, C)))
+    put("target_rules", rules.as_text(rules.target_rules(mined, cfg.rule_params.n_target_rules, C)))
+    put("eda_header", eda.profile_header(data, dropped, C))
+    put("eda_numeric", eda.describe_numeric(data, dropped, C))
+    put("eda_top3", eda.top_categories(data, cols=C))
+    put("eda_hist", eda.histogram(data, dropped, cols=C))
+    put("eda_corr", eda.correlation(data, dropped, C))
+    put("eda_counts", eda.category_counts(data, cols=C))
+    put("eda_rate", eda.target_rate_by_category(data, C))
+
+    feats = materialize(drift.drift_features(data, dropped, C), "drift-features")
+    put("drift_features", feats)
+    reference = store.read("drift_reference")
+    if reference is None or not feats.filter(F.col(C.batch) == 0).isEmpty():
+        store.write("drift_reference", drift.reference_features(feats, 0, C), partitioned=False)
+        reference = store.read("drift_reference")
+    deltas = materialize(drift.drift_deltas(feats, reference, cfg.drift_threshold, 0, C), "drift-deltas")
+    put("drift", deltas)
+    put("drift_summary", drift.drift_summary(deltas, C))
+    discard(mined, feats, deltas)
 
 
 def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineConfig = PipelineConfig(),
-               n_batches: int | None = 1, process_all: bool = False) -> list[int]:
+               n_batches: int | None = 1, process_all: bool = False) -> DataFrame:
     """Process the next ``n_batches`` pending batches (all with ``process_all``).
-    Returns the processed batch numbers (in a real deployment with very many
-    batches, use the returned list only for logging)."""
+    Returns the numbers of the batches processed, as a table."""
     C = cfg.cols
-    store = _store(spark, root)
-    numbered = batches.assign_batches(source, cfg.batch_size, C)
-    stored = store.read("batch_meta")
-    ids = numbered.select(C.batch).distinct() if stored is None else batches.pending_batches(numbered, stored, C)
+    store = BatchStore(spark, root)
+    numbered, ids = pending(source, store, cfg)
     if not process_all:
         ids = ids.orderBy(C.batch).limit(n_batches or 1)
-    # The pending ids stay a table (never a driver list): analytics select
-    # their rows with a semi join, which also prunes store partitions.
-    ids = materialize(ids, "pending")
+    # the ids stay a table: every step selects its rows with a semi join
+    ids = materialize(ids.select(C.batch), "pending")
     if ids.isEmpty():
-        return []
-    chosen = numbered.join(ids, C.batch, "left_semi")
-    store.save_batches(chosen, profile.batch_meta(chosen, C))
-    raw = store.read("raw").join(ids, C.batch, "left_semi")
-
-    store.write("quality", profile.quality_report(raw, C, cfg.thresholds))
-    store.write("missing", profile.missing_per_column(raw, C))
-    cl = clean.clean(raw, C, cfg.max_missing_pct)
-    store.write("clean", cl.data)
-    store.write("dropped", cl.dropped)
-    data = store.read("clean").join(ids, C.batch, "left_semi")
-    dropped = store.read("dropped")
-    dropped = None if dropped is None else dropped.join(ids, C.batch, "left_semi")
-    has_first = not ids.filter(F.col(C.batch) == 0).isEmpty()
-
-    bk = rules.baskets(data, C)
-    mined = rules.association_rules(rules.frequent_itemsets(bk, cfg.rule_params, C), cfg.rule_params, C)
-    store.write("rules", rules.as_text(rules.top_rules(mined, cfg.rule_params.n_rules, C)))
-    store.write("eda_header", eda.profile_header(data, dropped, C))
-    store.write("eda_numeric", eda.describe_numeric(data, dropped, C))
-    store.write("eda_top3", eda.top_categories(data, cols=C))
-    store.write("eda_hist", eda.histogram(data, dropped, cols=C))
-    store.write("eda_corr", eda.correlation(data, dropped, C))
-    store.write("eda_rate", eda.target_rate_by_category(data, C))
-
-    feats = drift.drift_features(data, dropped, C)
-    if has_first:
-        store.write("drift_reference", drift.reference_features(feats, 0, C), partitioned=False)
-    ref = store.read("drift_reference")
-    if ref is not None:
-        deltas = drift.drift_deltas(feats, ref, cfg.drift_threshold, 0, C, cfg.batch_size * len(data.columns))
-        store.write("drift", deltas)
-        store.write("drift_summary", drift.drift_summary(deltas, C))
+        return ids
+    new = numbered.join(ids, C.batch, "left_semi")
+    new_ids = materialize(new.select(C.batch).distinct(), "new")
+    if not new_ids.isEmpty():
+        store.write("raw", new, ids=new_ids)
+    raw = materialize(store.read_batches("raw", ids), "raw", bucket_col=C.batch)
+    store.write("batch_meta", profile.batch_meta(raw, C).withColumn("saved_at", F.current_timestamp()), ids=ids)
+    run_analytics(store, raw, ids, cfg)
 
+    data = store.read_batches("clean", ids)
     state_path = store.path("fitted_features")
-    if has_first:
+    if ids.filter(F.col(C.batch) == 0).isEmpty():
+        fitted = features.FittedFeatures.load(spark, state_path)
+    else:
         fitted = features.fit(data.filter(F.col(C.batch) == 0), cfg.feature_params, C)
         fitted.save(spark, state_path)
-    else:
-        fitted = features.FittedFeatures.load(spark, state_path)
-    prepared = fitted.transform(data, keep=[C.batch, C.row])
-    store.write("features", prepared)
-    prepared = store.read("features")
-
-    models_path = store.path("models")
-    try:
-        state = train.ModelState.load(models_path)
-    except Exception:
-        state = train.ModelState(fitted.output_columns(), cfg.train_params)
-    registry = store.path("registry")
-    try:
-        best = serve.current(spark, registry, "best")
-        best_score = float(best["score"])
-    except serve.NoModelError:
-        best_score = 0.0
-    done, reports = [], []
-    # Sequential by definition (each batch extends the models); the ids are
-    # streamed to the driver in order, never held as one list.
-    for row in ids.orderBy(C.batch).toLocalIterator():
-        b = row[0]
-        done.append(b)
-        part = prepared.filter(F.col(C.batch) == b)
-        flagged = validate.holdout(part, cfg.val_size, C)
+    # bucketed by batch: the training loop reads one bucket for each batch
+    prepared = materialize(fitted.transform(data, keep=[C.batch, C.row]), "features", bucket_col=C.batch)
+    store.write("features", prepared, ids=ids)
+
+    train_batches(spark, store, prepared, ids, fitted.output_columns(), cfg)
+    validate_batches(spark, store, ids, cfg)
+    store.write("progress", ids.withColumn("finished_at", F.current_timestamp()), ids=ids)
+    discard(numbered, new_ids, raw, prepared)
+    return ids
+
+
+def train_batches(spark: SparkSession, store: BatchStore, prepared: DataFrame, ids: DataFrame, feature_cols: list[str], cfg: PipelineConfig) -> None:
+    """Extend the models batch by batch (T2-T5); each batch leaves a model version and its scored holdout rows.
+
+    A rerun starts from the version of the last finished batch and replaces what an unfinished run left."""
+    C = cfg.cols
+    models = store.path("models")
+    finished = store.read("progress")
+    done = 0 if finished is None else finished.count()
+    state = train.ModelState.load(models, done) if done else train.ModelState(feature_cols, cfg.train_params)
+    for (b,) in ids.orderBy(C.batch).toLocalIterator():
+        flagged = validate.holdout(prepared.filter(F.col(C.batch) == b), cfg.val_size, C)
         fit_rows = flagged if cfg.holdout == "in_sample" else flagged.filter(~F.col("is_holdout"))
         state.fit(fit_rows.drop("is_holdout"))
-        vdir = state.save(models_path)
-        hold = flagged.filter("is_holdout")
-        scored = [
-            state.predict_proba(hold, m).select(C.batch, "label", "p1", "prediction", F.lit(m).alias("model"))
-            for m in validate.MODEL_ORDER
-        ]
-        metrics = validate.evaluate(scored[0].unionByName(scored[1]), C)
-        metrics = metrics.checkpoint(eager=True)
-        has_best = False
-        if b >= cfg.min_batches:
-            for r in metrics.orderBy(F.expr("CASE model WHEN 'rf' THEN 0 ELSE 1 END")).collect():
-                score = r[cfg.metric]
-                if score is not None and score >= best_score:
-                    best_score = float(score)
-                    serve.register(spark, registry, "best", r["model"], vdir, best_score, cfg.metric, b)
-            try:
-                serve.promote(spark, registry)
-                has_best = True
-            except serve.NoModelError:
-                pass
-        # usable only when a best model exists (not merely past min_batches)
-        reports.append(metrics.withColumn("can_use_model", F.lit(has_best)))
-    if reports:
-        allm = reports[0]
-        for r in reports[1:]:
-            allm = allm.unionByName(r)
-        store.write("validation", allm)
-    return done
+        state.save(models)
+        score_holdout(state, flagged.filter("is_holdout"), store.path("holdout_scores"), b, C)
+
+
+def score_holdout(state: train.ModelState, hold: DataFrame, path: str, batch: int, cols: Columns, names=validate.MODEL_ORDER) -> None:
+    """Write one batch's holdout rows as scored by the models of its version (replacing an earlier try)."""
+    scored = None
+    for m in names:
+        part = state.predict_proba(hold, m).select("label", "p1", "prediction", F.lit(m).alias("model"), F.lit(state.batch_count).alias("version"))
+        scored = part if scored is None else scored.unionByName(part)
+    scored.write.mode("overwrite").parquet(f"{path}/{cols.batch}={batch}")
+
+
+def validate_batches(spark: SparkSession, store: BatchStore, ids: DataFrame, cfg: PipelineConfig) -> None:
+    """V4 for all processed batches in one job, V6 over the whole history, registry and promotion."""
+    C = cfg.cols
+    scored = spark.read.parquet(store.path("holdout_scores")).join(ids, C.batch, "left_semi")
+    metrics = validate.evaluate(scored, C)
+    versions = scored.groupBy(C.batch).agg(F.max("version").alias("version"))
+    metrics = metrics.join(versions, C.batch).withColumn("can_use_model", F.col(C.batch) >= cfg.min_batches)
+    store.write("validation", metrics, ids=ids)
+    history = store.read("validation")
+    best = validate.best_model(history, cfg.metric, cfg.min_batches, cols=C).join(history.select(C.batch, "version").distinct(), C.batch).first()
+    if best is None:
+        return
+    registry = store.path("registry")
+    vdir = f"{store.path('models')}/version={best['version']:06d}"
+    serve.register(spark, registry, "best", best["model_name"], vdir, float(best["score"]), cfg.metric, best[C.batch])
+    serve.promote(spark, registry)
 
 
 def run_inference(spark: SparkSession, table: DataFrame, root: str, out_path: str | None = None,
@@ -158,7 +205,7 @@ def run_inference(spark: SparkSession, table: DataFrame, root: str, out_path: st
 
     All input columns are kept; with ``out_path`` the result is written once
     and the run is logged (G4)."""
-    store = _store(spark, root)
+    store = BatchStore(spark, root)
     fitted = features.FittedFeatures.load(spark, store.path("fitted_features"))
     serving = serve.Serving.production(spark, store.path("registry"))
     prefix = "__f_"
@@ -171,26 +218,38 @@ def run_inference(spark: SparkSession, table: DataFrame, root: str, out_path: st
     return out
 
 
+def _report(section: str, df: DataFrame, prefix: str | None = None) -> DataFrame:
+    """Every column of a report as rows ``(section, batch_index, name, value, text)``; flags go to ``text``."""
+    entries = []
+    for f in df.schema.fields:
+        if f.name in ("batch_index", prefix):
+            continue
+        name = F.concat(F.col(prefix), F.lit("." + f.name)) if prefix else F.lit(f.name)
+        flag = f.dataType.simpleString() == "boolean"
+        entries.append(F.struct(
+            name.alias("name"),
+            (F.lit(None) if flag else F.col(f.name)).cast("double").alias("value"),
+            (F.col(f.name) if flag else F.lit(None)).cast("string").alias("text"),
+        ))
+    return df.select(F.lit(section).alias("section"), F.col("batch_index").cast("int").alias("batch_index"), F.inline(F.array(*entries)))
+
+
 def run_summary(spark: SparkSession, root: str) -> DataFrame:
-    """Quality history, model metrics, production model and scoring
+    """The whole quality and validation histories, production model and scoring
     performance as one long table ``(section, batch_index, name, value, text)``."""
-    store = _store(spark, root)
+    store = BatchStore(spark, root)
     parts = []
     q = store.read("quality")
     if q is not None:
-        num = ["n_rows", "missing_pct_total", "duplicates_pct", "fraud_rate", "amount_mean"]
-        parts.append(q.select(F.lit("data_quality").alias("section"), F.col("batch_index").cast("int"),
-                              F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"),
-                                                          F.lit(None).cast("string").alias("text")) for c in num] +
-                                                [F.struct(F.lit("passed").alias("name"), F.lit(None).cast("double").alias("value"),
-                                                          F.col("passed").cast("string").alias("text"))]))))
+        parts.append(_report("data_quality", q))
+    m = store.read("missing")
+    if m is not None:
+        parts.append(m.select(F.lit("missing_per_column").alias("section"), F.col("batch_index").cast("int").alias("batch_index"),
+                              F.col("column_name").alias("name"), F.col("missing_count").cast("double").alias("value"),
+                              F.lit(None).cast("string").alias("text")))
     v = store.read("validation")
     if v is not None:
-        parts.append(v.select(F.lit("model_metrics").alias("section"), F.col("batch_index").cast("int"),
-                              F.inline(F.array(*[F.struct(F.concat(F.col("model"), F.lit("."), F.lit(m)).alias("name"),
-                                                          F.col(m).cast("double").alias("value"),
-                                                          F.lit(None).cast("string").alias("text"))
-                                                 for m in ("f1", "roc_auc", "precision", "recall")]))))
+        parts.append(_report("model_metrics", v.drop("version"), "model"))
     reg = store.read("registry")
     if reg is not None:
         prod = reg.filter(F.col("stage") == "production").orderBy(F.desc("registered_at")).limit(1)

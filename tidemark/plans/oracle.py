@@ -7,6 +7,8 @@ fixture schema.
 
 from __future__ import annotations
 
+from tidemark.sources.tables import BASE_SQL
+
 BATCH_SIZE = 2000
 
 TX_COLS = [
@@ -17,25 +19,9 @@ TX_COLS = [
 NUM_COLS = ["Transaction_ID", "Customer_ID", "Transaction_Amount", "Account_Balance", "Age", "Is_Fraud"]
 CAT_COLS = ["Transaction_Type", "Merchant_Category", "Device_Type", "Account_Type", "State", "Gender", "Bank_Branch"]
 
-BASE_CTE = """base AS (
-  SELECT o.o_orderkey AS Transaction_ID, o.o_custkey AS Customer_ID, o.o_orderdate AS Transaction_Date,
-    CASE WHEN o.o_orderkey % 20 = 0 THEN NULL
-         WHEN o.o_orderkey % 211 = 0 THEN -o.o_totalprice ELSE o.o_totalprice END AS Transaction_Amount,
-    c.c_acctbal AS Account_Balance,
-    CAST(o.o_custkey % 125 AS INT) AS Age,
-    o.o_orderstatus AS Transaction_Type, o.o_orderpriority AS Merchant_Category,
-    CASE WHEN o.o_orderkey % 40 = 1 THEN NULL
-         WHEN o.o_orderkey % 3 = 0 THEN 'Laptop' ELSE 'Smartphone' END AS Device_Type,
-    c.c_mktsegment AS Account_Type, n.n_name AS State,
-    CASE WHEN o.o_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS Gender,
-    CASE WHEN o.o_orderkey % 5 < 2 THEN NULL ELSE n.n_name END AS Bank_Branch,
-    CAST(CASE WHEN o.o_totalprice > 450000 AND o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS INT) AS Is_Fraud
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-                JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
-
-TXN = f"""WITH {BASE_CTE},
+TXN = f"""WITH {BASE_SQL},
 transactions AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE Transaction_ID % 50 = 7),
-batched AS (
+batched AS MATERIALIZED (
   SELECT * EXCLUDE (__rn), CAST(__rn - 1 AS BIGINT) AS row_idx,
          CAST((__rn - 1) // {BATCH_SIZE} AS INTEGER) AS batch_index
   FROM (SELECT *, row_number() OVER (ORDER BY Transaction_Date ASC NULLS LAST, Transaction_ID ASC NULLS LAST) AS __rn
@@ -137,8 +123,9 @@ TYPES = {
 
 def _fill_expr(c: str) -> str:
     if c in NUM_COLS:
-        f = f"p.f_{c}" if TYPES[c] == "DOUBLE" else f"CAST(round(p.f_{c}) AS {TYPES[c]})"
-        return f"CASE WHEN p.d_{c} THEN NULL ELSE coalesce(d.{c}, {f}) END AS {c}"
+        # integers widen to doubles (a median may lie between two); 64-bit ids keep their type
+        v = f"CAST(d.{c} AS DOUBLE), p.f_{c}" if TYPES[c] != "BIGINT" else f"d.{c}, CAST(round(p.f_{c}) AS BIGINT)"
+        return f"CASE WHEN p.d_{c} THEN NULL ELSE coalesce({v}) END AS {c}"
     if c in CAT_COLS:
         return f"CASE WHEN p.d_{c} THEN NULL ELSE coalesce(d.{c}, p.f_{c}) END AS {c}"
     return f"CASE WHEN p.d_{c} THEN NULL ELSE d.{c} END AS {c}"
@@ -154,12 +141,12 @@ CLEAN = f"""{TXN},
 miss AS (SELECT batch_index, count(*) AS rows_before,
   {", ".join(f"sum(CAST({c} IS NULL AS INTEGER)) AS m_{c}" for c in TX_COLS)}
   FROM batched GROUP BY batch_index),
-dedup AS (SELECT {ALL}, batch_index, min(row_idx) AS row_idx FROM batched GROUP BY batch_index, {ALL}),
+dedup AS MATERIALIZED (SELECT {ALL}, batch_index, min(row_idx) AS row_idx FROM batched GROUP BY batch_index, {ALL}),
 st AS (SELECT batch_index, count(*) AS rows_dedup,
   {", ".join(f"median({c}) AS f_{c}" for c in NUM_COLS)}
   FROM dedup GROUP BY batch_index),
 {",".join(mode_cte('mo_' + c, 'dedup', c) for c in CAT_COLS)},
-params AS (SELECT m.batch_index, rows_before, rows_dedup,
+params AS MATERIALIZED (SELECT m.batch_index, rows_before, rows_dedup,
   {", ".join(f"coalesce(CAST(m_{c} AS DOUBLE) / rows_dedup * 100.0 > 30.0, false) AS d_{c}" for c in TX_COLS)},
   {", ".join(f"f_{c}" for c in NUM_COLS)},
   {", ".join(f"mo_{c}_v AS f_{c}" for c in CAT_COLS)}
@@ -167,7 +154,7 @@ params AS (SELECT m.batch_index, rows_before, rows_dedup,
 filled AS (SELECT d.batch_index, d.row_idx, {", ".join(_fill_expr(c) for c in TX_COLS)},
   {", ".join(f"p.d_{c}" for c in TX_COLS)}
   FROM dedup d JOIN params p USING (batch_index)),
-cleaned AS (SELECT {ALL}, row_idx, batch_index FROM filled WHERE {VALID})"""
+cleaned AS MATERIALIZED (SELECT {ALL}, row_idx, batch_index FROM filled WHERE {VALID})"""
 
 Q["dedupe"] = f"""{CLEAN}
 SELECT * FROM dedup"""
@@ -285,11 +272,13 @@ r AS (SELECT batch_index, column_name,
 b AS (SELECT l.batch_index, l.column_name, r.lo, r.hi,
              CAST(least(floor((l.v - r.lo) * (CAST(30 AS DOUBLE) / (r.hi - r.lo))), 29) AS INTEGER) AS bin
       FROM l JOIN r USING (batch_index, column_name))
-SELECT batch_index, column_name, bin,
-       round(lo + bin * ((hi - lo) / CAST(30 AS DOUBLE)), 4) AS bin_lo,
-       round(lo + (bin + 1) * ((hi - lo) / CAST(30 AS DOUBLE)), 4) AS bin_hi,
-       CAST(count(*) AS BIGINT) AS count
-FROM b GROUP BY batch_index, column_name, bin, lo, hi"""
+SELECT r.batch_index, r.column_name, CAST(g.i AS INTEGER) AS bin,
+       round(r.lo + g.i * ((r.hi - r.lo) / CAST(30 AS DOUBLE)), 4) AS bin_lo,
+       round(r.lo + (g.i + 1) * ((r.hi - r.lo) / CAST(30 AS DOUBLE)), 4) AS bin_hi,
+       CAST(count(b.bin) AS BIGINT) AS count
+FROM r JOIN range(30) g(i) ON true
+LEFT JOIN b ON b.batch_index = r.batch_index AND b.column_name = r.column_name AND b.bin = g.i
+GROUP BY r.batch_index, r.column_name, g.i, r.lo, r.hi"""
 
 Q["target_rate_by_category"] = f"""{EDA}
 """ + "\nUNION ALL\n".join(
@@ -302,7 +291,7 @@ Q["target_rate_by_category"] = f"""{EDA}
 # ---------------------------------------------------------------- drift
 FEATURES = f"""{EDA},
 {CAT_COUNTS},
-fv AS (""" + "\nUNION ALL\n".join(
+fv AS MATERIALIZED (""" + "\nUNION ALL\n".join(
     [f"SELECT batch_index, '{c}' AS column_name, '{c}_mean' AS feature, avg(CAST({c} AS DOUBLE)) AS value FROM cleaned GROUP BY batch_index"
      for c in NUM_COLS]
     + [f"SELECT batch_index, '{c}' AS column_name, '{c}_std' AS feature, stddev_samp(CAST({c} AS DOUBLE)) AS value FROM cleaned GROUP BY batch_index"
@@ -311,7 +300,7 @@ fv AS (""" + "\nUNION ALL\n".join(
        "SELECT batch_index, column_name, column_name || '=' || value || '_share' AS feature, "
        "CAST(count AS DOUBLE) / CAST(sum(count) OVER (PARTITION BY batch_index, column_name) AS DOUBLE) AS value FROM cc"]
 ) + f"""),
-feat AS (SELECT batch_index, feature, value FROM fv WHERE {_not_dropped('fv')}),
+feat AS MATERIALIZED (SELECT batch_index, feature, value FROM fv WHERE {_not_dropped('fv')}),
 ref AS (SELECT feature, value AS reference FROM feat WHERE batch_index = 0),
 deltas AS (
   SELECT f.batch_index, f.feature, r.reference, f.value AS current,
@@ -342,7 +331,9 @@ _ATTRS = [f"CASE WHEN c.{b} IS NOT NULL THEN '{b}=' || c.{b} END" for b in BASKE
 ]
 _A = [f"a{i}" for i in range(len(_ATTRS))]
 
-RULES = f"""{CLEAN},
+def rules_cte(support: float, confidence: float, where: str = "true") -> str:
+    """Itemsets by CUBE over the attributes, and the rules split from those that ``where`` keeps."""
+    return f"""{CLEAN},
 med AS (SELECT batch_index, median(Transaction_Amount) AS ma, median(Account_Balance) AS mb FROM cleaned GROUP BY batch_index),
 attrs AS (SELECT c.batch_index, c.row_idx, {", ".join(f"{e} AS {a}" for e, a in zip(_ATTRS, _A))}
           FROM cleaned c JOIN med m USING (batch_index)),
@@ -352,18 +343,21 @@ cub AS (SELECT batch_index, {", ".join(_A)}, {", ".join(f"grouping({a}) AS g{a}"
 isets AS (SELECT batch_index, list_sort(list_filter([{", ".join(f"CASE WHEN g{a} = 0 THEN {a} END" for a in _A)}], lambda x: x IS NOT NULL)) AS items, c
           FROM cub WHERE {" AND ".join(f"(g{a} = 1 OR {a} IS NOT NULL)" for a in _A)}
             AND NOT ({" AND ".join(f"g{a} = 1" for a in _A)})),
-freq AS (SELECT i.batch_index, items, CAST(c AS BIGINT) AS count, CAST(c AS DOUBLE) / n AS support
-         FROM isets i JOIN nb USING (batch_index) WHERE CAST(c AS DOUBLE) / n >= 0.05),
+freq AS MATERIALIZED (SELECT i.batch_index, items, CAST(c AS BIGINT) AS count, CAST(c AS DOUBLE) / n AS support
+         FROM isets i JOIN nb USING (batch_index) WHERE CAST(c AS DOUBLE) / n >= {support}),
 rules0 AS (SELECT i.batch_index, a.items AS ante, list_filter(i.items, lambda x: NOT list_contains(a.items, x)) AS cons,
                   i.support, a.support AS sa
            FROM freq i JOIN freq a ON a.batch_index = i.batch_index AND len(a.items) < len(i.items)
                                   AND list_has_all(i.items, a.items)
-           WHERE len(i.items) >= 2),
+           WHERE len(i.items) >= 2 AND {where}),
 rules AS (SELECT r.batch_index, ante, cons, sa, cc.support AS sc, r.support,
                  r.support / sa AS confidence, (r.support / sa) / cc.support AS lift,
                  array_to_string(ante, ', ') AS antecedents, array_to_string(cons, ', ') AS consequents
           FROM rules0 r JOIN freq cc ON cc.batch_index = r.batch_index AND cc.items = r.cons
-          WHERE r.support / sa >= 0.3 AND (r.support / sa) / cc.support >= 1.0)"""
+          WHERE r.support / sa >= {confidence} AND (r.support / sa) / cc.support >= 1.0)"""
+
+
+RULES = rules_cte(0.05, 0.3)
 
 # Scores are exact ratios computed with the same float formulas: compared unrounded.
 _RULE_OUT = """batch_index, antecedents, consequents, sa AS antecedent_support, sc AS consequent_support,
@@ -384,7 +378,7 @@ SELECT {_RULE_OUT}, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY batch_index ORDER BY lift DESC, support DESC, antecedents, consequents) AS INTEGER) AS rank
   FROM rules) WHERE rank <= 10"""
 
-Q["target_rules"] = f"""{RULES}
+Q["target_rules"] = f"""{rules_cte(0.01, 0.1, "list_contains(i.items, 'Is_Fraud=1')")}
 SELECT {_RULE_OUT}, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY batch_index ORDER BY lift DESC, support DESC, antecedents, consequents) AS INTEGER) AS rank
   FROM rules WHERE list_contains(cons, 'Is_Fraud=1')) WHERE rank <= 5"""
@@ -462,7 +456,8 @@ au AS (SELECT batch_index, model, CAST(sum(label) AS BIGINT) AS n_pos, CAST(coun
 auc AS (SELECT batch_index, model, n_pos, n_neg,
                CASE WHEN n_pos > 0 AND n_neg > 0
                     THEN CAST(two_r - n_pos * (n_pos + 1) AS DOUBLE) / CAST(2 * n_pos * n_neg AS DOUBLE) END AS roc_auc FROM au),
-ev AS (SELECT m.batch_index, m.model, f1, roc_auc, precision, recall, tp, fp, fn, n
+ev AS (SELECT m.batch_index, m.model, round(f1, 4) AS f1, round(roc_auc, 4) AS roc_auc,
+              round(precision, 4) AS precision, round(recall, 4) AS recall, tp, fp, fn, n
        FROM met m JOIN auc a USING (batch_index, model) WHERE roc_auc IS NOT NULL)"""
 
 Q["holdout"] = f"""{VALID_BASE}
@@ -510,8 +505,18 @@ Q["stream_clean"] = Q["clean"]
 
 Q["meta_history"] = Q["batch_meta"]
 
-Q["csv_source"] = f"""WITH {BASE_CTE}
-SELECT * FROM base UNION ALL SELECT * FROM base WHERE Transaction_ID % 50 = 7"""
+Q["csv_source"] = f"""WITH {BASE_SQL}
+SELECT *, CAST(Transaction_ID % 7 AS BIGINT) AS Channel_Code
+FROM (SELECT * FROM base UNION ALL SELECT * FROM base WHERE Transaction_ID % 50 = 7)"""
+
+Q["quality_history"] = Q["quality_report"]
+Q["drift_history"] = Q["drift_deltas"]
+Q["update_reports"] = Q["category_counts"]
+Q["features_reloaded"] = Q["features_ordinal_standard"]
+Q["registered_model"] = Q["best_model"]
+Q["scoring_log_summary"] = """
+SELECT CAST(count(*) AS BIGINT) AS n_calls, round(avg(o_totalprice), 2) AS avg_elapsed_ms, round(max(o_totalprice), 2) AS max_elapsed_ms
+FROM orders"""
 
 # ---------------------------------------------------------------- events
 EV = """WITH ev AS (SELECT *, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS batch_index FROM events)"""
@@ -539,7 +544,7 @@ LEFT JOIN tc_{c} k ON k.batch_index = a.batch_index AND k.v = t.top_{c}_v""" for
 )
 
 Q["event_drift"] = f"""{EV},
-fv AS (""" + "\nUNION ALL\n".join(
+fv AS MATERIALIZED (""" + "\nUNION ALL\n".join(
     [f"SELECT batch_index, '{c}_mean' AS feature, avg(CAST({c} AS DOUBLE)) AS value FROM ev GROUP BY batch_index" for c in EV_NUM]
     + [f"SELECT batch_index, '{c}_std' AS feature, stddev_samp(CAST({c} AS DOUBLE)) AS value FROM ev GROUP BY batch_index" for c in EV_NUM]
     + [f"SELECT batch_index, '{c}=' || {c} || '_share' AS feature, "
