@@ -15,8 +15,10 @@ word of a document and is as long as a benchmark item (plus the edits allowed).
    within ``floor((1 - similarity) * words)`` word edits (exact dynamic program).
 
 Windows that cannot be within that distance aren't embedded: ``e`` edits leave
-at least ``words - 1 - 2 e`` of the item's word pairs intact, so a window must
-hold that many word pairs of the benchmark. This filter loses nothing.
+at least ``words - 1 - 2 e`` of the item's word pairs and ``words - 2 - 3 e`` of its
+word triples intact, so a window must hold that many of the benchmark's. This
+filter loses nothing. A walk ends early for windows whose samples so far agree
+with no item.
 
 Documents are scanned once, without a shuffle; the benchmark is the stated
 query set, sent to the tasks in blocks of bounded size (``BLOCK_BYTES``), with
@@ -49,25 +51,39 @@ AGREE = 0.35  # share of output positions that agree at the allowed distance, a
 ROUNDS = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE**SAMPLES))
 BLOCK_BYTES = 16 << 20
 GROWTH = 1.25
-_STEP, _BITS = U(0x9E3779B97F4A7C15), 22
+_STEP = U(0x9E3779B97F4A7C15)
 
 
 def edits_allowed(words: int, similarity: float) -> int:
     return int(math.floor((1 - similarity) * words + 1e-9))
 
 
-def walk(tokens: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: np.ndarray, seed: int) -> np.ndarray:
-    """Outputs of one random walk at the given (ascending) steps, for windows ``[start, end)`` of ``tokens``; 0 past the end."""
-    at, out, done = starts.copy(), np.zeros((len(starts), len(steps)), U), 0
+def walk(tokens: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: np.ndarray, seed: int, known: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the output of one random walk at the given (ascending) steps, for windows ``[start, end)`` of ``tokens``.
+
+    Past its end a window puts out 0. With ``known`` (for each step the sorted
+    hashes of the items so far) windows that agree with no item any more are
+    left out as the walk goes on. Returns the numbers of the windows left and their hashes."""
+    left, at, done = np.arange(len(starts)), starts, 0
+    h = np.zeros(len(starts), U)
+    top = len(tokens) - 1
     with np.errstate(over="ignore"):
         for k, step in enumerate(steps):
             for j in range(done, step):
-                word = tokens[np.minimum(at, len(tokens) - 1)]
+                word = tokens[np.minimum(at, top)]
                 at = at + ((mix(word ^ (U(j + 1) * _STEP + U(seed))) >> U(63)).astype(np.int64) & (at < ends))
             done = step
-            inside = at < ends
-            out[:, k] = np.where(inside, tokens[np.minimum(at, len(tokens) - 1)], U(0))
-    return out
+            out = np.where(at < ends, tokens[np.minimum(at, top)], U(0))
+            h = mix(h * _STEP + out + U(k + 1))
+            if known is not None:
+                on = _in_sorted(known[k], h)
+                left, at, ends, h = left[on], at[on], ends[on], h[on]
+    return left, h
+
+
+def _in_sorted(keys: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(keys, h)
+    return keys[np.minimum(at, len(keys) - 1)] == h
 
 
 def _sample(seed: int, length: int) -> np.ndarray:
@@ -78,84 +94,119 @@ def _sample(seed: int, length: int) -> np.ndarray:
     return np.sort(rng.choice(max(2 * length, SAMPLES), SAMPLES, replace=False))
 
 
-def _hash(rows: np.ndarray) -> np.ndarray:
+def _grams(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the runs of ``k`` words (none if there are fewer)."""
+    n = max(0, len(words) - k + 1)
     with np.errstate(over="ignore"):
-        h = np.zeros(len(rows), U)
-        for k in range(rows.shape[1]):
-            h = mix(h * _STEP + rows[:, k] + U(k + 1))
-    return h
+        h = np.zeros(n, U)
+        for i in range(k):
+            h = h * _STEP + words[i : i + n]
+        return mix(h)
+
+
+class Marks:
+    """Word pairs and word triples of some items as bit maps, and how many of them lie in a window."""
+
+    def __init__(self, items: list[np.ndarray]):
+        grams = [np.concatenate([_grams(w, k) for w in items]) for k in (2, 3)]
+        self.shift = U(64 - max(16, (64 * max(1, *map(len, grams))).bit_length()))
+        self.maps = []
+        for g in grams:
+            m = np.zeros(1 << (64 - int(self.shift)), bool)
+            m[(g >> self.shift).astype(np.int64)] = True
+            self.maps.append(m)
+
+    def counts(self, words: np.ndarray, text_end: np.ndarray) -> list[np.ndarray]:
+        """For pairs and triples: how many marked ones end at or before each position, inside one text."""
+        out = []
+        for k, m in zip((2, 3), self.maps, strict=True):
+            run = np.zeros(len(words) + 1, np.int32)
+            if len(words) >= k:
+                hit = m[(_grams(words, k) >> self.shift).astype(np.int64)] & (text_end[: len(words) - k + 1] == text_end[k - 1 :])
+                run[k:] = np.cumsum(hit)
+            out.append(run)
+        return out
+
+
+class Class:
+    """Items of about one length: what a window must hold, and the sampled keys of every round."""
+
+    def __init__(self, members: list[int], words: list[np.ndarray], similarity: float):
+        own = [words[n] for n in members]
+        sizes = np.array([len(w) for w in own])
+        edits = np.array([edits_allowed(int(s), similarity) for s in sizes])
+        self.low = int(sizes.min())
+        self.length = int((sizes + edits).max())
+        self.least = int((sizes - edits).min())
+        self.need = [int(max(0, (sizes - (k - 1) - k * edits).min())) for k in (2, 3)]
+        self.marks = Marks(own)
+        self.single = np.unique(np.concatenate(own)) if self.low == 1 else None
+        flat, starts = np.concatenate(own), np.cumsum([0, *sizes])[:-1]
+        self.rounds = []
+        for seed in range(ROUNDS):
+            steps = _sample(seed, self.low)
+            known = [np.unique(walk(flat, starts, starts + sizes, steps[: k + 1], seed)[1]) for k in range(len(steps))]
+            keys = walk(flat, starts, starts + sizes, steps, seed)[1]
+            order = np.argsort(keys, kind="stable")
+            self.rounds.append((steps, known, keys[order], np.array(members)[order]))
+
+    def possible(self, words: np.ndarray, text_end: np.ndarray, counts: list[np.ndarray]) -> np.ndarray:
+        """Starts of the windows that hold as many marked word pairs and triples as an item within the allowed edits leaves."""
+        n = len(words)
+        ends = np.minimum(np.arange(n) + self.length, text_end)
+        on = ends - np.arange(n) >= self.least
+        for k, run, need in zip((2, 3), counts, self.need, strict=True):
+            if need:
+                on &= run[ends] - run[np.minimum(np.arange(n) + k - 1, n)] >= need
+        if self.single is not None:  # one-word items match exactly
+            on &= _in_sorted(self.single, words)
+        return np.flatnonzero(on)
 
 
 class Index:
-    """A block of benchmark items, grouped by length, with the sampled keys of every round."""
+    """A block of benchmark items, grouped by length."""
 
     def __init__(self, items: list[tuple], similarity: float):
         words, cut = word_hashes([text for _, text in items])
         self.similarity = similarity
         self.ids = [i for (i, _), a, z in zip(items, cut, cut[1:], strict=False) if z > a]
         self.words = [words[a:z] for a, z in zip(cut, cut[1:], strict=False) if z > a]
-        self.pairs = np.zeros(1 << _BITS, bool)
-        classes: dict[int, list[int]] = defaultdict(list)
+        by_length: dict[int, list[int]] = defaultdict(list)
         for n, w in enumerate(self.words):
-            self.pairs[self._pair(w)] = True
-            classes[int(math.log(len(w)) / math.log(GROWTH))].append(n)
-        self.classes = []
-        for members in classes.values():
-            sizes = [len(self.words[n]) for n in members]
-            low, high = min(sizes), max(sizes)
-            need = min(s - 1 - 2 * edits_allowed(s, similarity) for s in sizes)
-            flat = np.concatenate([self.words[n] for n in members])
-            starts = np.cumsum([0, *sizes])[:-1]
-            ends = starts + np.array(sizes)
-            rounds = []
-            for seed in range(ROUNDS):
-                steps = _sample(seed, low)
-                keys = _hash(walk(flat, starts, ends, steps, seed))
-                order = np.argsort(keys, kind="stable")
-                rounds.append((steps, keys[order], np.array(members)[order]))
-            self.classes.append((high + edits_allowed(high, similarity), max(0, need), low, rounds))
-        firsts = [w[0] for w in self.words if len(w) == 1]
-        self.single = np.unique(np.array(firsts, U)) if firsts else np.zeros(0, U)
-
-    @staticmethod
-    def _pair(words: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return (mix(words[:-1] * _STEP + words[1:]) >> U(64 - _BITS)).astype(np.int64)
+            by_length[int(math.log(len(w)) / math.log(GROWTH))].append(n)
+        self.marks = Marks(self.words) if self.words else None
+        self.classes = [Class(members, self.words, similarity) for members in by_length.values()]
 
     def candidates(self, words: np.ndarray, text_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Window starts and item numbers that agree in some round. ``text_end`` holds for each word the end of its text."""
-        n = len(words)
         found = [np.zeros((2, 0), np.int64)]
-        hit = np.zeros(n + 1, np.int64)
-        if n > 1:
-            same = text_end[:-1] == text_end[1:]
-            hit[2:] = np.cumsum(self.pairs[self._pair(words)] & same)
-        hit[1:] = np.maximum.accumulate(hit[1:])
-        for length, need, low, rounds in self.classes:
-            starts = np.arange(n)
-            ends = np.minimum(starts + length, text_end)
-            if need:
-                starts = np.flatnonzero(hit[ends] - hit[np.minimum(starts + 1, n)] >= need)
-            elif low == 1 and len(self.single):
-                starts = np.flatnonzero(np.isin(words, self.single)) if length == 1 else starts
-            ends = ends[starts]
-            # too few words left for the shortest item of the class
-            fits = ends - starts >= low - edits_allowed(low, self.similarity)
-            starts, ends = starts[fits], ends[fits]
+        if not len(words):
+            return found[0][0], found[0][1]
+        counts = self.marks.counts(words, text_end)
+        keep = np.zeros(len(words), bool)  # texts with a window that some class finds possible
+        some = np.zeros(len(words) + 1, bool)
+        for c in self.classes:
+            some[text_end[c.possible(words, text_end, counts)]] = True
+        keep = some[text_end]
+        place = np.flatnonzero(keep)
+        if not len(place):
+            return found[0][0], found[0][1]
+        part = words[place]
+        part_end = np.searchsorted(place, text_end[place])
+        for c in self.classes:
+            starts = c.possible(part, part_end, c.marks.counts(part, part_end))
             if not len(starts):
                 continue
-            for seed, (steps, keys, members) in enumerate(rounds):
-                h = _hash(walk(words, starts, ends, steps, seed))
-                first, last = np.searchsorted(keys, h), np.searchsorted(keys, h, "right")
-                many = last - first
-                who = np.flatnonzero(many)
-                if len(who):
-                    rep = np.repeat(who, many[who])
-                    pos = np.arange(len(rep)) - np.repeat(np.cumsum(many[who]) - many[who], many[who]) + first[rep]
-                    found.append(np.stack([starts[rep], members[pos]]))
-        both = np.concatenate(found, axis=1)
-        if both.shape[1]:
-            both = np.unique(both, axis=1)
+            ends = np.minimum(starts + c.length, part_end[starts])
+            for seed, (steps, known, keys, members) in enumerate(c.rounds):
+                left, h = walk(part, starts, ends, steps, seed, known)
+                if len(left):
+                    first = np.searchsorted(keys, h)
+                    many = np.searchsorted(keys, h, "right") - first
+                    rep = np.repeat(np.arange(len(left)), many)
+                    pos = np.arange(len(rep)) - np.repeat(np.cumsum(many) - many, many) + first[rep]
+                    found.append(np.stack([place[starts[left[rep]]], members[pos]]))
+        both = np.unique(np.concatenate(found, axis=1), axis=1)
         return both[0], both[1]
 
     def verify(self, words: np.ndarray, text_end: np.ndarray, starts: np.ndarray, items: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -232,7 +283,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
 def _scan(shared, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = None
-        for part, texts in pieces(batches):
+        for part, texts in pieces(batches, limit=1 << 22):
             index = index or Index(shared.value, similarity)
             if not index.ids:
                 return
@@ -272,7 +323,7 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, similarity: float = S
 def _clean(shared, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = None
-        for part, texts in pieces(batches):
+        for part, texts in pieces(batches, limit=1 << 22):
             index = index or Index(shared.value, similarity)
             words, cut = word_hashes(texts)
             text_end = np.repeat(cut[1:], np.diff(cut))
