@@ -7,7 +7,6 @@ both are the same document given more than once; rows that share only a
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -15,48 +14,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import discard, materialize
 
-_MADE: list[str] = []
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir`` (one of our own only where that is unset)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or ensure_checkpoint_dir(spark)).rstrip("/")
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet under the folder named in ``spark.checkpoint.dir`` and read it back."""
+    return materialize(df, f"llm-{name}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` as Parquet under the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _MADE.append(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    back._llm_path = path
-    return back
-
-
-def forget(*frames: DataFrame) -> None:
-    """Delete the folders behind frames made by :func:`written` that nothing reads any more."""
-    for df in frames:
-        path = getattr(df, "_llm_path", None)
-        if path:
-            _delete(df.sparkSession, path)
-
-
-def release(spark: SparkSession) -> None:
-    """Delete every scratch folder this process has made (call it once the results have been stored)."""
-    for path in list(_MADE):
-        _delete(spark, path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    sc = spark.sparkContext
-    target = sc._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
-    if path in _MADE:
-        _MADE.remove(path)
+#: Delete the folders behind written frames that nothing reads any more.
+forget = discard
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
