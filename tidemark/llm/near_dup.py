@@ -133,6 +133,19 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILA
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, schema)
 
 
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """``(id, part)``: the distinct shingles of the texts in ``texts(id, text)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, some in pieces(batches):
+            words, cut = word_hashes(some)
+            sets = [np.unique(shingles(words[a:z], SHINGLE)) for a, z in zip(cut, cut[1:], strict=False)]
+            ids = np.repeat(part.column(0).to_numpy(), [len(x) for x in sets])
+            yield arrow("id long, part long", {"id": ids, "part": np.concatenate(sets).astype(np.int64)})
+
+    return texts.select("id", "text").mapInArrow(run, "id long, part long")
+
+
 def near_duplicates(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row for each row of ``df``: ``doc_id``, ``row``, ``class_id`` (smallest doc_id of the class), ``class_row``, ``class_docs``."""
     signed = written(signatures(df), "signed")
@@ -140,12 +153,14 @@ def near_duplicates(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     nodes = signed.filter("n_words > 0").groupBy("id").agg(F.min(rank).alias("best"), F.first("bands").alias("bands"), F.count("*").alias("docs"))
     nodes = written(nodes, "nodes")
 
+    def texts(ids: DataFrame) -> DataFrame:
+        return texts_by_key(df, nodes.join(ids, "id").select("id", F.col("best.text_key").alias("text_key")))
+
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        need = nodes.join(ids, "id").select("id", F.col("best.text_key").alias("text_key"))
-        return similar_pairs(pairs, written(texts_by_key(df, need), "texts"), similarity)
+        return similar_pairs(pairs, written(texts(ids), "texts"), similarity)
 
-    groups, _ = linked_groups(nodes.select(F.explode("bands").alias("bucket"), "id"), verify)
+    groups, _ = linked_groups(nodes.select(F.explode("bands").alias("bucket"), "id"), verify, lambda ids: shingle_rows(texts(ids)), similarity)
     rooted = nodes.join(groups, "id", "left").select("id", F.coalesce("root", "id").alias("root"), "best", "docs")
     classes = rooted.groupBy("root").agg(F.min("best").alias("top"), F.sum("docs").alias("class_docs"))
     named = written(rooted.select("id", "root").join(classes, "root").select("id", F.col("top.doc_id").alias("class_id"), F.col("top.row").alias("class_row"), "class_docs"), "classes")
