@@ -85,3 +85,47 @@ def test_class_weights(spark):
     df = spark.createDataFrame([(0.0,)] * 9 + [(1.0,)], "label double")
     w = {r["label"]: r["weight"] for r in train.class_weights(df).collect()}
     assert w == {0.0: 10 / 18, 1.0: 5.0}
+
+
+def test_large_vocabulary(spark):
+    df = spark.range(50000).select(F.format_string("s%06d", "id").alias(C.state), F.lit(1.0).alias(C.amount))
+    o = features.fit(df, features.FeatureParams(), C)
+    got = o.transform(df, keep=[]).select(C.state).distinct().count()
+    assert got == 50000
+    assert o.transform(df.limit(1).withColumn(C.state, F.lit("none"))).first()[C.state] == -1.0
+
+
+def test_one_model_of_all_trees_is_the_weighted_mean_of_its_members(spark, fit_and_data):
+    from pyspark.ml.functions import vector_to_array
+
+    fit_df, _ = fit_and_data
+    o = features.fit(fit_df, features.FeatureParams(), C)
+    x = o.transform(fit_df, keep=[C.row])
+    st = train.ModelState(o.output_columns(), train.TrainParams(rf_trees=7, rf_new_trees=3, rf_depth=4, mlp_layers=(4,))).fit(x, ("rf",)).fit(x, ("rf",))
+    data = train.assemble(x, o.output_columns())
+    parts = [{r[0]: r[1] for r in m.transform(data).select(C.row, vector_to_array("probability")[1]).collect()} for m, _ in st.forest]
+    whole = {r[0]: r[1] for r in st.predict_proba(x, "rf").select(C.row, "p1").collect()}
+    assert all(abs(whole[k] - (0.7 * parts[0][k] + 0.3 * parts[1][k])) < 1e-9 for k in whole)
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_best_model_ties_at_four_digits_go_to_the_later_batch(spark):
+    rows = []
+    for batch, hits in ((10, 40001), (11, 40000)):  # F1 0.80001 and 0.80000
+        tp, miss = hits, 2 * (50000 - hits)
+        rows += [(batch, "rf", 1, 0.9, 1, tp), (batch, "rf", 1, 0.1, 0, miss // 2), (batch, "rf", 0, 0.9, 1, miss - miss // 2), (batch, "rf", 0, 0.1, 0, 9)]
+    df = spark.createDataFrame(rows, "batch_index int, model string, label int, p1 double, prediction int, n int")
+    df = df.withColumn("i", F.explode(F.expr("sequence(1, n)")))
+    best = validate.best_model(validate.evaluate(df, C), "f1", 0).first()
+    assert (best["batch_index"], best["score"]) == (11, 0.8)
+
+
+def test_median_of_integers_may_lie_between_two(spark):
+    from tidemark.operators import clean, eda
+
+    rows = [(i, float(i), 100.0 + i, a, i, 0) for i, a in enumerate((20, 21, None))]
+    df = spark.createDataFrame(rows, "Transaction_ID long, Transaction_Amount double, Account_Balance double, Age int, row_idx long, batch_index int")
+    out = clean.fill_and_filter(df, clean.clean_params(df, df, C, 50.0), C)
+    assert sorted(r.Age for r in out.collect()) == [20.0, 20.5, 21.0] and dict(out.dtypes)["Transaction_ID"] == "bigint"
+    bins = eda.histogram(out, None, cols=C).filter("column_name = 'Age'").collect()
+    assert len(bins) == 30 and sum(r["count"] for r in bins) == 3 and sum(r["count"] == 0 for r in bins) == 27

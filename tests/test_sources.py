@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import parse_mixed_timestamp
 from tidemark.session import scratch_path
+from tidemark import session
 from tidemark.sources import csv_source
+from tidemark.sources.store import BatchStore
 
 
 def test_mixed_layouts_month_first(spark):
@@ -48,3 +50,48 @@ def test_csv_unparsed_date_raises(spark):
     write_csv(path, "Transaction_ID,Transaction_Date\n1,not-a-date\n")
     with pytest.raises(csv_source.UnparsedDatesError):
         csv_source.read_transactions_csv(spark, path, {"Transaction_ID": "bigint", "Transaction_Date": "timestamp"})
+
+
+def test_csv_columns_by_name_extra_columns_and_bad_values(spark):
+    types = {"Transaction_ID": "bigint", "Transaction_Date": "timestamp", "Transaction_Amount": "double", "Account_Balance": "double"}
+    path = scratch_path(spark, "test-csv-order")
+    write_csv(path, "Note,Account_Balance,Transaction_Amount,Code,Rate,Transaction_Date,Transaction_ID\n"
+                    "x,1.0,2.0,7,1.5,1/5/2025,1\n4,3.0,NA,8,2,Jan 6 2025,2\n".replace("Jan 6 2025", '"Jan 6, 2025"'))
+    df = csv_source.read_transactions_csv(spark, path, types)
+    assert df.dtypes == [("Transaction_ID", "bigint"), ("Transaction_Date", "timestamp_ntz"), ("Transaction_Amount", "double"), ("Account_Balance", "double"),
+                         ("Note", "string"), ("Code", "bigint"), ("Rate", "double")]
+    assert [tuple(r)[1:4] for r in df.orderBy("Transaction_ID").collect()] == [(dt.datetime(2025, 1, 5), 2.0, 1.0), (dt.datetime(2025, 1, 6), None, 3.0)]
+    path = scratch_path(spark, "test-csv-values")
+    write_csv(path, "Transaction_ID,Transaction_Date,Transaction_Amount,Account_Balance\n1,2025-01-05,abc,1\n")
+    with pytest.raises(csv_source.UnparsedValuesError):
+        csv_source.read_transactions_csv(spark, path, types)
+    with pytest.raises(ValueError):
+        csv_source.read_transactions_csv(spark, path, types | {"Age": "int"})
+
+
+def test_more_layouts(spark):
+    vals = ["1/5/2025", "2025-01-05T10:00:00Z", "2025-01-05T10:00:00+02:00", "Jan 5, 2025", "5 Jan 2025", "January 5, 2025", "2025-1-5"]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "t string").select(parse_mixed_timestamp("t")).collect()]
+    assert got == [dt.datetime(2025, 1, 5), dt.datetime(2025, 1, 5, 10), dt.datetime(2025, 1, 5, 8)] + [dt.datetime(2025, 1, 5)] * 4
+
+
+def test_store_replaces_batches_that_have_no_rows_any_more(spark):
+    st = BatchStore(spark, scratch_path(spark, "test-store-replace"), group_size=2)
+    rows = lambda *r: spark.createDataFrame(r, "batch_index int, v string")
+    st.write("t", rows((0, "a"), (1, "old"), (2, "c")))
+    again = spark.createDataFrame([(0,), (1,)], "batch_index int")
+    st.write("t", rows((0, "b")), ids=again)
+    assert sorted(tuple(r) for r in st.read("t").collect()) == [(0, "b"), (2, "c")]
+    st.write("t", spark.createDataFrame([], "batch_index int, v string"), ids=spark.createDataFrame([(2,)], "batch_index int"))
+    assert sorted(tuple(r) for r in st.read("t").collect()) == [(0, "b")]
+    assert [tuple(r) for r in st.read_batches("t", again).collect()] == [(0, "b")]
+
+
+def test_scratch_is_dropped(spark):
+    df = session.materialize(spark.range(10).withColumn("batch_index", F.lit(1)), "test-drop", bucket_col="batch_index", buckets=2)
+    path = df._tidemark_path
+    assert df.count() == 10 and session.path_exists(spark, path) and session.list_names(spark, path)
+    session.discard(df)
+    assert not session.path_exists(spark, path) and session.list_names(spark, path) == []
+    assert session.partitions_for(spark.range(10)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert session.partitions_for(spark.range(10), 1) > 8
