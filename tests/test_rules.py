@@ -50,7 +50,7 @@ def make_baskets(spark, seed=7, n=300):
 def test_itemsets_and_rules_match_brute_force(spark):
     p = rules.RuleParams(min_support=0.1, min_confidence=0.3, min_lift=1.0)
     bk, py = make_baskets(spark)
-    fi = rules.frequent_itemsets(bk, p, C, materialize=False)
+    fi = rules.frequent_itemsets(bk, p, C)
     got = {tuple(r["itemset"]): r["support"] for r in fi.collect()}
     sup, exp_rules = brute_force(py, 0.1, 0.3, 1.0)
     assert set(got) == set(sup)
@@ -60,17 +60,32 @@ def test_itemsets_and_rules_match_brute_force(spark):
     assert any(len(r["consequents"]) > 1 for r in ar)  # multi-item consequents
 
 
+def test_wide_baskets_have_no_limit(spark):
+    rnd = random.Random(9)
+    rows = []
+    for i in range(400):
+        items = [f"x{k:02d}" for k in range(20) if k < 3 or rnd.random() < 0.3]
+        rows.append((i // 200, i, sorted(items) + [f"own{j}" for j in range(5)]))
+    bk = spark.createDataFrame(rows, "batch_index int, row_idx long, items array<string>")
+    p = rules.RuleParams(min_support=0.2)
+    got = rules.frequent_itemsets(bk, p, C).collect()
+    for b in (0, 1):
+        sup, _ = brute_force([set(r[2]) for r in rows if r[0] == b], 0.2, 2, 1)
+        assert {tuple(r["itemset"]): r["support"] for r in got if r["batch_index"] == b} == sup
+    assert rules.frequent_itemsets(bk.limit(0), p, C).count() == 0
+
+
 def test_fpgrowth_agrees(spark):
     p = rules.RuleParams(min_support=0.1)
     bk, _ = make_baskets(spark, seed=3)
-    a = {tuple(r["itemset"]): r["count"] for r in rules.frequent_itemsets(bk, p, C, materialize=False).collect()}
+    a = {tuple(r["itemset"]): r["count"] for r in rules.frequent_itemsets(bk, p, C).collect()}
     b = {tuple(r["itemset"]): r["count"] for r in rules.frequent_itemsets_fpgrowth(bk, 0, p, C).collect()}
     assert a == b
 
 
 def test_rule_columns_top_and_target(spark):
     bk, _ = make_baskets(spark, seed=5)
-    fi = rules.frequent_itemsets(bk, rules.RuleParams(min_support=0.1), C, materialize=False)
+    fi = rules.frequent_itemsets(bk, rules.RuleParams(min_support=0.1), C)
     ar = rules.association_rules(fi, rules.RuleParams(min_support=0.1), C)
     assert {"antecedents", "consequents", "support", "confidence", "lift"} <= set(ar.columns)
     top = rules.top_rules(ar, 10, C)

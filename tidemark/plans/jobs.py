@@ -49,15 +49,16 @@ def unseen_rows(source: DataFrame, stored: DataFrame, cols: Columns = DEFAULT_CO
     compared only if their number shows that some came late."""
     source = nan_to_null(source)
     stored = stored.select(*source.columns)
-    latest = stored.agg(F.max(cols.time)).first()[0]
+    text = stored.agg(F.max(cols.time).cast("string")).first()[0]  # as text: no time zone comes in
     t = F.col(cols.time)
-    if latest is None:
+    if text is None:
         return source.exceptAll(stored)
-    fresh = source.filter(t > F.lit(latest))
-    border = (t == F.lit(latest)) | t.isNull()
+    latest = F.lit(text).cast(stored.schema[cols.time].dataType)
+    fresh = source.filter(t > latest)
+    border = (t == latest) | t.isNull()
     fresh = fresh.unionByName(source.filter(border).exceptAll(stored.filter(border)))
-    old = source.filter(t < F.lit(latest))
-    known = stored.filter(t < F.lit(latest))
+    old = source.filter(t < latest)
+    known = stored.filter(t < latest)
     if old.count() != known.count():
         fresh = fresh.unionByName(old.exceptAll(known))
     return fresh
