@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.columns import BATCH
-from tidemark.session import delete_path, discard, materialize, path_exists
+from tidemark.session import delete_path, discard, list_names, materialize
 
 GROUP = "batch_group"
 
@@ -30,7 +30,8 @@ class BatchStore:
         return f"{self.root}/{kind}"
 
     def _exists(self, kind: str) -> bool:
-        return path_exists(self.spark, self.path(kind))
+        """Whether the table holds files (a table written without rows has a folder and no file)."""
+        return any(n.startswith((f"{GROUP}=", "part-")) for n in list_names(self.spark, self.path(kind)))
 
     def _grouped(self, df: DataFrame) -> DataFrame:
         return df.withColumn(GROUP, F.floor(F.col(BATCH) / F.lit(self.group_size)).cast("int"))
