@@ -64,7 +64,7 @@ def test_wide_baskets_have_no_limit(spark):
     rnd = random.Random(9)
     rows = []
     for i in range(400):
-        items = [f"x{k:02d}" for k in range(20) if k < 3 or rnd.random() < 0.3]
+        items = [f"x{k:02d}" for k in range(9) if k < 3 or rnd.random() < 0.3]
         rows.append((i // 200, i, sorted(items) + [f"own{j}" for j in range(5)]))
     bk = spark.createDataFrame(rows, "batch_index int, row_idx long, items array<string>")
     p = rules.RuleParams(min_support=0.2)
