@@ -73,3 +73,15 @@ def test_repeated_rows_and_empty_table(spark):
     assert [r.doc_id for r in out].count(1) == 2 and len(out) == 3
     assert [r.spans for r in out if r.doc_id is None] == [""]
     assert S.scan(docs(spark, [])).count() == 0
+
+
+def test_keys_in_assignments_paths_and_wrapped_lines():
+    found = lambda t: [(t[a:z], k) for a, z, k in S.confirmed_spans(t)]
+    for value, kind in ((B64(PKCS8), "der"), (B64(EC), "der"), (B64(SSH), "ssh"), (B64(PKCS1).rstrip("="), "der")):
+        for before in ("PRIVATE_KEY=", "url?key=", "a=b&key=", "export SIGNING-KEY_2=", "/etc/keys/", "key_", "x" * 50 + "="):
+            assert found(f"{before}{value}") == [(value, kind)] and found(f"{before}{value}\nNEXT=1") == [(value, kind)]
+    for width in (64, 76):
+        body = "\n".join(re.findall(f".{{1,{width}}}", B64(PKCS8)))
+        assert found(f"the key:\n{body}\nand more") == [(body, "der")] and found(body.replace("\n", "\r\n  ")) == [(body.replace("\n", "\r\n  "), "der")]
+        assert found(body[:-8]) == [] and found(body.replace("\n", "\n\n")) == []
+    assert found("=" * 300) == [] and found("PRIVATE_KEY=" + "A" * 400) == []

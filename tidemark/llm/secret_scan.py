@@ -3,7 +3,9 @@
 Three plain patterns find assignments, access keys and hex runs (the *base*
 spans, always kept). The method adds spans of encoded values that prove to be
 keys: candidates in base64 or hex are decoded and parsed, and reported only if
-the structure holds.
+the structure holds. A candidate in base64 is a run without an inner ``=`` (so an
+assignment's name is left out), what follows a separator inside one, or
+neighbouring lines of 64 or 76 characters and their rest.
 
 - ``der``: PKCS#1, PKCS#8, EC or public-key DER; every nested length must fit
   and the first elements must be those of a key.
@@ -42,7 +44,11 @@ _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x2
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of 24 or more
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----(.*?)-----END \1-----", re.S)
-_LONG = re.compile(r"[A-Za-z0-9+/_=-]{40,}+")
+_LONG = re.compile(r"[A-Za-z0-9+/_-]{40,}+={0,2}")
+# a line of 64 or 76 characters and the lines that follow it
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{64}|[A-Za-z0-9+/_-]{76})(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]++)+={0,2}")
+_INNER = re.compile(r"[/_+-]")
+_DER_START, _SSH_START = re.compile(r"M[A-P]"), re.compile(r"AAAA[BCE]|b3Bl")
 _HEX_BLOB = re.compile(r"[0-9A-Fa-f]{64,}+")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(e[w-z0-9_-][A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+)")
 # Key type names of the OpenSSH format.
@@ -160,6 +166,57 @@ def is_token(head: str, body: str, signature: str) -> bool:
     return first["alg"].lower() == "none" if not signature else _unbase64(signature) is not None
 
 
+def _within(spans: list[tuple[int, int]], at: int) -> bool:
+    return any(a <= at < z for a, z in spans)
+
+
+def _der_chars(text: str) -> int | None:
+    """How many base64 characters, without padding, the DER sequence fills that begins with ``text``; None if it is none."""
+    head = _unbase64(text[:8])
+    if not head or len(head) < 6 or head[0] != 0x30:
+        return None
+    size = head[1] & 0x7F if head[1] & 0x80 else 0
+    if size > 4 or head[1] == 0x80:
+        return None
+    total = 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
+    return -(-total * 4 // 3)
+
+
+def _keys_of_run(run: str, at: int) -> list[tuple[int, int, str]]:
+    """The keys in a base64 run that begins at ``at``: the whole run, or what follows an inner separator.
+
+    A separator of a path or name may also be a sign of base64, so every
+    place after one that begins like a key is tried."""
+    if kind := _key_kind(_unbase64(run)):
+        return [(at, at + len(run), kind)]
+    for m in _INNER.finditer(run):
+        start = m.end()
+        if len(run) - start < 32:
+            break
+        fits = _der_chars(run[start : start + 8]) == len(run.rstrip("=")) - start if _DER_START.match(run, start) else _SSH_START.match(run, start)
+        if fits and (kind := _key_kind(_unbase64(run[start:]))):
+            return [(at + start, at + len(run), kind)]
+    return []
+
+
+def _wrapped_key(m: re.Match) -> tuple[int, int, str] | None:
+    """A key in neighbouring lines of base64: as many of the lines as one key fills, from the first that begins like one."""
+    lines = list(re.finditer(r"[A-Za-z0-9+/_=-]+", m[0]))
+    for i, first in enumerate(lines):
+        if len(first[0]) not in (64, 76) or not (_DER_START.match(first[0]) or _SSH_START.match(first[0])):
+            continue
+        last = i
+        while last + 1 < len(lines) and len(lines[last][0]) == len(first[0]) and len(lines[last + 1][0]) <= len(first[0]):
+            last += 1
+        size = _der_chars(first[0])
+        # a line of text may follow the last one; DER says where it ends
+        ends = (last, last - 1) if size is None else (i + -(-size // len(first[0])) - 1,)
+        for end in ends:
+            if i < end <= last and (kind := _key_kind(_unbase64("".join(x[0] for x in lines[i : end + 1])))):
+                return m.start() + first.start(), m.start() + lines[end].end(), kind
+    return None
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """The spans that decoding and parsing confirm."""
     out, armoured = [], []
@@ -170,11 +227,14 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
             if _key_kind(data) or "ENCRYPTED" in m[2] and data:
                 out.append((m.start(), m.end(), "pem"))
                 armoured.append((m.start(), m.end()))
+    for m in _WRAPPED.finditer(text):
+        if not _within(armoured, m.start()) and (found := _wrapped_key(m)):
+            out.append(found)
+            armoured.append(found[:2])
     for m in _LONG.finditer(text):
-        if any(a <= m.start() < z for a, z in armoured):
+        if _within(armoured, m.start()):
             continue
-        if kind := _key_kind(_unbase64(m[0])):
-            out.append((m.start(), m.end(), kind))
+        out += _keys_of_run(m[0], m.start())
         for h in _HEX_BLOB.finditer(m[0]):
             if len(h[0]) % 2 == 0 and (kind := _key_kind(bytes.fromhex(h[0]))):
                 out.append((m.start() + h.start(), m.start() + h.end(), kind))
