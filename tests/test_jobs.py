@@ -50,3 +50,13 @@ def test_update_in_several_runs_then_inference_and_summary(spark, monkeypatch):
     assert sections == {"data_quality", "missing_per_column", "model_metrics", "best_model", "performance"}
     names = {r[0] for r in summ.filter("section = 'data_quality'").select("name").distinct().collect()}
     assert {"amount_std", "balance_mean", "legit_count", "missing_ok", "passed"} <= names
+
+
+def test_a_corrected_old_row_is_unseen(spark):
+    rows = transactions(spark, SF_SMALL).limit(200).localCheckpoint()
+    old = rows.agg(F.min("Transaction_Date")).first()[0]
+    one = F.col("Transaction_Date") == F.lit(old).cast(rows.schema["Transaction_Date"].dataType)
+    fixed = rows.withColumn("Transaction_Amount", F.when(one, F.col("Transaction_Amount") + 1).otherwise(F.col("Transaction_Amount")))
+    found = jobs.unseen_rows(fixed, rows)
+    assert found.count() == rows.filter(one).count() > 0 and found.exceptAll(fixed).count() == 0
+    assert jobs.unseen_rows(rows, rows).count() == 0
