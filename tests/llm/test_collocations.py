@@ -47,6 +47,11 @@ def make(seed, n, vocabulary, least=40):
     return rows
 
 
+def test_empty_texts_between_others_add_no_words(spark):
+    rows = [(i, ["ab cd", "", None, "", "ab cd"][i % 5], "en") for i in range(600)]
+    same(frame(spark, rows), rows)
+
+
 def same(df, rows, **params):
     assert sorted(tuple(r) for r in collocations.collocations(df, **params).collect()) == brute(rows, **params)
 

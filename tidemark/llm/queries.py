@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import collocations, decontam, hilbert, html_main, langid, line_dedup, merkle, mixing, near_dup, passages, secret_scan, sharding
+from tidemark.llm import collocations, decontam, hilbert, html_main, kneser_ney, langid, line_dedup, merkle, mixing, near_dup, passages, secret_scan, sharding
 from tidemark.llm.common import table
 
 
@@ -70,6 +70,11 @@ def op11_stream_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability by a model of the documents that aren't held out."""
+    return kneser_ney.score_held_out(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and roots of every document, with the root that its tampered form leads to."""
     return merkle.verified_documents(table(spark, sf_dir, "documents"))
@@ -80,7 +85,7 @@ QUERIES = {
     for f in (
         op1_random_walk_decontamination, op2_prefix_sum_shards, op3_wrapper_induction, op4_compact_window_passages, op5_hash_threshold_mix,
         op6_hilbert_neighbours, op7_structural_secrets, op8_naive_bayes_language, op9_fuzzy_lines, op10_probminhash_near_duplicates,
-        op11_stream_collocations, op13_merkle_manifest,
+        op11_stream_collocations, op12_kneser_ney_scores, op13_merkle_manifest,
     )
 }
 ORACLE = {"op5_hash_threshold_mix": mixing.MIX_SQL, "op11_stream_collocations": collocations.COLLOCATIONS_SQL, "op13_merkle_manifest": merkle.MANIFEST_SQL}

@@ -79,7 +79,7 @@ def _words(data: np.ndarray, table: np.ndarray, starts: np.ndarray, rows: np.nda
     kind = table.take(data)
     inside = kind == WORD
     edge = np.diff(inside, prepend=False, append=False)
-    cuts = starts[(starts > 0) & (starts < len(data))]
+    cuts = np.unique(starts[(starts > 0) & (starts < len(data))])  # empty texts begin where the next one does
     edge_at = np.flatnonzero(edge)
     # a word never runs over the border of two texts: cut it there
     joined = cuts[inside[cuts] & inside[cuts - 1]] if len(cuts) else cuts
