@@ -52,6 +52,11 @@ def test_empty_texts_between_others_add_no_words(spark):
     same(frame(spark, rows), rows)
 
 
+def test_a_language_named_like_a_word(spark):
+    rows = [(i, "es x en y es", "en") for i in range(150)] + [(i, "en z es en q", "es") for i in range(130)]
+    same(frame(spark, rows), rows)
+
+
 def same(df, rows, **params):
     assert sorted(tuple(r) for r in collocations.collocations(df, **params).collect()) == brute(rows, **params)
 

@@ -100,7 +100,7 @@ def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarra
     for batch in batches:
         langs = batch.column(0).to_pylist()
         for lang in set(langs) - seeds.keys():
-            seeds[lang] = hash_of(lang)
+            seeds[lang] = int(mix(np.array([hash_of(lang)], U))[0])  # mixed again: "es" in en is not "en" in es
         seed = np.array([seeds[x] for x in langs], U)
         for w in slabs(batch.column(1), TABLE):
             yield w, seed, langs
