@@ -123,9 +123,10 @@ def test_best_model_ties_at_four_digits_go_to_the_later_batch(spark):
 def test_median_of_integers_may_lie_between_two(spark):
     from tidemark.operators import clean, eda
 
-    rows = [(i, float(i), 100.0 + i, a, i, 0) for i, a in enumerate((20, 21, None))]
-    df = spark.createDataFrame(rows, "Transaction_ID long, Transaction_Amount double, Account_Balance double, Age int, row_idx long, batch_index int")
+    rows = [(i, float(i), 100.0 + i, a, a, i, 0) for i, a in enumerate((20, 21, None))]
+    df = spark.createDataFrame(rows, "Transaction_ID long, Transaction_Amount double, Account_Balance double, Age int, Visits long, row_idx long, batch_index int")
     out = clean.fill_and_filter(df, clean.clean_params(df, df, C, 50.0), C)
-    assert sorted(r.Age for r in out.collect()) == [20.0, 20.5, 21.0] and dict(out.dtypes)["Transaction_ID"] == "bigint"
+    assert sorted(r.Age for r in out.collect()) == sorted(r.Visits for r in out.collect()) == [20.0, 20.5, 21.0]
+    assert dict(out.dtypes)["Transaction_ID"] == "bigint"
     bins = eda.histogram(out, None, cols=C).filter("column_name = 'Age'").collect()
     assert len(bins) == 30 and sum(r["count"] for r in bins) == 3 and sum(r["count"] == 0 for r in bins) == 27

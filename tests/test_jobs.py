@@ -60,3 +60,39 @@ def test_a_corrected_old_row_is_unseen(spark):
     found = jobs.unseen_rows(fixed, rows)
     assert found.count() == rows.filter(one).count() > 0 and found.exceptAll(fixed).count() == 0
     assert jobs.unseen_rows(rows, rows).count() == 0
+
+
+def test_batches_of_one_class_in_any_place(spark):
+    """Forests and the update job go on over batches without positives; their metrics are left out."""
+    from tidemark.operators import batches
+
+    cfg = jobs.PipelineConfig(batch_size=500, min_batches=0, train_params=train.TrainParams(rf_trees=4, rf_new_trees=2, rf_depth=3, mlp_layers=(4,)))
+    numbered = batches.assign_batches(transactions(spark, SF_SMALL), 500)
+    empty = [0, 2]
+    label = F.when(F.col("batch_index").isin(empty), 0).otherwise((F.col("Transaction_ID") % 3 == 0).cast("int"))
+    src = numbered.withColumn("Is_Fraud", label).drop("batch_index", "row_idx")
+    root = scratch_path(spark, "test-one-class")
+    assert ids(jobs.run_update(spark, src, root, cfg, process_all=True)) == [0, 1, 2, 3]
+    st = BatchStore(spark, root)
+    assert {r[0] for r in st.read("validation").select("batch_index").collect()} == {1, 3}
+    state = train.ModelState.load(st.path("models"))
+    assert state.batch_count == 4 and [m.numClasses for m, _ in state.forest] == [2] * 4
+    assert jobs.run_inference(spark, src, root, None, cfg).filter("predict is null").count() == 0
+
+
+def test_members_fitted_side_by_side_equal_those_fitted_in_order(spark):
+    from tidemark.operators import features
+    from tidemark.plans import catalog
+
+    data = catalog.cleaned(spark, SF_SMALL).data
+    fitted = features.fit(data)
+    wide = fitted.transform(data, keep=["batch_index", "row_idx"])
+    parts = [wide.filter((F.col("row_idx") % 3 == i)) for i in range(3)]
+    params = train.TrainParams(rf_trees=5, rf_new_trees=3, rf_depth=4)
+    one, two = (train.ModelState(fitted.output_columns(), params) for _ in range(2))
+    for p in parts:
+        one.fit(p, ("rf",))
+    for p, m in zip(parts, two.forest_members(parts), strict=True):
+        two.fit(p, ("rf",), m)
+    a, b = (sorted(map(tuple, s.predict_proba(wide, "rf").select("row_idx", "p1").collect())) for s in (one, two))
+    assert a == b and one.weights == two.weights

@@ -104,9 +104,10 @@ def fill_and_filter(
 ) -> DataFrame:
     """C2 (NULL dropped), C3 (fill), C4 (validity filter) on de-duplicated rows.
 
-    Integer columns of up to 32 bits become doubles, as a median may lie
-    between two integers; 64-bit integers are identifiers and keep their type
+    Integer columns become doubles, as a median may lie between two integers;
+    only the 64-bit ones that ``cols`` names as identifiers keep their type
     (their median is rounded)."""
+    identifiers = {cols.id, *cols.model_drop}
     data = data_columns(deduped, cols)
     j = deduped.join(params, cols.batch)
     out = []
@@ -119,10 +120,10 @@ def fill_and_filter(
         v = F.col(c)
         if _f(c) in params.columns:
             fill = F.col(_f(c))
-            if isinstance(t, (ByteType, ShortType, IntegerType)):
-                t, v = DoubleType(), v.cast("double")
-            elif isinstance(t, LongType):
+            if isinstance(t, LongType) and c in identifiers:
                 fill = F.round(fill).cast(t)
+            elif isinstance(t, (ByteType, ShortType, IntegerType, LongType)):
+                t, v = DoubleType(), v.cast("double")
             elif isinstance(t, NumericType):
                 fill = fill.cast(t)
             v = F.coalesce(v, fill)

@@ -6,16 +6,22 @@ whose trees are added to those before. Scoring puts all trees into one model
 number of batches. The MLP continues from the previous weights with one more
 pass per batch.
 
-Training is sequential by nature (each batch extends the previous model); the
-data of one fit is one batch, which fits in one partition by construction, and
-scoring is a narrow map over any table.
+A forest member depends on its own batch and on batch 0's class weights only, so
+members of many batches are fitted side by side (``forest_members``) and attached
+in order; the MLP's passes follow one another. The data of one fit is one batch,
+which fits in one partition by construction, and scoring is a narrow map over
+any table. A batch of one class is no special case: the label column names both
+classes.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
@@ -89,40 +95,64 @@ class ModelState:
     _merged: RandomForestClassificationModel | None = field(default=None, repr=False)
 
     # ----------------------------------------------------------------- fit
-    def fit(self, batch: DataFrame, models: tuple[str, ...] = ("rf", "mlp")) -> "ModelState":
-        """T2/T4 on the first call, T3/T5 afterwards. ``batch`` holds the
-        feature columns and ``label``; ``models`` names those to fit."""
-        from pyspark import StorageLevel
-
-        # one batch: at most batch_size rows, so one partition and no task overhead in MLlib's many passes
-        batch = batch.select(*self.feature_cols, "label").coalesce(1)
-        if self.batch_count == 0:
-            rows = class_weights(batch).collect()  # at most two rows
-            self.weights = {float(r["label"]): float(r["weight"]) for r in rows}
-            trees = self.params.rf_trees
-        else:
-            trees = self.params.rf_new_trees
+    def _data(self, batch: DataFrame) -> DataFrame:
+        """Features, label and weight of one batch: at most batch_size rows, so one partition and no task overhead in MLlib's many passes."""
         w = F.lit(1.0)
         for lab, wt in self.weights.items():
             w = F.when(F.col("label") == lab, F.lit(wt)).otherwise(w)
-        data = assemble(batch, self.feature_cols).select("features", "label", w.alias("__w")).persist(StorageLevel.MEMORY_AND_DISK)
+        both = {"ml_attr": {"name": "label", "type": "nominal", "vals": ["0", "1"]}}  # a batch may lack one of the classes
+        batch = batch.select(*self.feature_cols, "label").coalesce(1)
+        return assemble(batch, self.feature_cols).select("features", F.col("label").alias("label", metadata=both), w.alias("__w"))
+
+    def weigh(self, batch: DataFrame) -> None:
+        """Class weights from the first batch."""
+        rows = class_weights(batch.select("label")).collect()  # at most two rows
+        self.weights = {float(r["label"]): float(r["weight"]) for r in rows}
+
+    def forest_member(self, batch: DataFrame, number: int) -> RandomForestClassificationModel:
+        """The trees that batch ``number`` adds."""
+        from pyspark import StorageLevel
+
+        data = self._data(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if "rf" in models:
-                rf = RandomForestClassifier(
-                    numTrees=trees, maxDepth=self.params.rf_depth, weightCol="__w",
-                    seed=self.params.seed + self.batch_count, labelCol="label", featuresCol="features",
-                )
-                self.forest.append((rf.fit(data), trees))
-                self.member_paths.append(None)
-                self._merged = None
-            if "mlp" in models:
+            return RandomForestClassifier(
+                numTrees=self.params.rf_new_trees if number else self.params.rf_trees, maxDepth=self.params.rf_depth, weightCol="__w",
+                seed=self.params.seed + number, labelCol="label", featuresCol="features",
+            ).fit(data)
+        finally:
+            data.unpersist()
+
+    def forest_members(self, batches: Sequence[DataFrame], parallel: int = 8) -> list[RandomForestClassificationModel]:
+        """The members of the next batches, ``parallel`` fits at a time."""
+        if self.batch_count == 0 and batches:
+            self.weigh(batches[0])
+        with ThreadPoolExecutor(parallel) as pool:
+            fit_one = inheritable_thread_target(lambda x: self.forest_member(x[1], self.batch_count + x[0]))
+            return list(pool.map(fit_one, enumerate(batches)))
+
+    def fit(self, batch: DataFrame, models: tuple[str, ...] = ("rf", "mlp"), member: RandomForestClassificationModel | None = None) -> "ModelState":
+        """T2/T4 on the first call, T3/T5 afterwards. ``batch`` holds the
+        feature columns and ``label``; ``models`` names those to fit; ``member``
+        is the forest's part if it is fitted already."""
+        from pyspark import StorageLevel
+
+        if self.batch_count == 0:
+            self.weigh(batch)
+        if "rf" in models:
+            member = member or self.forest_member(batch, self.batch_count)
+            self.forest.append((member, member.getNumTrees))
+            self.member_paths.append(None)
+            self._merged = None
+        if "mlp" in models:
+            data = self._data(batch).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
                 layers = [len(self.feature_cols), *self.params.mlp_layers, 2]
                 mlp = MultilayerPerceptronClassifier(layers=layers, maxIter=1, seed=self.params.seed, labelCol="label", featuresCol="features")
                 if self.mlp is not None:
                     mlp.setInitialWeights(self.mlp.weights)
                 self.mlp = mlp.fit(data)
-        finally:
-            data.unpersist()
+            finally:
+                data.unpersist()
         self.batch_count += 1
         return self
 

@@ -308,11 +308,14 @@ def batch_numbers(df):
 def trained(fitted, wide, models, each=None):
     """The models named, extended batch by batch in order; ``each(state, batch, rows)`` runs after every fit."""
     state = train.ModelState(fitted.output_columns(), PIPELINE.train_params)
-    for b in batch_numbers(wide):
-        part = wide.filter(F.col(C.batch) == b)
-        state.fit(part, models)
-        if each:
-            each(state, b, part)
+    numbers = batch_numbers(wide)
+    while wave := list(itertools.islice(numbers, jobs.WAVE)):
+        parts = [wide.filter(F.col(C.batch) == b) for b in wave]
+        members = state.forest_members(parts) if "rf" in models else [None] * len(parts)
+        for b, part, member in zip(wave, parts, members, strict=True):
+            state.fit(part, models, member)
+            if each:
+                each(state, b, part)
     return state
 
 

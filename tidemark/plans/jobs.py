@@ -2,7 +2,7 @@
 
 update: number the rows not stored yet -> store pending batches -> analytics for
 all pending batches in one pass each (quality, cleaning, rules, profile, drift)
--> the training loop over the pending batches in order (sequential by nature)
+-> the training loop over the pending batches in order (forest members side by side, MLP passes in order)
 -> validation of all of them in one job, best model, promotion -> progress.
 
 A batch counts as done when its last step is written (the ``progress`` table),
@@ -13,6 +13,7 @@ goes on from the model version of the last finished batch.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,10 @@ from tidemark.session import discard, materialize
 from tidemark.sources.store import BatchStore
 
 
+#: Batches whose forest members are fitted before they are attached.
+WAVE = 64
+
+
 @dataclass
 class PipelineConfig:
     batch_size: int = batches.DEFAULT_BATCH_SIZE
@@ -165,18 +170,22 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
 def train_batches(spark: SparkSession, store: BatchStore, prepared: DataFrame, ids: DataFrame, feature_cols: list[str], cfg: PipelineConfig) -> None:
     """Extend the models batch by batch (T2-T5); each batch leaves a model version and its scored holdout rows.
 
+    The forest's members are fitted ``WAVE`` batches at a time, side by side; only the MLP waits for the batch before.
     A rerun starts from the version of the last finished batch and replaces what an unfinished run left."""
     C = cfg.cols
     models = store.path("models")
     finished = store.read("progress")
     done = 0 if finished is None else finished.count()
     state = train.ModelState.load(models, done) if done else train.ModelState(feature_cols, cfg.train_params)
-    for (b,) in ids.orderBy(C.batch).toLocalIterator():
-        flagged = validate.holdout(prepared.filter(F.col(C.batch) == b), cfg.val_size, C)
-        fit_rows = flagged if cfg.holdout == "in_sample" else flagged.filter(~F.col("is_holdout"))
-        state.fit(fit_rows.drop("is_holdout"))
-        state.save(models)
-        score_holdout(state, flagged.filter("is_holdout"), store.path("holdout_scores"), b, C)
+    numbers = (r[0] for r in ids.orderBy(C.batch).toLocalIterator())
+    while wave := list(itertools.islice(numbers, WAVE)):
+        flagged = [validate.holdout(prepared.filter(F.col(C.batch) == b), cfg.val_size, C) for b in wave]
+        rows = [x if cfg.holdout == "in_sample" else x.filter(~F.col("is_holdout")) for x in flagged]
+        rows = [x.drop("is_holdout") for x in rows]
+        for b, part, held, member in zip(wave, rows, flagged, state.forest_members(rows), strict=True):
+            state.fit(part, member=member)
+            state.save(models)
+            score_holdout(state, held.filter("is_holdout"), store.path("holdout_scores"), b, C)
 
 
 def score_holdout(state: train.ModelState, hold: DataFrame, path: str, batch: int, cols: Columns, names=validate.MODEL_ORDER) -> None:
