@@ -13,10 +13,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.columns import DEFAULT_COLUMNS as C
 from tidemark.columns import Columns, data_columns
-from tidemark.operators import batches, clean, drift, eda, features, profile, rules, serve, train, validate
+from tidemark.operators import batches, clean, drift, eda, features, model_tables, profile, rules, serve, train, validate
 from tidemark.plans import jobs
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import csv_source
@@ -407,6 +408,68 @@ def q_summary(spark, sf_dir):
     return jobs.run_summary(spark, _pipeline_root(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- models in table form
+# A fixed forest and a fixed network, so that SQL can follow every score. Each
+# tree is complete with eight leaves; node i has the children 2i + 1 and 2i + 2.
+RAW_FEATURES = (C.amount, C.balance, C.age)
+FIXED_TREES = 6
+
+
+def fixed_forest(thresholds) -> list[tuple]:
+    """Nodes ``(tree, node, feature, threshold, left, right, weights)``; ``thresholds`` lists each feature's values."""
+    nodes = []
+    for t in range(FIXED_TREES):
+        for i in range(7):
+            f = (2 * t + i) % len(thresholds)
+            nodes.append((t, i, f, float(thresholds[f][(t + i) % len(thresholds[f])]), 2 * i + 1, 2 * i + 2, [5.0, 5.0]))
+        nodes += [(t, i, -1, 0.0, -1, -1, [(3 * t + i) % 7 + 0.31 * t, (5 * i + t) % 9 + 0.17 * i]) for i in range(7, 15)]
+    return nodes
+
+
+RAW_THRESHOLDS = ([30000.0, 90000.0, 160000.0, 250000.0], [-500.0, 1500.0, 4000.0, 8000.0], [18.0, 35.0, 60.0, 90.0])
+#: Of prepared features: standardised numbers, then ordinal codes.
+PREPARED_THRESHOLDS = ([-0.9, -0.2, 0.4, 1.3], [-1.1, 0.1, 0.8], [-0.7, 0.0, 1.0], [0.5, 1.5], [0.5, 2.5], [0.5], [1.5, 3.5], [6.5, 13.5], [0.5])
+
+
+def fixed_mlp() -> list[tuple]:
+    """Weights ``(layer, unit, input, weight)`` of a network of 3, 4, 3 and 2 units."""
+    sizes, rows = (3, 4, 3, 2), []
+    for layer, (inputs, units) in enumerate(zip(sizes, sizes[1:], strict=False)):
+        rows += [(layer, j, i, ((5 * layer + 4 * j + 7 * i) % 11 - 5) / 2) for j in range(units) for i in range(-1, inputs)]
+    return rows
+
+
+def q_forest_table_scores(spark, sf_dir):
+    """Every transaction's probability by a node table over raw columns (missing values go right)."""
+    nodes = spark.createDataFrame(fixed_forest(RAW_THRESHOLDS), model_tables.NODES)
+    model = model_tables.TableModels(list(RAW_FEATURES), nodes)
+    return model.predict_proba(transactions(spark, sf_dir)).select(C.id, "p1", "prediction")
+
+
+def q_mlp_table_scores(spark, sf_dir):
+    """The same by a weight table over scaled columns."""
+    scale = {C.amount: 250000.0, C.balance: 5000.0, C.age: 60.0}
+    t = transactions(spark, sf_dir).select(C.id, *[(F.col(c) / F.lit(s)).alias(c) for c, s in scale.items()])
+    model = model_tables.TableModels(list(RAW_FEATURES), None, spark.createDataFrame(fixed_mlp(), model_tables.WEIGHTS))
+    return model.predict_proba(t, "mlp").select(C.id, "p1", "prediction")
+
+
+def q_table_inference(spark, sf_dir):
+    """A fixed forest over prepared features, registered, promoted and served; the scored table is written as CSV and read back."""
+    fitted, _ = prepared(spark, sf_dir, features.FeatureParams())
+    root = scratch_path(spark, "table-inference")
+    st = store_mod.BatchStore(spark, root)
+    fitted.save(spark, st.path("fitted_features"))
+    nodes = spark.createDataFrame(fixed_forest(PREPARED_THRESHOLDS), model_tables.NODES)
+    path = model_tables.TableModels(fitted.output_columns(), nodes).save(st.path("tables"))
+    serve.register(spark, st.path("registry"), "best", "rf", path, None, "f1", 0)
+    serve.promote(spark, st.path("registry"))
+    source = transactions(spark, sf_dir)
+    jobs.run_inference(spark, source, root, st.path("scored"), PIPELINE, fmt="csv")
+    back = spark.read.schema(T.StructType([*source.schema.fields, T.StructField("predict", T.IntegerType())])).option("header", True).csv(st.path("scored"))
+    return back.select(C.id, C.amount, C.txn_type, "predict")
+
+
 # ---------------------------------------------------------------- sources, store, stream
 def q_read_all_batches(spark, sf_dir):
     st = store_mod.BatchStore(spark, scratch_path(spark, "store"))
@@ -558,6 +621,9 @@ QUERIES.update({
     "mlp_scores": q_mlp_scores,
     "evaluate_models": q_evaluate_models,
     "cv_scores": q_cv_scores,
+    "forest_table_scores": q_forest_table_scores,
+    "mlp_table_scores": q_mlp_table_scores,
+    "table_inference": q_table_inference,
     "inference": q_inference,
     "scoring_summary": q_scoring_summary,
     "summary": q_summary,

@@ -216,11 +216,11 @@ def validate_batches(spark: SparkSession, store: BatchStore, ids: DataFrame, cfg
 
 
 def run_inference(spark: SparkSession, table: DataFrame, root: str, out_path: str | None = None,
-                  cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+                  cfg: PipelineConfig = PipelineConfig(), fmt: str = "parquet") -> DataFrame:
     """Fitted preparation (no cleaning) + production model -> ``predict``.
 
     All input columns are kept; with ``out_path`` the result is written once
-    and the run is logged (G4)."""
+    as Parquet or, with ``fmt="csv"``, as text with a header (S9), and the run is logged (G4)."""
     store = BatchStore(spark, root)
     fitted = features.FittedFeatures.load(spark, store.path("fitted_features"))
     serving = serve.Serving.production(spark, store.path("registry"))
@@ -230,7 +230,7 @@ def run_inference(spark: SparkSession, table: DataFrame, root: str, out_path: st
     scored = serving.predict(prepared, feat_cols)
     out = scored.select(*[F.col(c) for c in table.columns], F.col("predict").cast("int").alias("predict"))
     if out_path:
-        serve.write_scored(out, out_path, store.path("scoring_log"))
+        serve.write_scored(out, out_path, store.path("scoring_log"), fmt)
     return out
 
 

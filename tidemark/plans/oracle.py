@@ -7,6 +7,7 @@ fixture schema.
 
 from __future__ import annotations
 
+from tidemark.plans import catalog
 from tidemark.sources.tables import BASE_SQL
 
 BATCH_SIZE = 2000
@@ -557,3 +558,59 @@ d AS (SELECT f.batch_index, f.feature, r.reference, f.value AS current,
       FROM fv f JOIN ref r USING (feature) WHERE f.batch_index <> (SELECT min(batch_index) FROM ev))
 SELECT batch_index, feature, round(reference, 4) AS reference, round(current, 4) AS current,
        round(delta * 100.0, 2) AS delta_pct, coalesce(delta > 0.2, false) AS drifted FROM d"""
+
+
+# ---------------------------------------------------------------- models in table form
+def _forest(nodes: list[tuple], rows: str) -> str:
+    """Walk every tree from its root; ``rows`` gives ``rid`` and the list ``f`` of features."""
+    values = ", ".join(f"({t}, {n}, {f}, {thr!r}, {left}, {right}, {w[0]!r}, {w[1]!r})" for t, n, f, thr, left, right, w in nodes)
+    return f"""nodes(tree, node, feature, threshold, l, r, w0, w1) AS (VALUES {values}),
+fx AS ({rows}),
+walk AS (
+  SELECT rid, tree, 0 AS node FROM fx, (SELECT DISTINCT tree FROM nodes)
+  UNION ALL
+  SELECT w.rid, w.tree, CASE WHEN coalesce(fx.f[n.feature + 1] <= n.threshold, false) THEN n.l ELSE n.r END
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node AND n.l >= 0 JOIN fx ON fx.rid = w.rid),
+scored AS (
+  SELECT w.rid, sum(n.w1 / (n.w0 + n.w1)) / {catalog.FIXED_TREES} AS p1
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node AND n.l < 0 GROUP BY w.rid)"""
+
+
+NUMBERED = "numbered AS (SELECT *, row_number() OVER () AS rid FROM transactions)"
+RECURSIVE_TXN = TXN.replace("WITH ", "WITH RECURSIVE ", 1)
+
+Q["forest_table_scores"] = f"""{RECURSIVE_TXN},
+{NUMBERED},
+{_forest(catalog.fixed_forest(catalog.RAW_THRESHOLDS), "SELECT rid, [Transaction_Amount, Account_Balance, CAST(Age AS DOUBLE)] AS f FROM numbered")}
+SELECT Transaction_ID, p1, CASE WHEN p1 > 0.5 THEN 1 ELSE 0 END AS prediction FROM numbered JOIN scored USING (rid)"""
+
+
+def _network(weights: list[tuple]) -> str:
+    """The layers one after the other, each unit written out."""
+    out, inputs = [], ["coalesce(Transaction_Amount / 250000.0, 0.0)", "coalesce(Account_Balance / 5000.0, 0.0)", "coalesce(Age / 60.0, 0.0)"]
+    layers = sorted({w[0] for w in weights})
+    of = {w[:3]: w[3] for w in weights}
+    source = "transactions"
+    for k in layers:
+        units = sorted({w[1] for w in weights if w[0] == k})
+        nets = [f"{of[k, j, -1]!r} + " + " + ".join(f"{of[k, j, i]!r} * {x}" for i, x in enumerate(inputs)) for j in units]
+        cells = nets if k == layers[-1] else [f"1.0 / (1.0 + exp(-({n})))" for n in nets]
+        out.append(f"layer{k} AS (SELECT Transaction_ID, {', '.join(f'{c} AS u{j}' for j, c in zip(units, cells))} FROM {source})")
+        source, inputs = f"layer{k}", [f"u{j}" for j in units]
+    return ",\n".join(out)
+
+
+Q["mlp_table_scores"] = f"""{TXN},
+{_network(catalog.fixed_mlp())},
+soft AS (SELECT Transaction_ID, 1.0 / (1.0 + exp(u0 - u1)) AS p1 FROM layer2)
+SELECT Transaction_ID, p1, CASE WHEN p1 > 0.5 THEN 1 ELSE 0 END AS prediction FROM soft"""
+
+_PREPARED = "SELECT n.rid, [" + ", ".join(
+    [f"(coalesce(CAST(n.{c} AS DOUBLE), imp.m_{c}) - s.a_{c}) / s.b_{c}" for c in FEAT_NUM]
+    + [f"coalesce((SELECT code FROM voc_{c} v WHERE v.v = coalesce(n.{c}, modes.o_{c})), -1.0)" for c in FEAT_CAT]
+) + "] AS f FROM numbered n JOIN imp ON true JOIN modes ON true JOIN std s ON true"
+
+Q["table_inference"] = f"""{PREP.replace("WITH ", "WITH RECURSIVE ", 1)},
+{NUMBERED},
+{_forest(catalog.fixed_forest(catalog.PREPARED_THRESHOLDS), _PREPARED)}
+SELECT Transaction_ID, Transaction_Amount, Transaction_Type, CASE WHEN p1 > 0.5 THEN 1 ELSE 0 END AS predict FROM numbered JOIN scored USING (rid)"""

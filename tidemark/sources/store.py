@@ -89,8 +89,3 @@ class BatchStore:
     def history(self, kind: str) -> DataFrame | None:
         df = self.read(kind)
         return None if df is None else df.orderBy(BATCH)
-
-
-def write_scored_csv(df: DataFrame, path: str) -> None:
-    """Scored table with a header, as text."""
-    df.write.mode("overwrite").option("header", True).csv(path)
