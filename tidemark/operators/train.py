@@ -16,7 +16,7 @@ classes.
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
@@ -33,7 +33,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import list_names, path_exists
+from tidemark.sources.commits import CommitLog
 
 
 @dataclass(frozen=True)
@@ -184,46 +184,48 @@ class ModelState:
 
     # ----------------------------------------------------------------- store
     def save(self, path: str) -> str:
-        """Write version ``batch_count`` under ``path``; returns the folder.
+        """Store version ``batch_count`` under ``path``; returns the version's folder.
 
-        Forest members are written once (``members/``) and each version's
-        manifest lists the members it uses, so saving stays linear in the
-        number of batches."""
-        root = path.rstrip("/")
-        vdir = f"{root}/version={self.batch_count:06d}"
+        Models are written to folders of their own first; the version exists once
+        its manifest is appended to the log ``_versions``, in one rename. A run that is
+        killed between any two writes leaves the versions before. Forest members are
+        written once (``members/``) and each manifest lists those it uses, so
+        saving stays linear in the number of batches."""
+        spark = SparkSession.getActiveSession()
+        root, attempt = path.rstrip("/"), uuid.uuid4().hex[:8]
+        vdir = f"{root}/version={self.batch_count:06d}-{attempt}"
         while len(self.member_paths) < len(self.forest):
             self.member_paths.insert(0, None)
+        paths = list(self.member_paths)
         for i, (member, _) in enumerate(self.forest):
-            if self.member_paths[i] is None:
-                mpath = f"{root}/members/rf_{self.batch_count:06d}_{i:04d}"
-                member.write().overwrite().save(mpath)
-                self.member_paths[i] = mpath
+            if paths[i] is None:
+                paths[i] = f"{root}/members/rf_{self.batch_count:06d}_{i:04d}-{attempt}"
+                member.write().save(paths[i])
         if self.mlp is not None:
-            self.mlp.write().overwrite().save(f"{vdir}/mlp")
+            self.mlp.write().save(f"{vdir}/mlp")
         manifest = {
+            "version": self.batch_count, "folder": vdir,
             "feature_cols": self.feature_cols, "params": asdict(self.params),
             "weights": {str(k): v for k, v in self.weights.items()},
-            "forest_trees": [n for _, n in self.forest], "member_paths": self.member_paths,
+            "forest_trees": [n for _, n in self.forest], "member_paths": paths,
             "batch_count": self.batch_count, "has_mlp": self.mlp is not None,
         }
-        spark = SparkSession.getActiveSession()
-        spark.createDataFrame([(json.dumps(manifest),)], "manifest string").coalesce(1).write.mode("overwrite").json(f"{vdir}/manifest")
+        CommitLog(spark, f"{root}/_versions").append(manifest)
+        self.member_paths = paths
         return vdir
 
     @staticmethod
-    def load(path: str, version: int | None = None) -> "ModelState":
-        spark = SparkSession.getActiveSession()
-        root = path.rstrip("/")
-        if version is None:
-            versions = [d for d in list_names(spark, root) if d.startswith("version=")]
-            if not versions:
-                raise FileNotFoundError(f"no saved models in {path}")
-            vdir = f"{root}/{versions[-1]}"
-        else:
-            vdir = f"{root}/version={version:06d}"
-            if not path_exists(spark, vdir):
-                raise FileNotFoundError(vdir)
-        man = json.loads(spark.read.json(f"{vdir}/manifest").first()["manifest"])
+    def manifest(path: str, version: int | None = None, folder: str | None = None) -> dict:
+        """The newest manifest; that of ``version`` or of the version in ``folder`` if they are given."""
+        log = CommitLog(SparkSession.getActiveSession(), f"{path.rstrip('/')}/_versions")
+        found = log.newest(lambda m: (version is None or m["version"] == version) and (folder is None or m["folder"] == folder))
+        if found is None:
+            raise FileNotFoundError(f"no saved models in {path}" if version is None else f"no version {version} in {path}")
+        return found[1]
+
+    @staticmethod
+    def load(path: str, version: int | None = None, folder: str | None = None) -> "ModelState":
+        man = ModelState.manifest(path, version, folder)
         p = man["params"]
         p["mlp_layers"] = tuple(p["mlp_layers"])
         st = ModelState(man["feature_cols"], TrainParams(**p))
@@ -232,6 +234,6 @@ class ModelState:
         st.forest = [
             (RandomForestClassificationModel.load(mp), n) for mp, n in zip(st.member_paths, man["forest_trees"])
         ]
-        st.mlp = MultilayerPerceptronClassificationModel.load(f"{vdir}/mlp") if man["has_mlp"] else None
+        st.mlp = MultilayerPerceptronClassificationModel.load(f"{man['folder']}/mlp") if man["has_mlp"] else None
         st.batch_count = man["batch_count"]
         return st

@@ -19,11 +19,13 @@ from tidemark.columns import DEFAULT_COLUMNS as C
 from tidemark.columns import Columns, data_columns
 from tidemark.operators import batches, clean, drift, eda, features, model_tables, profile, rules, serve, train, validate
 from tidemark.plans import jobs
+from tidemark.plans.positions import global_positions
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import csv_source
 from tidemark.sources import store as store_mod
 from tidemark.sources.tables import read_table, transactions
-from tidemark.streaming import micro
+from tidemark.streaming import csv_stream, micro, scoring, update
+from tidemark.streaming.run import run_to_end
 
 BATCH_SIZE = 2000
 
@@ -456,6 +458,16 @@ def q_mlp_table_scores(spark, sf_dir):
 
 def q_table_inference(spark, sf_dir):
     """A fixed forest over prepared features, registered, promoted and served; the scored table is written as CSV and read back."""
+    root = table_model_root(spark, sf_dir)
+    st = store_mod.BatchStore(spark, root)
+    source = transactions(spark, sf_dir)
+    jobs.run_inference(spark, source, root, st.path("scored"), PIPELINE, fmt="csv")
+    back = spark.read.schema(T.StructType([*source.schema.fields, T.StructField("predict", T.IntegerType())])).option("header", True).csv(st.path("scored"))
+    return back.select(C.id, C.amount, C.txn_type, "predict")
+
+
+def table_model_root(spark, sf_dir):
+    """A store whose production model is the fixed forest over prepared features."""
     fitted, _ = prepared(spark, sf_dir, features.FeatureParams())
     root = scratch_path(spark, "table-inference")
     st = store_mod.BatchStore(spark, root)
@@ -464,10 +476,7 @@ def q_table_inference(spark, sf_dir):
     path = model_tables.TableModels(fitted.output_columns(), nodes).save(st.path("tables"))
     serve.register(spark, st.path("registry"), "best", "rf", path, None, "f1", 0)
     serve.promote(spark, st.path("registry"))
-    source = transactions(spark, sf_dir)
-    jobs.run_inference(spark, source, root, st.path("scored"), PIPELINE, fmt="csv")
-    back = spark.read.schema(T.StructType([*source.schema.fields, T.StructField("predict", T.IntegerType())])).option("header", True).csv(st.path("scored"))
-    return back.select(C.id, C.amount, C.txn_type, "predict")
+    return root
 
 
 # ---------------------------------------------------------------- sources, store, stream
@@ -508,13 +517,11 @@ CSV_TYPES = {
 CSV_LAYOUTS = ("yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "yyyy/MM/dd", "yyyy-MM-dd'T'HH:mm:ss'Z'", "MMM d, yyyy", "d MMM yyyy")
 
 
-def q_csv_source(spark, sf_dir):
-    """S1/S2 round trip: the fixture as CSV text with its columns in another order, a further column, six date layouts
-    and missing-value tokens, read back through the source."""
-    t = transactions(spark, sf_dir)
+def csv_text(t):
+    """The fixture as text: columns in another order, a further column, six date layouts and missing-value tokens."""
     layout = F.pmod(F.col(C.id), F.lit(len(CSV_LAYOUTS)))
     day = F.coalesce(*[F.when(layout == i, F.date_format(C.time, fmt)) for i, fmt in enumerate(CSV_LAYOUTS)])
-    text = t.select(
+    return t.select(
         (F.col(C.id) % 7).cast("string").alias("Channel_Code"),
         *[day.alias(c) if c == C.time
           else F.coalesce(F.col(c).cast("string"), F.lit("NaN")).alias(c) if c == C.amount
@@ -522,8 +529,12 @@ def q_csv_source(spark, sf_dir):
           else F.col(c).cast("string").alias(c)
           for c in reversed(t.columns)],
     )
+
+
+def q_csv_source(spark, sf_dir):
+    """S1/S2 round trip of the fixture as CSV text, read back through the source."""
     path = scratch_path(spark, "csv")
-    text.write.mode("overwrite").option("header", True).csv(path)
+    csv_text(transactions(spark, sf_dir)).write.mode("overwrite").option("header", True).csv(path)
     return csv_source.read_transactions_csv(spark, path, CSV_TYPES, C)
 
 
@@ -536,6 +547,84 @@ def q_stream_clean(spark, sf_dir):
     return out["clean"].select(*b.columns)
 
 
+SLICES = 5
+
+
+def landed_slices(spark, df, path, slices: int = SLICES, write=lambda part, to: part.write.parquet(to)):
+    """Rows in (time, id) order as ``slices`` deliveries, one folder after the other; returns their glob."""
+    order = [F.col(C.time).asc_nulls_last(), F.col(C.id).asc_nulls_last()]
+    placed = materialize(global_positions(df, order, "__at"), "arrivals")
+    n = placed.count()
+    for i in range(slices):
+        part = placed.filter((F.col("__at") >= i * n // slices) & (F.col("__at") < (i + 1) * n // slices)).drop("__at")
+        write(part.coalesce(1), f"{path}/delivery={i}")
+    return f"{path}/*"
+
+
+def arriving(spark, df, path, slices: int = SLICES):
+    """A stream that gets the rows in ``slices`` micro-batches without numbers."""
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(landed_slices(spark, df, path, slices))
+
+
+def q_stream_batches(spark, sf_dir):
+    """Unnumbered rows arrive in five deliveries; each epoch is run twice, and the batches are those of ``assign_batches``."""
+    base, source = scratch_path(spark, "arriving"), transactions(spark, sf_dir)
+    counter = update.RowCounter(store_mod.BatchStore(spark, base + "/store"), base + "/checkpoint", PIPELINE)
+
+    def twice(rows, epoch):
+        counter.append(rows, epoch)
+        counter.append(rows, epoch)
+
+    run_to_end(arriving(spark, source, base + "/landing"), twice, base + "/checkpoint")
+    return counter.store.read("raw")
+
+
+STREAM_PIPELINE = jobs.PipelineConfig(min_batches=VALIDATION_MIN_BATCHES, train_params=train.TrainParams(rf_trees=8, rf_new_trees=2, rf_depth=4, mlp_layers=(8,)))
+
+
+def streamed_update(spark, sf_dir):
+    """J1 over arriving rows, every epoch run twice."""
+    base, source = scratch_path(spark, "update-stream"), transactions(spark, sf_dir)
+    counter = update.RowCounter(store_mod.BatchStore(spark, base + "/store"), base + "/checkpoint", STREAM_PIPELINE)
+
+    def twice(rows, epoch):
+        update.step(counter, rows, epoch, every=4)
+        update.step(counter, rows, epoch, every=4)
+
+    run_to_end(arriving(spark, source, base + "/landing", 2), twice, base + "/checkpoint")
+    update.finish(counter, closed=True)
+    return counter.store
+
+
+def q_stream_update_drift(spark, sf_dir):
+    """J1 on a stream: the drift table after drift, training, validation and promotion of every batch."""
+    return streamed_update(spark, sf_dir).history("drift")
+
+
+def q_stream_csv_source(spark, sf_dir):
+    """S1/S2 as a stream: ``csv_source``'s text in five deliveries with two column orders, a file without the needed
+    columns and a file of bad rows among them; what is good equals the table."""
+    base, source = scratch_path(spark, "csv-stream"), csv_text(transactions(spark, sf_dir))
+    put = lambda part, to: part.write.option("header", True).csv(to)
+    mixed = lambda part, to: put(part if int(to[-1]) % 2 else part.select(*sorted(part.columns)), to)
+    landed_slices(spark, source, base + "/landing", write=mixed)
+    put(source.limit(3).select(C.id, C.amount), base + "/landing/short")
+    put(source.limit(4).withColumn(C.amount, F.lit("many")), base + "/landing/wrong")
+    good = base + "/good"
+    csv_stream.stream_csv(spark, base + "/landing", CSV_TYPES, lambda rows, epoch: rows.write.mode("overwrite").parquet(f"{good}/epoch={epoch}"),
+                          base + "/side", base + "/checkpoint", 2, C)
+    return spark.read.parquet(good).drop("epoch")
+
+
+def q_stream_inference(spark, sf_dir):
+    """Arriving rows scored by the fixed forest in production, a log row for each epoch; rows and log totals."""
+    root, source = table_model_root(spark, sf_dir), transactions(spark, sf_dir)
+    base = scratch_path(spark, "score-stream")
+    rows, log = scoring.score_stream(spark, arriving(spark, source, base + "/landing"), root, base, base + "/checkpoint")
+    totals = log.agg(F.count("*").alias("n_calls"), F.sum("n_rows").alias("n_rows"))  # one row
+    return rows.select(C.id, C.amount, C.txn_type, "predict").join(totals)
+
+
 def q_meta_history(spark, sf_dir):
     """S5 + S7: stored batch metadata read back in batch order."""
     st = store_mod.BatchStore(spark, scratch_path(spark, "store"))
@@ -582,7 +671,7 @@ def q_registered_model(spark, sf_dir):
     best = q_best_model(spark, sf_dir).first()
     serve.register(spark, path, "best", best["model_name"], "", float(best["score"]), best["metric"], best[C.batch])
     serve.promote(spark, path)
-    return spark.read.parquet(path).filter("stage = 'production'").select("model_name", C.batch, "score", "metric")
+    return serve.registered(spark, path).filter("stage = 'production'").select("model_name", C.batch, "score", "metric")
 
 
 def q_scoring_log_summary(spark, sf_dir):
@@ -631,6 +720,10 @@ QUERIES.update({
     "pending_batches": q_pending_batches,
     "stream_quality": q_stream_quality,
     "stream_clean": q_stream_clean,
+    "stream_batches": q_stream_batches,
+    "stream_update_drift": q_stream_update_drift,
+    "stream_csv_source": q_stream_csv_source,
+    "stream_inference": q_stream_inference,
     "meta_history": q_meta_history,
     "csv_source": q_csv_source,
     "quality_history": q_quality_history,

@@ -145,6 +145,14 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
     new_ids = materialize(new.select(C.batch).distinct(), "new")
     if not new_ids.isEmpty():
         store.write("raw", new, ids=new_ids)
+    process(spark, store, ids, cfg)
+    discard(numbered, new_ids)
+    return ids
+
+
+def process(spark: SparkSession, store: BatchStore, ids: DataFrame, cfg: PipelineConfig) -> None:
+    """Every step after a batch's rows are stored, for the batches in ``ids``; they count as done at the end."""
+    C = cfg.cols
     raw = materialize(store.read_batches("raw", ids), "raw", bucket_col=C.batch)
     store.write("batch_meta", profile.batch_meta(raw, C).withColumn("saved_at", F.current_timestamp()), ids=ids)
     run_analytics(store, raw, ids, cfg)
@@ -163,8 +171,7 @@ def run_update(spark: SparkSession, source: DataFrame, root: str, cfg: PipelineC
     train_batches(spark, store, prepared, ids, fitted.output_columns(), cfg)
     validate_batches(spark, store, ids, cfg)
     store.write("progress", ids.withColumn("finished_at", F.current_timestamp()), ids=ids)
-    discard(numbered, new_ids, raw, prepared)
-    return ids
+    discard(raw, prepared)
 
 
 def train_batches(spark: SparkSession, store: BatchStore, prepared: DataFrame, ids: DataFrame, feature_cols: list[str], cfg: PipelineConfig) -> None:
@@ -210,11 +217,19 @@ def validate_batches(spark: SparkSession, store: BatchStore, ids: DataFrame, cfg
     if best is None:
         return
     registry = store.path("registry")
-    vdir = f"{store.path('models')}/version={best['version']:06d}"
+    vdir = train.ModelState.manifest(store.path("models"), best["version"])["folder"]
     serve.register(spark, registry, "best", best["model_name"], vdir, float(best["score"]), cfg.metric, best[C.batch])
     serve.promote(spark, registry)
 
 
+def scored(table: DataFrame, fitted: features.FittedFeatures, serving: serve.Serving) -> DataFrame:
+    """All columns of ``table`` and ``predict``: prepared and scored, a narrow map."""
+    prefix = "__f_"
+    prepared = fitted.transform(table, keep=table.columns, prefix=prefix)
+    found = serving.predict(prepared, [prefix + c for c in fitted.output_columns()])
+    return found.select(*[F.col(c) for c in table.columns], F.col("predict").cast("int").alias("predict"))
+
+
 def run_inference(spark: SparkSession, table: DataFrame, root: str, out_path: str | None = None,
                   cfg: PipelineConfig = PipelineConfig(), fmt: str = "parquet") -> DataFrame:
     """Fitted preparation (no cleaning) + production model -> ``predict``.
@@ -224,11 +239,7 @@ def run_inference(spark: SparkSession, table: DataFrame, root: str, out_path: st
     store = BatchStore(spark, root)
     fitted = features.FittedFeatures.load(spark, store.path("fitted_features"))
     serving = serve.Serving.production(spark, store.path("registry"))
-    prefix = "__f_"
-    prepared = fitted.transform(table, keep=table.columns, prefix=prefix)
-    feat_cols = [prefix + c for c in fitted.output_columns()]
-    scored = serving.predict(prepared, feat_cols)
-    out = scored.select(*[F.col(c) for c in table.columns], F.col("predict").cast("int").alias("predict"))
+    out = scored(table, fitted, serving)
     if out_path:
         serve.write_scored(out, out_path, store.path("scoring_log"), fmt)
     return out
@@ -266,9 +277,9 @@ def run_summary(spark: SparkSession, root: str) -> DataFrame:
     v = store.read("validation")
     if v is not None:
         parts.append(_report("model_metrics", v.drop("version"), "model"))
-    reg = store.read("registry")
+    reg = serve.registered(spark, store.path("registry"))
     if reg is not None:
-        prod = reg.filter(F.col("stage") == "production").orderBy(F.desc("registered_at")).limit(1)
+        prod = reg.filter(F.col("stage") == "production").orderBy(F.desc("number")).limit(1)
         parts.append(prod.select(F.lit("best_model").alias("section"), F.col("batch_index").cast("int"),
                                  F.col("model_name").alias("name"), F.col("score").alias("value"), F.col("metric").alias("text")))
     log = store.read("scoring_log")

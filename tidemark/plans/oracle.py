@@ -614,3 +614,10 @@ Q["table_inference"] = f"""{PREP.replace("WITH ", "WITH RECURSIVE ", 1)},
 {NUMBERED},
 {_forest(catalog.fixed_forest(catalog.PREPARED_THRESHOLDS), _PREPARED)}
 SELECT Transaction_ID, Transaction_Amount, Transaction_Type, CASE WHEN p1 > 0.5 THEN 1 ELSE 0 END AS predict FROM numbered JOIN scored USING (rid)"""
+
+Q["stream_batches"] = Q["assign_batches"]
+Q["stream_update_drift"] = Q["drift_deltas"]
+Q["stream_csv_source"] = f"""WITH {BASE_SQL},
+transactions AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE Transaction_ID % 50 = 7)
+SELECT * FROM transactions"""
+Q["stream_inference"] = f"""SELECT t.*, {catalog.SLICES} AS n_calls, CAST(count(*) OVER () AS BIGINT) AS n_rows FROM ({Q["table_inference"]}) t"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.columns import DEFAULT_COLUMNS, Columns
@@ -43,17 +43,11 @@ def read_transactions_csv(
     missing = [c for c in types if c not in raw.columns]
     if missing:
         raise ValueError(f"columns not in the header: {', '.join(missing)}")
-    tokens = F.array(*[F.lit(t) for t in MISSING_TOKENS])
-    text = raw.select(*[F.when(F.array_contains(tokens, F.trim(F.col(c))), F.lit(None)).otherwise(F.col(c)).alias(c) for c in raw.columns])
+    text = without_tokens(raw)
     more = [c for c in raw.columns if c not in types]
 
-    def typed(c: str, kind: str):
-        if c == cols.time:
-            return parse_mixed_timestamp(F.col(c), date_formats)
-        return F.col(c) if kind == "string" else F.trim(F.col(c)).try_cast(kind)
-
     def lost(c: str, kind: str):
-        return F.count_if(F.col(c).isNotNull() & typed(c, kind).isNull())
+        return F.count_if(unparsed(c, kind, cols, date_formats))
 
     tests = [lost(c, t).alias(f"bad_{i}") for i, (c, t) in enumerate(types.items())] if check else []
     tests += [lost(c, t).alias(f"{t}_{i}") for i, c in enumerate(more) for t in ("bigint", "double")]
@@ -63,4 +57,22 @@ def read_transactions_csv(
             kind = UnparsedDatesError if c == cols.time else UnparsedValuesError
             raise kind(f"{found[f'bad_{i}']} values of {c} are not of type {types[c]}")
     kinds = dict(types) | {c: next((t for t in ("bigint", "double") if not found[f"{t}_{i}"]), "string") for i, c in enumerate(more)}
-    return text.select(*[typed(c, t).alias(c) for c, t in kinds.items()])
+    return text.select(*[typed(c, t, cols, date_formats).alias(c) for c, t in kinds.items()])
+
+
+def without_tokens(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Text columns with the missing-value tokens as NULL (but those in ``keep``)."""
+    tokens = F.array(*[F.lit(t) for t in MISSING_TOKENS])
+    return raw.select(*[F.col(c) if c in keep else F.when(F.array_contains(tokens, F.trim(F.col(c))), F.lit(None)).otherwise(F.col(c)).alias(c) for c in raw.columns])
+
+
+def typed(c: str, kind: str, cols: Columns = DEFAULT_COLUMNS, date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
+    """A text column as its type; NULL where a value isn't of it."""
+    if c == cols.time:
+        return parse_mixed_timestamp(F.col(c), date_formats)
+    return F.col(c) if kind == "string" else F.trim(F.col(c)).try_cast(kind)
+
+
+def unparsed(c: str, kind: str, cols: Columns = DEFAULT_COLUMNS, date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
+    """True where a column has a value that isn't of its type."""
+    return F.col(c).isNotNull() & typed(c, kind, cols, date_formats).isNull()

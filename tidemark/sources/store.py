@@ -4,9 +4,10 @@ Raw batches and every report are Parquet tables with a ``batch_index``
 column, partitioned by ``batch_group = batch_index div group_size`` (one
 folder per group of batches, not per batch: a table of many millions of
 batches stays at a sane folder count) and written with dynamic partition
-overwrite. A write replaces exactly the groups it touches; rows of other
-batches inside a partly covered group are carried over first, so re-running
-a batch (a replayed micro-batch, a retried job) replaces only its own rows.
+overwrite. Batches that the table doesn't hold yet are appended; otherwise a
+write replaces exactly the groups it touches, and rows of other batches inside a
+partly covered group are carried over first, so re-running a batch (a
+replayed micro-batch, a retried job) replaces only its own rows.
 """
 
 from __future__ import annotations
@@ -43,11 +44,13 @@ class BatchStore:
         if not (partitioned and BATCH in df.columns):
             df.write.mode("overwrite").parquet(self.path(kind))
             return
-        exists = self._exists(kind)
         new = self._grouped(df)
-        if not exists:
+        if not self._exists(kind):
             self._put(kind, new)
             return
+        if ids is not None and not self._holds(kind, ids):
+            new.write.mode("append").partitionBy(GROUP).parquet(self.path(kind))  # nothing to replace
+            return
         new = materialize(new, f"new-{kind}")
         done = (new if ids is None else self._grouped(ids.select(BATCH))).select(GROUP, BATCH).distinct()
         touched = [r[0] for r in done.select(GROUP).distinct().collect()]  # one number for each folder this write touches
@@ -61,6 +64,12 @@ class BatchStore:
             delete_path(self.spark, f"{self.path(kind)}/{GROUP}={group}")
         discard(new, keep)
 
+    def _holds(self, kind: str, ids: DataFrame) -> bool:
+        """Whether the table has rows of any of these batches (as after a run that stopped while it wrote)."""
+        folders = [r[0] for r in self._grouped(ids.select(BATCH)).select(GROUP).distinct().collect()]
+        stored = self.spark.read.parquet(self.path(kind)).filter(F.col(GROUP).isin(folders)).select(BATCH)
+        return not stored.join(ids.select(BATCH), BATCH, "left_semi").isEmpty()
+
     def _put(self, kind: str, df: DataFrame) -> None:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(GROUP).parquet(self.path(kind))
 
