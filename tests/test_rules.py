@@ -101,3 +101,16 @@ def test_baskets_items(spark, cleaned_small):
     r = bk.first()
     assert any(i.startswith("Amount_") for i in r["items"]) and any(i.startswith("Is_Fraud=") for i in r["items"])
     assert r["items"] == sorted(r["items"])
+
+
+def test_blocks_of_rows_give_the_same_itemsets(spark):
+    p = rules.RuleParams(min_support=0.08)
+    bk, py = make_baskets(spark, seed=11, n=700)
+    far = bk.withColumn("row_idx", F.col("row_idx") * 1000 + 5)  # row numbers need not be dense
+    two = far.unionByName(far.withColumn("batch_index", F.lit(4)).filter("row_idx % 3 = 0"))
+    got = {(r.batch_index, tuple(r.itemset)): (r["count"], r.support) for r in rules.frequent_itemsets_blocked(two, p, C, block_rows=1 << 12).collect()}
+    want = {(r.batch_index, tuple(r.itemset)): (r["count"], r.support) for r in rules.frequent_itemsets(two, p, C).collect()}
+    assert got == want and len(got) > 50
+    sup, _ = brute_force(py, 0.08, 0.3, 1.0)
+    assert {k[1] for k in got if k[0] == 0} == set(sup)
+    assert rules.frequent_itemsets_blocked(bk.limit(0), p, C).count() == 0

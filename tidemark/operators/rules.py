@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.columns import DEFAULT_COLUMNS, Columns
+from tidemark.plans.positions import group_medians
+from tidemark.session import discard, materialize
 
 
 @dataclass(frozen=True)
@@ -41,8 +43,11 @@ def target_item(cols: Columns = DEFAULT_COLUMNS, value: int = 1) -> str:
     return f"{cols.target}={value}"
 
 
-def baskets(df: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
-    """A1-A3: ``items`` (sorted array<string>) per row, with batch and row ids."""
+def baskets(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, bounded: bool = True) -> DataFrame:
+    """A1-A3: ``items`` (sorted array<string>) per row, with batch and row ids.
+
+    ``bounded``: a batch fits into one task, as batches do. Otherwise (a whole table as one batch) its
+    medians are taken from the range-partitioned order of all rows."""
     present = [c for c in cols.basket_columns if c in df.columns]
     items: list[Column] = [
         F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in present
@@ -51,7 +56,12 @@ def baskets(df: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
     med_cols = [m for m in med_cols if m[0] in df.columns]
     base = df
     if med_cols:
-        meds = df.groupBy(cols.batch).agg(*[F.median(c).alias(f"__med{i}") for i, (c, _, _) in enumerate(med_cols)])
+        if bounded:
+            meds = df.groupBy(cols.batch).agg(*[F.median(c).alias(f"__med{i}") for i, (c, _, _) in enumerate(med_cols)])
+        else:
+            meds = df.select(cols.batch).distinct()
+            for i, (c, _, _) in enumerate(med_cols):
+                meds = meds.join(group_medians(df, [cols.batch], c, f"__med{i}"), cols.batch, "left")
         base = df.join(meds, cols.batch)
         for i, (c, hi, lo) in enumerate(med_cols):
             m = F.col(f"__med{i}")
@@ -94,10 +104,7 @@ def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Co
     """A4: (batch_index, itemset, count, support) with support >= min_support, mined level by level.
 
     Each level is a small written table; the loop ends with the first empty one."""
-    from tidemark.session import discard
-    from tidemark.session import materialize as write_back
-
-    stat = write_back(bk.groupBy(cols.batch).agg(
+    stat = materialize(bk.groupBy(cols.batch).agg(
         F.count(F.lit(1)).alias("__n"), F.min(cols.row).alias("__first"), F.max(cols.row).alias("__last")), "baskets")
     total = stat.select(cols.batch, "__n")
 
@@ -105,7 +112,7 @@ def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Co
         count = F.aggregate("rows", F.lit(0).cast("long"), lambda acc, x: acc + F.bit_count(x).cast("long"))
         counted = df.withColumn("count", count).join(total, cols.batch)
         counted = counted.withColumn("support", F.col("count") / F.col("__n")).filter(F.col("support") >= F.lit(params.min_support))
-        return write_back(counted.select(cols.batch, "itemset", "rows", "count", "support"), "itemsets")
+        return materialize(counted.select(cols.batch, "itemset", "rows", "count", "support"), "itemsets")
 
     single = _row_bits(bk, stat, cols)
     level = frequent(single.select(cols.batch, F.array("item").alias("itemset"), "rows"))
@@ -127,6 +134,56 @@ def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Co
     return found.select(cols.batch, "itemset", "count", "support")
 
 
+#: Rows in a block of ``frequent_itemsets_blocked``: 512 words of 64 rows, 4 KB.
+BLOCK_ROWS = 1 << 15
+
+
+def _blocks(bk: DataFrame, cols: Columns, block_rows: int) -> DataFrame:
+    """(batch, itemset of one item, block, rows): the rows of every item in each block of ``block_rows`` row numbers, as a bit array."""
+    at = F.pmod(F.col(cols.row), F.lit(block_rows))
+    single = bk.select(cols.batch, F.expr(f"CAST(`{cols.row}` DIV {block_rows} AS BIGINT)").alias("block"),
+                       F.expr(f"CAST(pmod(`{cols.row}`, {block_rows}) DIV 64 AS INT)").alias("word"), (at % 64).cast("int").alias("bit"), F.explode("items").alias("item"))
+    words = single.groupBy(cols.batch, "item", "block", "word").agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), bit)")).alias("bits"))
+    found = words.groupBy(cols.batch, "item", "block").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))  # a block's words at most
+    line = F.transform(F.sequence(F.lit(0), F.lit(block_rows // 64 - 1)), lambda w: F.coalesce(F.try_element_at("m", w), F.lit(0).cast("long")))
+    return found.select(cols.batch, F.array("item").alias("itemset"), "block", line.alias("rows"))
+
+
+def frequent_itemsets_blocked(bk: DataFrame, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """A4 where a batch is of any size, a whole table for instance: the same itemsets, counts and supports.
+
+    The rows of an itemset are cut into blocks of bits, keyed (itemset, block), so no array spans the table and
+    an item that nearly every row has is spread over all tasks. Candidates are made from the frequent itemsets alone; their
+    blocks are ANDed block by block, empty ones go, and counts are summed over blocks."""
+    total = materialize(bk.groupBy(cols.batch).agg(F.count(F.lit(1)).alias("__n")), "baskets")
+    bits = F.aggregate("rows", F.lit(0).cast("long"), lambda acc, x: acc + F.bit_count(x).cast("long"))
+    blocks = materialize(_blocks(bk, cols, block_rows).withColumn("count", bits), "itemset-blocks")
+    out = None
+    while True:
+        counted = blocks.groupBy(cols.batch, "itemset").agg(F.sum("count").alias("count")).join(total, cols.batch)
+        counted = counted.withColumn("support", F.col("count") / F.col("__n")).filter(F.col("support") >= F.lit(params.min_support)).drop("__n")
+        level = materialize(counted, "itemsets")
+        if level.isEmpty():
+            discard(level, blocks)
+            break
+        out = level if out is None else out.unionByName(level)
+        head, last = F.slice("itemset", F.lit(1), F.size("itemset") - 1), F.element_at("itemset", -1)
+        left = level.select(cols.batch, head.alias("__head"), F.col("itemset").alias("__a"), last.alias("__x"))
+        right = level.select(cols.batch, head.alias("__head"), F.col("itemset").alias("__b"), last.alias("__y"))
+        pairs = left.join(right, [cols.batch, "__head"]).filter(F.col("__x") < F.col("__y"))
+        pairs = pairs.select(cols.batch, "__a", "__b", F.concat("__a", F.array("__y")).alias("__ab"))
+        a = blocks.select(cols.batch, F.col("itemset").alias("__a"), "block", F.col("rows").alias("__ra"))
+        b = blocks.select(cols.batch, F.col("itemset").alias("__b"), "block", F.col("rows").alias("__rb"))
+        both = a.join(pairs, [cols.batch, "__a"]).join(b, [cols.batch, "__b", "block"])
+        anded = both.select(cols.batch, F.col("__ab").alias("itemset"), "block", F.zip_with("__ra", "__rb", lambda x, y: x.bitwiseAND(y)).alias("rows"))
+        more = materialize(anded.withColumn("count", bits).filter("count > 0"), "itemset-blocks")
+        discard(blocks)
+        blocks = more
+    if out is None:
+        return bk.sparkSession.createDataFrame([], f"{cols.batch} int, itemset array<string>, count long, support double")
+    return out.select(cols.batch, "itemset", "count", "support")
+
+
 def frequent_itemsets_fpgrowth(bk: DataFrame, batch_index: int, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """A4 for one (possibly very wide) batch with MLlib FP-growth."""
     from pyspark.ml.fpm import FPGrowth

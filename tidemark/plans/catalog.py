@@ -162,6 +162,21 @@ def q_frequent_itemsets(spark, sf_dir):
     return rules.as_text(itemsets(spark, sf_dir), None)
 
 
+def table_baskets(spark, sf_dir):
+    """The baskets of all cleaned rows as one batch."""
+    return rules.baskets(cleaned(spark, sf_dir).data.withColumn(C.batch, F.lit(0)), C, bounded=False)
+
+
+def q_table_itemsets(spark, sf_dir):
+    """A4 over the whole table as one batch, block by block."""
+    return rules.as_text(rules.frequent_itemsets_blocked(table_baskets(spark, sf_dir), cols=C), None)
+
+
+def q_table_itemsets_fpgrowth(spark, sf_dir):
+    """A4 over the whole table as one batch, by MLlib's FP-growth."""
+    return rules.as_text(rules.frequent_itemsets_fpgrowth(table_baskets(spark, sf_dir), 0, cols=C), None)
+
+
 def mined_rules(spark, sf_dir, params=rules.RuleParams()):
     return rules.association_rules(itemsets(spark, sf_dir, params), params, C)
 
@@ -273,6 +288,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_summary": q_drift_summary,
     "baskets": q_baskets,
     "frequent_itemsets": q_frequent_itemsets,
+    "table_itemsets": q_table_itemsets,
+    "table_itemsets_fpgrowth": q_table_itemsets_fpgrowth,
     "association_rules": q_association_rules,
     "top_rules": q_top_rules,
     "target_rules": q_target_rules,

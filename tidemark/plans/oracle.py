@@ -371,6 +371,11 @@ FROM attrs"""
 Q["frequent_itemsets"] = f"""{RULES}
 SELECT batch_index, array_to_string(items, ', ') AS itemset, count, support FROM freq"""
 
+Q["table_itemsets"] = f"""{CLEAN},
+one AS (SELECT * REPLACE (0 AS batch_index) FROM cleaned){RULES[len(CLEAN):].replace("cleaned", "one")}
+SELECT batch_index, array_to_string(items, ', ') AS itemset, count, support FROM freq"""
+Q["table_itemsets_fpgrowth"] = Q["table_itemsets"]
+
 Q["association_rules"] = f"""{RULES}
 SELECT {_RULE_OUT} FROM rules"""
 
