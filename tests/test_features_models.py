@@ -130,3 +130,32 @@ def test_median_of_integers_may_lie_between_two(spark):
     assert dict(out.dtypes)["Transaction_ID"] == "bigint"
     bins = eda.histogram(out, None, cols=C).filter("column_name = 'Age'").collect()
     assert len(bins) == 30 and sum(r["count"] for r in bins) == 3 and sum(r["count"] == 0 for r in bins) == 27
+
+
+def test_sparse_vectors_equal_the_wide_form(spark, fit_and_data):
+    from pyspark.ml.functions import vector_to_array
+
+    fit_df, data = fit_and_data
+    o = features.fit(fit_df, features.FeatureParams("minmax", "onehot"), C)
+    data = data.withColumn(C.state, F.when(F.col(C.row) % 7 == 0, F.lit("nowhere")).otherwise(F.col(C.state)))
+    wide = {r[0]: tuple(r[1:]) for r in o.transform(data, keep=[C.row]).select(C.row, *o.output_columns()).collect()}
+    vectors = o.transform_sparse(data, keep=[C.row])
+    got = {r[0]: tuple(r[1]) for r in vectors.select(C.row, vector_to_array("features")).collect()}
+    assert got == wide and o.sparse_size() == len(o.output_columns()) and "label" in vectors.columns
+    entries = o.sparse_entries(data, [C.row]).groupBy(C.row).agg(F.collect_list(F.struct("position", "feature", "value"))).collect()
+    names = o.output_columns()
+    for row, cells in entries:
+        assert {(names[p], v) for p, f, v in cells if names[p] == f} == {(n, v) for n, v in zip(names, wide[row]) if v or n in o.numeric}
+
+
+def test_a_hundred_thousand_categories_prepare_and_score(spark):
+    n = 100_000
+    df = spark.range(n).select(F.format_string("s%06d", "id").alias(C.state), (F.col("id") % 97).cast("double").alias(C.amount), (F.col("id") % 2).cast("int").alias(C.target))
+    o = features.fit(df, features.FeatureParams("minmax", "onehot"), C)
+    x = o.transform_sparse(df.filter("Transaction_Amount < 3").withColumn(C.state, F.when(F.col(C.amount) == 1, "new").otherwise(F.col(C.state))))
+    first = x.filter(F.col("label") == 0).first().features
+    assert o.sparse_size() == n + 1 and first.size == n + 1 and len(first.indices) <= 2
+    st = train.ModelState(["x"], train.TrainParams(rf_trees=2, rf_depth=2, mlp_layers=(2,)), num_features=n + 1)
+    x = x.withColumnRenamed("features", "x")
+    st.fit(x.limit(200))
+    assert all(st.predict_proba(x, m).filter("p1 is null").count() == 0 for m in ("rf", "mlp"))

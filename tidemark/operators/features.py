@@ -11,8 +11,9 @@ shuffled otherwise.
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,6 +85,51 @@ class FittedFeatures:
             df = df.join(table, f"__v{n}", "left")
         return df.select(*out)
 
+    # ------------------------------------------------------------ sparse form (P5)
+    def _coded(self, df: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str], list[tuple[str, str, int, int]]]:
+        """Scaled numbers and codes by the vocabulary join; numeric columns and ``(column, code column, offset, size)`` of the others."""
+        ordinal = replace(self, params=FeatureParams(self.params.num_strategy, "ordinal"))
+        numbers, parts, at = ["__s_" + c for c in self.numeric], [], len(self.numeric)
+        for c in self.categorical:
+            n = len(self.vocab.get(c, []))
+            if n:
+                parts.append((c, "__s_" + c, at, n))
+                at += n
+        return ordinal.transform(df, keep, "__s_"), numbers, parts
+
+    def sparse_size(self) -> int:
+        return len(self.numeric) + sum(len(self.vocab.get(c, [])) for c in self.categorical)
+
+    def transform_sparse(self, df: DataFrame, keep: list[str] | None = None, out: str = "features") -> DataFrame:
+        """One-hot features as one vector column, an entry for each number and each known category, whatever the size of the vocabularies.
+
+        A value that the vocabulary lacks has no entry. The order of the positions is that of the wide one-hot form."""
+        keep = [c for c in (keep or []) if c in df.columns]
+        coded, numbers, parts = self._coded(df, keep)
+        label = ["label"] if "label" in coded.columns and "label" not in keep else []
+        hot = []
+        if parts:
+            # a code of ``n`` is one too many: an invalid one, whose own place is then dropped
+            index = {f"__i_{c}": F.when(F.col(code) < 0, F.lit(float(n))).otherwise(F.col(code)) for c, code, _, n in parts}
+            coded = coded.withColumns(index)
+            hot = ["__h_" + c for c, *_ in parts]
+            sizes = df.sparkSession.createDataFrame([tuple(float(n - 1) for *_, n in parts)], [*index])
+            encoder = OneHotEncoder(inputCols=[*index], outputCols=hot, handleInvalid="keep", dropLast=True).fit(sizes)
+            coded = encoder.transform(coded)
+        coded = VectorAssembler(inputCols=[*numbers, *hot], outputCol="__v", handleInvalid="keep").transform(coded)
+        return coded.select(*keep, *label, F.col("__v").alias(out))
+
+    def sparse_entries(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+        """The same as rows ``(keep..., position, feature, value)``, one for each entry."""
+        keep = [c for c in (keep or []) if c in df.columns]
+        coded, numbers, parts = self._coded(df, keep)
+        cells = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"), F.col(x).alias("value")) for i, (c, x) in enumerate(zip(self.numeric, numbers))]
+        for c, code, at, _ in parts:
+            name = F.get(F.split(F.lit("\x00".join(self.vocab[c])), "\x00"), F.col(code).cast("int"))
+            cells.append(F.struct((F.lit(at) + F.col(code).cast("int")).alias("position"), F.concat(F.lit(c + "_"), name).alias("feature"),
+                                  F.when(F.col(code) >= 0, F.lit(1.0)).alias("value")))
+        return coded.select(*keep, F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+
     # ------------------------------------------------------------ persistence
     def to_json(self) -> str:
         d = asdict(self)

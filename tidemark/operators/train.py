@@ -92,6 +92,7 @@ class ModelState:
     mlp: MultilayerPerceptronClassificationModel | None = None
     batch_count: int = 0
     member_paths: list[str | None] = field(default_factory=list)
+    num_features: int = 0  # if the features are vector columns: their sizes' sum
     _merged: RandomForestClassificationModel | None = field(default=None, repr=False)
 
     # ----------------------------------------------------------------- fit
@@ -146,7 +147,7 @@ class ModelState:
         if "mlp" in models:
             data = self._data(batch).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                layers = [len(self.feature_cols), *self.params.mlp_layers, 2]
+                layers = [self.num_features or len(self.feature_cols), *self.params.mlp_layers, 2]
                 mlp = MultilayerPerceptronClassifier(layers=layers, maxIter=1, seed=self.params.seed, labelCol="label", featuresCol="features")
                 if self.mlp is not None:
                     mlp.setInitialWeights(self.mlp.weights)
@@ -208,7 +209,7 @@ class ModelState:
             "feature_cols": self.feature_cols, "params": asdict(self.params),
             "weights": {str(k): v for k, v in self.weights.items()},
             "forest_trees": [n for _, n in self.forest], "member_paths": paths,
-            "batch_count": self.batch_count, "has_mlp": self.mlp is not None,
+            "num_features": self.num_features, "batch_count": self.batch_count, "has_mlp": self.mlp is not None,
         }
         CommitLog(spark, f"{root}/_versions").append(manifest)
         self.member_paths = paths
@@ -228,7 +229,7 @@ class ModelState:
         man = ModelState.manifest(path, version, folder)
         p = man["params"]
         p["mlp_layers"] = tuple(p["mlp_layers"])
-        st = ModelState(man["feature_cols"], TrainParams(**p))
+        st = ModelState(man["feature_cols"], TrainParams(**p), num_features=man.get("num_features", 0))
         st.weights = {float(k): v for k, v in man["weights"].items()}
         st.member_paths = list(man["member_paths"])
         st.forest = [

@@ -218,6 +218,13 @@ def q_features_onehot_minmax(spark, sf_dir):
     return features.to_long(wide, fitted.output_columns(), [C.batch, C.row, "label"])
 
 
+def q_features_onehot_sparse(spark, sf_dir):
+    """P5 in sparse form: the entries of every cleaned row."""
+    data = cleaned(spark, sf_dir).data
+    fitted = features.fit(fit_batch(data), features.FeatureParams("minmax", "onehot"), C)
+    return fitted.sparse_entries(data, [C.batch, C.row]).select(C.batch, C.row, "feature", F.round("value", 4).alias("value"))
+
+
 # Two transparent scorers stand in for models where the result must be
 # checked by SQL: a clipped amount ratio and a per-status constant.
 SCORERS = ("amount", "status")
@@ -296,6 +303,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "impute": q_impute,
     "features_ordinal_standard": q_features_ordinal_standard,
     "features_onehot_minmax": q_features_onehot_minmax,
+    "features_onehot_sparse": q_features_onehot_sparse,
     "holdout": q_holdout,
     "cv_folds": q_cv_folds,
     "binary_metrics": q_binary_metrics,

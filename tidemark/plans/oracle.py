@@ -430,6 +430,9 @@ Q["features_onehot_minmax"] = f"""{PREP}
        f"FROM x JOIN voc_{c} v ON true" for c in FEAT_CAT]
 )
 
+_NUM_LIST = ", ".join(f"'{c}'" for c in FEAT_NUM)
+Q["features_onehot_sparse"] = f"""SELECT batch_index, row_idx, feature, value FROM ({Q["features_onehot_minmax"]}) WHERE value = 1.0 OR feature IN ({_NUM_LIST})"""
+
 
 # ---------------------------------------------------------------- validation (deterministic scorers)
 VALID_BASE = f"""{CLEAN},
