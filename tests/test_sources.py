@@ -26,6 +26,23 @@ def test_mixed_layouts_month_first(spark):
     assert got[7] is None and got[8] is None
 
 
+def test_layouts_by_shape_equal_trying_every_layout(spark):
+    from tidemark.functions import exprs
+
+    when = dt.datetime(2024, 5, 3, 4, 5, 6, 120000)
+    vals = [None, "", "garbage", "13/13/2024", "20240105", "a.b", "5/6/24", "2024-01-05x", "001/02/2024", "Sept 3, 2024", "12:30", "2024-13-01"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string").unionByName(
+        spark.createDataFrame([(f, when) for f in exprs.DEFAULT_DATE_FORMATS], "f string, t timestamp").selectExpr(
+            "CASE f " + " ".join(f"WHEN {f!r} THEN date_format(t, {f!r})".replace("\"", "'") if "'" not in f else f"WHEN \"{f}\" THEN date_format(t, \"{f}\")"
+                                 for f in exprs.DEFAULT_DATE_FORMATS) + " END AS v"))
+    c = F.trim("v")
+    both = df.select("v", parse_mixed_timestamp("v").alias("new"), F.coalesce(*[exprs._parsed(c, f) for f in exprs.DEFAULT_DATE_FORMATS]).alias("old")).collect()
+    assert all(r.new == r.old for r in both) and sum(r.new is not None for r in both) == len(exprs.DEFAULT_DATE_FORMATS) + 1
+    known = {s for f in exprs.DEFAULT_DATE_FORMATS for s in exprs.layout_shapes(f)}
+    shapes = {r[0] for r in df.filter("v LIKE '%2024%'").select(exprs.text_shape(F.col("v"))).collect()}
+    assert len(shapes & known) > 20
+
+
 def write_csv(path, text):
     os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, "part-0.csv"), "w") as f:

@@ -21,7 +21,7 @@ from tidemark.operators import batches, clean, drift, eda, features, model_table
 from tidemark.plans import jobs
 from tidemark.plans.positions import global_positions
 from tidemark.session import materialize, scratch_path
-from tidemark.sources import csv_source
+from tidemark.sources import csv_source, documents
 from tidemark.sources import store as store_mod
 from tidemark.sources.tables import read_table, transactions
 from tidemark.streaming import csv_stream, micro, scoring, update
@@ -672,6 +672,23 @@ def q_drift_history(spark, sf_dir):
     return st.history("drift")
 
 
+def q_quality_documents(spark, sf_dir):
+    """S7/S8 nested: quality documents written as JSON and read back, with a row for each column of their map."""
+    raw, path = batched(spark, sf_dir), scratch_path(spark, "quality-documents")
+    documents.write_documents(documents.quality_documents(profile.quality_report(raw, C), profile.missing_per_column(raw, C), C), path)
+    back = documents.read_documents(spark, path, documents.QUALITY)
+    return back.select(C.batch, "n_rows", "missing.pct_total", F.explode("missing.per_column").alias("column_name", "missing_count"),
+                       "duplicates.count", "target.rate", "amount.std", "checks.missing_ok", "passed")
+
+
+def q_rule_documents(spark, sf_dir):
+    """S7/S8 nested: each batch's best rules as one document, written, read back and taken apart."""
+    path = scratch_path(spark, "rule-documents")
+    documents.write_documents(documents.rule_documents(rules.top_rules(mined_rules(spark, sf_dir), rules.RuleParams().n_rules, C), C), path)
+    back = documents.read_documents(spark, path, documents.RULES).select(C.batch, F.posexplode("rules").alias("rank", "r"))
+    return rules.as_text(back.select(C.batch, (F.col("rank") + 1).alias("rank"), "r.*"), None)
+
+
 def q_update_reports(spark, sf_dir):
     """J1's report step over all batches; returns the stored category counts."""
     st = store_mod.BatchStore(spark, scratch_path(spark, "store"))
@@ -753,6 +770,8 @@ QUERIES.update({
     "csv_source": q_csv_source,
     "quality_history": q_quality_history,
     "drift_history": q_drift_history,
+    "quality_documents": q_quality_documents,
+    "rule_documents": q_rule_documents,
     "update_reports": q_update_reports,
     "features_reloaded": q_features_reloaded,
     "registered_model": q_registered_model,

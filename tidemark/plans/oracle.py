@@ -629,3 +629,8 @@ Q["stream_csv_source"] = f"""WITH {BASE_SQL},
 transactions AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE Transaction_ID % 50 = 7)
 SELECT * FROM transactions"""
 Q["stream_inference"] = f"""SELECT t.*, {catalog.SLICES} AS n_calls, CAST(count(*) OVER () AS BIGINT) AS n_rows FROM ({Q["table_inference"]}) t"""
+
+Q["quality_documents"] = f"""SELECT q.batch_index, q.n_rows, q.missing_pct_total AS pct_total, m.column_name, m.missing_count,
+  q.duplicates_count AS count, q.fraud_rate AS rate, q.amount_std AS std, q.missing_ok, q.passed
+FROM ({Q["quality_report"]}) q JOIN ({Q["missing_per_column"]}) m ON m.batch_index = q.batch_index"""
+Q["rule_documents"] = Q["top_rules"]
