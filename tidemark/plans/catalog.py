@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 
 from tidemark.columns import DEFAULT_COLUMNS as C
 from tidemark.columns import Columns, data_columns
-from tidemark.operators import batches, clean, drift, eda, features, model_tables, profile, rules, serve, train, validate
+from tidemark.operators import batches, clean, drift, eda, features, model_tables, profile, rules, serve, sketches, train, validate
 from tidemark.plans import jobs
-from tidemark.plans.positions import global_positions
+from tidemark.plans.positions import global_positions, group_quantiles
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import csv_source, documents
 from tidemark.sources import store as store_mod
@@ -745,7 +745,36 @@ def q_event_drift(spark, sf_dir):
     return drift.drift_deltas(feats, ref, drift.DEFAULT_THRESHOLD, first, EVENT_COLS)
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def q_event_quantiles(spark, sf_dir):
+    """E2/C3/P2 on groups of any size: exact quartiles of every day by positions in the range-partitioned order."""
+    found = group_quantiles(events_by_day(spark, sf_dir), [C.batch], "value", QUARTILES)
+    return found.select(C.batch, "prob", F.round("quantile", 4).alias("quantile"))
+
+
+def q_event_quantile_sketches(spark, sf_dir):
+    """The same by mergeable sketches, a stored one for each day and their merge for the whole history: whether
+    each estimate's place among its rows is within the sketches' error."""
+    st = store_mod.BatchStore(spark, scratch_path(spark, "sketches"))
+    ev = events_by_day(spark, sf_dir).select(C.batch, F.col("value").cast("double").alias("value")).filter("value IS NOT NULL")
+    st.write("sketches", sketches.quantile_sketches(ev, [C.batch], ["value"]))
+    daily = st.read("sketches")
+    every = sketches.merged(daily, []).withColumn(C.batch, F.lit(-1))
+    estimates = sketches.quantiles(daily.unionByName(every), [C.batch], QUARTILES)
+    # one row for each day, prob and, under -1, the history: joined by size
+    rows = ev.unionByName(ev.withColumn(C.batch, F.lit(-1))).join(estimates, C.batch)
+    place = rows.groupBy(C.batch, "column_name", "prob").agg(
+        F.count("*").alias("n"), F.count_if(F.col("value") < F.col("quantile")).alias("below"), F.count_if(F.col("value") <= F.col("quantile")).alias("up_to"))
+    slack = F.lit(sketches.RANK_ERROR) * F.col("n") + 1
+    near = (F.col("below") <= F.col("prob") * F.col("n") + slack) & (F.col("up_to") >= F.col("prob") * F.col("n") - slack)
+    return place.select(C.batch, "column_name", "prob", "n", near.alias("near"))
+
+
 QUERIES.update({
+    "event_quantiles": q_event_quantiles,
+    "event_quantile_sketches": q_event_quantile_sketches,
     "class_weights": q_class_weights,
     "rf_scores": q_rf_scores,
     "rf_ensemble_scores": q_rf_ensemble_scores,

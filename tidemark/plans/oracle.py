@@ -634,3 +634,11 @@ Q["quality_documents"] = f"""SELECT q.batch_index, q.n_rows, q.missing_pct_total
   q.duplicates_count AS count, q.fraud_rate AS rate, q.amount_std AS std, q.missing_ok, q.passed
 FROM ({Q["quality_report"]}) q JOIN ({Q["missing_per_column"]}) m ON m.batch_index = q.batch_index"""
 Q["rule_documents"] = Q["top_rules"]
+
+_PROBS = "(SELECT unnest([0.25, 0.5, 0.75])::DOUBLE AS prob)"
+Q["event_quantiles"] = f"""{EV},
+q AS (SELECT batch_index, quantile_cont(value, [0.25, 0.5, 0.75]) AS q FROM ev WHERE value IS NOT NULL GROUP BY batch_index)
+SELECT batch_index, unnest([0.25, 0.5, 0.75])::DOUBLE AS prob, round(unnest(q), 4) AS quantile FROM q"""
+Q["event_quantile_sketches"] = f"""{EV},
+n AS (SELECT batch_index, count(value) AS n FROM ev GROUP BY batch_index HAVING count(value) > 0 UNION ALL SELECT -1, count(value) FROM ev)
+SELECT batch_index, 'value' AS column_name, prob, n, true AS near FROM n, {_PROBS}"""

@@ -121,3 +121,27 @@ def group_medians(
     hi = F.ceil((F.col("__n") - 1) / 2)
     mid = ranked.filter((F.col("__r") == lo) | (F.col("__r") == hi))
     return mid.groupBy(*groups).agg(F.avg("__v").alias(out_col))
+
+
+def group_quantiles(
+    df: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Exact (interpolated) quantiles of ``value`` per group as rows ``(groups..., prob, quantile)``, skew-proof.
+
+    The general form of ``group_medians``: rows are numbered inside their group by the
+    range-partitioned order, and only the one or two rows around each quantile's place are kept."""
+    rows = df.select(*groups, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    ranked = positions_within_groups(rows, groups, [F.col("__v").asc()], "__r", "__n", num_partitions)
+    places = []
+    for p in probs:
+        at = F.lit(float(p)) * (F.col("__n") - 1)
+        low, share = F.floor(at), at - F.floor(at)
+        weight = F.when(F.col("__r") == low, F.lit(1.0) - share).when(F.col("__r") == low + 1, share)
+        places.append(F.struct(F.lit(float(p)).alias("prob"), weight.alias("__w")))
+    near = ranked.select(*groups, "__v", F.inline(F.array(*places))).filter(F.col("__w") > 0)
+    low, high = F.min("__v"), F.max("__v")
+    return near.groupBy(*groups, "prob").agg((low + (high - low) * F.coalesce(F.max_by("__w", "__v") * F.when(F.count("*") > 1, 1.0), F.lit(0.0))).alias("quantile"))
