@@ -42,6 +42,14 @@ def test_window_over_all_rows_is_exact_with_ties_and_odd_vectors(spark):
     assert all(g[3] == w[3] for g, w in zip(got, want))
 
 
+def test_each_length_is_searched_among_its_own(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.integers(-5, 6, 3 if i % 3 == 0 else 4).astype(float).tolist()) for i in range(301)]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in H.neighbours_of_every(frame(spark, rows), 100, 10, 10**6).collect())
+    want = sorted(brute([r for r in rows if len(r[1]) == 3], (0, 300), 10) + brute([r for r in rows if len(r[1]) == 4], (100, 200), 10))
+    assert got == want and len(got) == 40
+
+
 def test_fewer_rows_than_asked_and_empty_table(spark):
     rows = [(0, [1.0, 0.0]), (100, [0.0, 1.0]), (101, [1.0, 1.0])]
     got = sorted((r.query_id, r["rank"], r.vec_id) for r in H.neighbours_of_every(frame(spark, rows)).collect())

@@ -19,8 +19,8 @@ need more of them), chosen by a group limit before the shuffle, so copies
 neither crowd a window nor meet in one task.
 
 Defined results: vectors that are null, empty, zero or hold a null or
-non-finite component take no part, nor do vectors whose length isn't the most
-common one; ties go to the smaller id; rows that repeat an id count once; with
+non-finite component take no part; vectors of different length have no
+distance, so each length is searched among its own; ties go to the smaller id; rows that repeat an id count once; with
 fewer than ``k`` candidates all found are returned; other columns aren't read.
 """
 
@@ -81,15 +81,13 @@ def curves(dim: int, n: int = CURVES, dims: int = DIMS, seed: int = 7) -> list[t
 
 
 def valid_vectors(df: DataFrame) -> DataFrame:
-    """``vec_id, vec`` (doubles) of the rows that take part."""
+    """``vec_id, vec`` (doubles), ``len`` of the rows that take part."""
     v = F.col("embedding")
     vec = v.cast("array<double>")
     good = vec.isNotNull() & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vec, lambda x: x != 0)
     rows = df.filter(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec")).filter(good)
     # -0.0 and 0.0 are the same component
-    rows = rows.withColumn("vec", F.transform("vec", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))).withColumn("len", F.size("vec"))
-    usual = rows.groupBy("len").count().orderBy(F.desc("count"), "len").first()
-    return rows.filter(F.col("len") == (usual[0] if usual else 0)).drop("len")
+    return rows.withColumn("vec", F.transform("vec", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))).withColumn("len", F.size("vec"))
 
 
 def items_of(vectors: DataFrame, k: int) -> DataFrame:
@@ -199,16 +197,26 @@ def fit_window(items: DataFrame, ranks: DataFrame, queries: DataFrame, k: int) -
 def search(df: DataFrame, queries: DataFrame, k: int = K, window: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the nearest ``k`` rows found of ``df(vec_id, embedding)`` for each id in ``queries(vec_id)``."""
     vectors = valid_vectors(df)
-    items = written(items_of(vectors, k), "items")
     asked = queries.select(F.col("vec_id").cast("long").alias("query_id")).distinct()
+    own = vectors.join(asked, vectors["vec_id"] == asked["query_id"], "left_semi")
+    lengths = [r[0] for r in own.select("len").distinct().orderBy("len").collect()]  # a few in one table
+    found = [_search(vectors.filter(F.col("len") == n).drop("len"), asked, n, k, window) for n in lengths]
+    if not found:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out if len(found) == 1 else _best(out.drop("rank"), k)  # an id may have vectors of several lengths
+
+
+def _search(vectors: DataFrame, asked: DataFrame, length: int, k: int, window: int | None) -> DataFrame:
+    """The search among vectors of one length."""
+    items = written(items_of(vectors, k), "items")
     # the item of each query, also of one that isn't among the smallest ids of its copies
     keys = items.select("id", F.xxhash64("vec").alias("h"), F.xxhash64(F.lit(3), "vec").alias("g"))
     own = vectors.join(asked, vectors["vec_id"] == asked["query_id"], "left_semi").select(F.col("vec_id").alias("query_id"), F.xxhash64("vec").alias("h"), F.xxhash64(F.lit(3), "vec").alias("g")).distinct()
     wanted = written(own.join(keys, ["h", "g"]).select("query_id", "id"), "queries")
-    first = items.first()
-    if first is None:
-        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lines = curves(len(first["vec"]))
+    lines = curves(length)
     ranks = written(curve_ranks(items, lines), "ranks")
     reach = window or fit_window(items, ranks, wanted, k)
     return _ranked(_window_pairs(items, ranks, wanted, k, reach), items, wanted, k)
@@ -252,9 +260,14 @@ def _ranked(found: DataFrame, items: DataFrame, wanted: DataFrame, k: int) -> Da
     """Expand items to their members and keep each query's nearest ``k`` rows, its own row left out."""
     near = wanted.join(found, wanted["id"] == found["q"]).select("query_id", found["id"].alias("id"), "d")
     rows = near.join(items.select("id", F.explode("members").alias("vec_id")), "id").filter("vec_id <> query_id")
-    best = Window.partitionBy("query_id").orderBy("d", "vec_id")
+    return _best(rows.select("query_id", "vec_id", F.col("d").alias("score")), k)
+
+
+def _best(rows: DataFrame, k: int) -> DataFrame:
+    """Each query's first ``k`` of ``rows(query_id, vec_id, score)``."""
+    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     out = rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("d").alias("score"))
+    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def neighbours_of_every(df: DataFrame, every: int = EVERY, k: int = K, window: int | None = None) -> DataFrame:

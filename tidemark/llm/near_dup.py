@@ -39,6 +39,7 @@ from tidemark.llm.words import U, mix, sequence_key, shingles, word_hashes
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
+MOST_KEYS = 1 << 22  # keys of needed texts that are sent to all executors: 32 MB
 _STEP, _SALT = U(0x9E3779B97F4A7C15), U(0xD1B54A32D192ED03)
 
 
@@ -105,9 +106,16 @@ def signatures(df: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
 
 
 def texts_by_key(df: DataFrame, need: DataFrame) -> DataFrame:
-    """``(id, text)`` for ``need(id, text_key)``: one text for each key; copies are dropped before the shuffle."""
+    """``(id, text)`` for ``need(id, text_key)``: one text for each key.
+
+    Texts that nobody needs leave before any shuffle: up to ``MOST_KEYS`` keys are sent to all
+    executors, more are joined by size. Copies are dropped before the shuffle, too."""
+    need = written(need.select("id", "text_key"), "needed")
+    keys = need.select("text_key")
+    keys = F.broadcast(keys) if need.count() <= MOST_KEYS else keys
     first = Window.partitionBy("text_key").orderBy("text_key")
-    one = df.select(text_key().alias("text_key"), "text").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
+    kept = df.select(text_key().alias("text_key"), "text").join(keys, "text_key", "left_semi")
+    one = kept.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
     return one.join(need, "text_key").select("id", "text")
 
 
