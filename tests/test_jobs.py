@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tidemark.operators import serve, train, validate
 from tidemark.plans import jobs
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources.store import BatchStore
 from tidemark.sources.tables import transactions
 
@@ -53,7 +53,7 @@ def test_update_in_several_runs_then_inference_and_summary(spark, monkeypatch):
 
 
 def test_a_corrected_old_row_is_unseen(spark):
-    rows = transactions(spark, SF_SMALL).limit(200).localCheckpoint()
+    rows = materialize(transactions(spark, SF_SMALL).limit(200), "some")
     old = rows.agg(F.min("Transaction_Date")).first()[0]
     one = F.col("Transaction_Date") == F.lit(old).cast(rows.schema["Transaction_Date"].dataType)
     fixed = rows.withColumn("Transaction_Amount", F.when(one, F.col("Transaction_Amount") + 1).otherwise(F.col("Transaction_Amount")))
