@@ -29,6 +29,12 @@ def test_constant_slots_go_and_copies_stay():
     assert H.extract_run([page(1)] * 30) == [want(1)] * 30
 
 
+def test_markup_of_any_depth():
+    deep = "<html><body><article><p>start</p>" + "<div>" * 10_000 + "<p>at the bottom</p>" + "</div>" * 10_000 + "<p>end</p></article></body></html>"
+    assert H.extract_run([deep, deep, page(1)])[:2] == ["start at the bottom end"] * 2
+    assert H.extract_run(["<div>" * 30_000 + "never closed"]) == ["never closed"]
+
+
 def test_broken_markup_and_no_markup():
     got = H.extract_run([None, "", "just text &lt; 5", "<p>a<p>b<b>c</p>d", "<div><div><article>x <i>y</i>z", "</p></div>q", "<a href='>' title=\"a>b\">l</a> r <br/>s", "<" * 50, "<script>never closed"])
     assert got[:3] == ["", "", "just text < 5"] and got[3] == "a bc d" and got[4] == "x yz" and got[8] == ""

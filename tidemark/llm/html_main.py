@@ -236,31 +236,45 @@ def induce(pages: list[Node]) -> Slot:
         page.slot = top
         place([page], seen[tree])
     for number, page in enumerate(pages):
-        _measure(page, False, number)
+        _measure(page, number)
     return top
 
 
-def _measure(node: Node, linked: bool, page: int) -> tuple[list, int, int]:
-    """Text below a node, and the characters outside and inside links; added to the node's slot."""
-    if node.tag in DROP_TAGS and node.tag not in ("nav", "footer", "aside", "form"):
-        return [], 0, 0
-    linked = linked or node.tag == "a"
-    texts, plain, link = [], 0, 0
-    for k in node.kids:
-        if isinstance(k, str):
-            t = k.strip()
-            if t:
-                texts.append(t)
-                plain, link = (plain, link + len(t)) if linked else (plain + len(t), link)
-        else:
-            t, p, x = _measure(k, linked, page)
-            texts, plain, link = texts + t, plain + p, link + x
-    if node.slot is not None:
-        s = node.slot
-        s.plain += plain
-        s.linked += link
-        s.texts[page] = hash((s.texts.get(page), tuple(texts)))
-    return texts, plain, link
+_MOD, _STEP = (1 << 61) - 1, 1_000_003
+
+
+def _measure(page_root: Node, page: int) -> None:
+    """Add to every node's slot the characters below it outside and inside links, and on this page a hash of the
+    sequence of its texts. Goes through the tree with a stack of its own, so any depth will do; the hash of a
+    sequence is made of those of its parts, so no node's texts are gone through twice."""
+    # node, inside a link, next child, hash and number of the texts so far, characters outside and inside links
+    stack: list[list] = [[page_root, page_root.tag == "a", 0, 0, 0, 0, 0]]
+    while stack:
+        top = stack[-1]
+        node = top[0]
+        if top[2] < len(node.kids):
+            k = node.kids[top[2]]
+            top[2] += 1
+            if isinstance(k, str):
+                t = k.strip()
+                if t:
+                    top[3], top[4] = (top[3] * _STEP + hash(t)) % _MOD, top[4] + 1
+                    top[6 if top[1] else 5] += len(t)
+            elif k.tag not in DROP_TAGS or k.tag in ("nav", "footer", "aside", "form"):
+                stack.append([k, top[1] or k.tag == "a", 0, 0, 0, 0, 0])
+            continue
+        stack.pop()
+        _, _, _, texts, n, plain, link = top
+        if node.slot is not None:
+            s = node.slot
+            s.plain += plain
+            s.linked += link
+            s.texts[page] = hash((s.texts.get(page), texts, n))
+        if stack:
+            above = stack[-1]
+            above[3], above[4] = (above[3] * pow(_STEP, n, _MOD) + texts) % _MOD, above[4] + n
+            above[5] += plain
+            above[6] += link
 
 
 def constant(slot: Slot) -> bool:
