@@ -17,6 +17,8 @@ FAST = [
     "describe_numeric", "top_categories", "correlation", "histogram", "drift_deltas", "drift_summary",
     "frequent_itemsets", "association_rules", "top_rules", "features_onehot_minmax", "roc_auc", "binary_metrics",
     "best_model", "cv_folds", "event_profile", "event_drift", "csv_source", "target_rules", "update_reports",
+    "forest_table_scores", "mlp_table_scores", "table_itemsets", "features_onehot_sparse", "event_quantiles", "event_quantile_sketches",
+    "quality_documents",
 ]
 BATCH = 400  # four batches of the smallest table
 
