@@ -1,5 +1,6 @@
 import math
 import random
+import time
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -107,3 +108,21 @@ def test_mlp_table_by_hand(spark):
         z0, z1 = math.exp(1.5 * h0), math.exp(-h1 + 0.25)
         assert got[i] == pytest.approx(z1 / (z0 + z1))
     assert df.filter(F.lit(True)).count() == 2
+
+
+def test_mlp_table_of_many_layers(spark):
+    """Each unit is worked out once a row: worked out again at every use, eight layers of six units take 6^8 steps."""
+    rnd = random.Random(5)
+    w = [(layer, j, i, rnd.gauss(0, 1)) for layer in range(8) for j in range(6) for i in range(-1, 3 if layer == 0 else 6)]
+    rows, df = table(spark, 40, 3)
+    start = time.time()
+    got = {r.id: r.probability for r in mt.mlp_probabilities(df, spark.createDataFrame(w, mt.WEIGHTS), COLS).collect()}
+    assert time.time() - start < 60
+    for i, *x in rows[:-1]:
+        x = [v or 0.0 for v in x]
+        for layer in range(8):
+            at = {(j, k): v for n, j, k, v in w if n == layer}
+            net = [at[j, -1] + sum(at[j, k] * v for k, v in enumerate(x)) for j in range(6)]
+            x = net if layer == 7 else [1 / (1 + math.exp(-v)) for v in net]
+        e = [math.exp(v - max(x)) for v in x]
+        assert got[i] == pytest.approx([v / sum(e) for v in e])
