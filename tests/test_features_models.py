@@ -159,3 +159,39 @@ def test_a_hundred_thousand_categories_prepare_and_score(spark):
     x = x.withColumnRenamed("features", "x")
     st.fit(x.limit(200))
     assert all(st.predict_proba(x, m).filter("p1 is null").count() == 0 for m in ("rf", "mlp"))
+
+
+def test_walked_forest_equals_mllib_for_all_and_for_the_first_trees(spark):
+    """The merged forest's arrays give MLlib's doubles; ``upto`` gives those of an earlier version, so one job scores every version's holdout."""
+    import random
+
+    from pyspark.ml.functions import vector_to_array
+
+    from tidemark.operators import train, validate
+    from tidemark.plans import jobs
+    from tidemark.session import scratch_path
+
+    rnd = random.Random(3)
+    num = lambda: rnd.choice([None, float("nan"), rnd.gauss(0, 1)]) if rnd.random() < 0.1 else rnd.gauss(0, 1)
+    rows = [(i // 100, i, num(), num(), float(rnd.random() < 0.4)) for i in range(300)]
+    df = spark.createDataFrame(rows, "batch_index int, row_idx long, a double, b double, label double").persist()
+    fill = df.fillna(0.0)  # the network takes no missing values
+    params = train.TrainParams(rf_trees=6, rf_new_trees=3, rf_depth=4, mlp_layers=(3,))
+    versions = train.ModelState(["a", "b"], params).extended([fill.filter(F.col("batch_index") == b) for b in range(3)])
+    order = train.ModelState(["a", "b"], params)
+    for b, v in enumerate(versions):
+        order.fit(fill.filter(F.col("batch_index") == b))
+        assert v.mlp.weights == order.mlp.weights and v.batch_count == b + 1 and len(v.forest) == b + 1
+        merged = train.merged_forest([m for m, _ in order.forest])
+        want = merged.transform(train.assemble(df, ["a", "b"])).select("row_idx", vector_to_array("probability")[1])
+        got = versions[-1].predict_proba(df, "rf", upto=F.lit(6 + 3 * b)).select("row_idx", "p1")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    one, every = scratch_path(spark, "one"), scratch_path(spark, "every")
+    for b, v in enumerate(versions):
+        hold = validate.holdout(fill.filter(F.col("batch_index") == b)).filter("is_holdout")
+        jobs.score_holdout(v, hold, one, b, C)
+    for _ in range(2):  # a rerun replaces
+        jobs.score_holdouts(versions, [0, 1, 2], fill, every, validate.DEFAULT_VAL_SIZE, C)
+    x = spark.read.parquet(one)
+    y = spark.read.parquet(every).select(*x.columns)
+    assert x.schema == y.schema and x.count() == y.count() == 120 and x.exceptAll(y).isEmpty()
