@@ -24,8 +24,9 @@ from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     RandomForestClassificationModel,
@@ -71,6 +72,27 @@ def assemble(df: DataFrame, feature_cols: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep").transform(df)
 
 
+class Forest(RandomForestClassificationModel):
+    """MLlib's forest. PySpark looks for a model's parameters in all its attributes but properties; ``trees`` is none
+    there, so each fit, copy and load would wrap every tree in Python."""
+
+    @property
+    def trees(self) -> list[DecisionTreeClassificationModel]:
+        return [DecisionTreeClassificationModel(m) for m in self._call_java("trees")]
+
+    @classmethod
+    def load(cls, path: str) -> "Forest":
+        package = SparkContext.getOrCreate()._jvm.org.apache.spark.ml.classification  # a thread may have no active session
+        model = cls(package.RandomForestClassificationModel.load(path))
+        model._transfer_params_from_java()
+        return model
+
+
+class ForestClassifier(RandomForestClassifier):
+    def _create_model(self, java_model) -> Forest:
+        return Forest(java_model)
+
+
 def merged_forest(members: list[RandomForestClassificationModel]) -> RandomForestClassificationModel:
     """One model of all trees of the members."""
     if len(members) == 1:
@@ -83,7 +105,7 @@ def merged_forest(members: list[RandomForestClassificationModel]) -> RandomFores
     for i, part in enumerate(parts):  # one call for each member, not for each tree
         sc._jvm.java.lang.System.arraycopy(part, 0, array, sum(sizes[:i]), sizes[i])
     uid = f"{members[0].uid}_{sum(sizes)}"
-    return RandomForestClassificationModel(package.RandomForestClassificationModel(uid, array, members[0].numFeatures, members[0].numClasses))
+    return Forest(package.RandomForestClassificationModel(uid, array, members[0].numFeatures, members[0].numClasses))
 
 
 @dataclass
@@ -186,7 +208,7 @@ class ModelState:
             data.unpersist()
 
     def _grown(self, data: DataFrame, number: int) -> RandomForestClassificationModel:
-        return RandomForestClassifier(
+        return ForestClassifier(
             numTrees=self.params.rf_new_trees if number else self.params.rf_trees, maxDepth=self.params.rf_depth, weightCol="__w",
             seed=self.params.seed + number, labelCol="label", featuresCol="features",
         ).fit(data)
@@ -361,7 +383,7 @@ class ModelState:
         st.weights = {float(k): v for k, v in man["weights"].items()}
         st.member_paths = list(man["member_paths"])
         with ThreadPoolExecutor(8) as pool:
-            members = list(pool.map(inheritable_thread_target(RandomForestClassificationModel.load), st.member_paths))
+            members = list(pool.map(inheritable_thread_target(Forest.load), st.member_paths))
         st.forest = list(zip(members, man["forest_trees"], strict=True))
         st.mlp = MultilayerPerceptronClassificationModel.load(f"{man['folder']}/mlp") if man["has_mlp"] else None
         st.batch_count = man["batch_count"]
