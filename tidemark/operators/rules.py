@@ -7,6 +7,9 @@ share their first k - 2 items, and its rows are the AND of theirs: nothing is
 counted that is not made of frequent parts, baskets are read once, and there is
 no limit on the width of a basket.
 
+Spark groups the rows by batch; a task takes one batch after another and does the
+bit and look-up steps on all itemsets of a level at once in Arrow and numpy.
+
 Supports, confidence and lift use the same float formulas as the common
 Python implementation (support = count / n, confidence = s(AC) / s(A),
 lift = confidence / s(C)), so threshold tests agree bit for bit.
@@ -16,6 +19,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,66 +77,70 @@ def baskets(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, bounded: bool = True
     return base.select(cols.batch, cols.row, F.array_sort(F.array_compact(F.array(*items))).alias("items"))
 
 
-def _subsets(items: str, proper: bool) -> Column:
-    """All non-empty (proper) subsets of the sorted array column ``items``.
+def _coded(lists: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """``(names, codes, sizes)`` of an array of lists: the distinct items in order, each item's place among them, each list's length."""
+    found = lists.flatten().dictionary_encode()
+    names = found.dictionary.to_pylist()
+    order = sorted(range(len(names)), key=names.__getitem__)
+    code = np.empty(len(names), np.int64)
+    code[order] = np.arange(len(names))
+    return pa.array([names[i] for i in order], pa.string()), code[found.indices.to_numpy(zero_copy_only=False)], lists.value_lengths().fill_null(0).to_numpy()
+
 
-    Subset m (1 <= m < 2**size) keeps the elements whose bit is set in m."""
-    top = f"(shiftleft(1, size({items})) - {2 if proper else 1})"
-    return F.expr(
-        f"transform(IF({top} >= 1, sequence(1, {top}), array()), "
-        f"m -> filter({items}, (x, i) -> (shiftright(m, i) & 1) = 1))"
-    )
+def _lists(names: pa.Array, codes: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Lists of names of the sizes given, their codes one after the other."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), names.take(pa.array(codes)))
 
 
-def _row_bits(bk: DataFrame, stat: DataFrame, cols: Columns) -> DataFrame:
-    """(batch, item, rows): the rows of every item as a bit array over its batch's rows."""
-    at = F.col(cols.row) - F.col("__first")
-    single = bk.join(stat, cols.batch).select(cols.batch, at.alias("__at"), F.explode("items").alias("item"))
-    words = single.groupBy(cols.batch, "item", F.floor(F.col("__at") / 64).cast("int").alias("__word")).agg(
-        F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), CAST(__at % 64 AS INT))")).alias("__bits")
-    )
-    # every item has every word of its batch, so that arrays line up
-    zero = words.select(cols.batch, "item").distinct().join(stat, cols.batch).select(
-        cols.batch, "item", F.explode(F.sequence(F.lit(0), F.floor((F.col("__last") - F.col("__first")) / 64).cast("int"))).alias("__word"),
-        F.lit(0).cast("long").alias("__bits"),
-    )
-    whole = words.unionByName(zero).groupBy(cols.batch, "item", "__word").agg(F.bit_or("__bits").alias("__bits"))
-    lists = whole.groupBy(cols.batch, "item").agg(F.array_sort(F.collect_list(F.struct("__word", "__bits"))).alias("__list"))
-    return lists.select(cols.batch, "item", F.transform("__list", lambda x: x["__bits"]).alias("rows"))
+#: Words of 64 rows that are ANDed at a time: 64 MB.
+_CHUNK_WORDS = 1 << 23
+#: Ways to split an itemset, and splits in all, that are looked up at a time.
+_SPLITS, _CHUNK_SPLITS = 1 << 12, 1 << 18
 
 
 def frequent_itemsets(bk: DataFrame, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
     """A4: (batch_index, itemset, count, support) with support >= min_support, mined level by level.
 
-    Each level is a small written table; the loop ends with the first empty one."""
-    stat = materialize(bk.groupBy(cols.batch).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(cols.row).alias("__first"), F.max(cols.row).alias("__last")), "baskets")
-    total = stat.select(cols.batch, "__n")
-
-    def frequent(df: DataFrame) -> DataFrame:
-        count = F.aggregate("rows", F.lit(0).cast("long"), lambda acc, x: acc + F.bit_count(x).cast("long"))
-        counted = df.withColumn("count", count).join(total, cols.batch)
-        counted = counted.withColumn("support", F.col("count") / F.col("__n")).filter(F.col("support") >= F.lit(params.min_support))
-        return materialize(counted.select(cols.batch, "itemset", "rows", "count", "support"), "itemsets")
-
-    single = _row_bits(bk, stat, cols)
-    level = frequent(single.select(cols.batch, F.array("item").alias("itemset"), "rows"))
-    out = [level]
-    while True:
-        head = F.slice("itemset", F.lit(1), F.size("itemset") - 1)
-        left = level.select(cols.batch, head.alias("__head"), F.element_at("itemset", -1).alias("__x"), F.col("rows").alias("__rx"))
-        right = level.select(cols.batch, head.alias("__head"), F.element_at("itemset", -1).alias("__y"), F.col("rows").alias("__ry"))
-        both = left.join(right, [cols.batch, "__head"]).filter(F.col("__x") < F.col("__y"))
-        rows = F.zip_with("__rx", "__ry", lambda x, y: x.bitwiseAND(y))
-        level = frequent(both.select(cols.batch, F.concat("__head", F.array("__x", "__y")).alias("itemset"), rows.alias("rows")))
-        if level.isEmpty():
-            discard(level)
-            break
-        out.append(level)
-    found = out[0]
-    for more in out[1:]:  # as many as the largest itemset has items
-        found = found.unionByName(more)
-    return found.select(cols.batch, "itemset", "count", "support")
+    Each batch is one group: at most batch_size rows. ``frequent_itemsets_blocked`` takes batches of any size."""
+    least = params.min_support
+
+    def mine(key: tuple, table: pa.Table) -> pa.Table:
+        names, codes, sizes = _coded(table["items"].combine_chunks())
+        _, at = np.unique(table["row"].to_numpy(), return_inverse=True)
+        has = np.zeros((len(names), -(-(at.max() + 1) // 64) * 64), bool)
+        has[codes, np.repeat(at, sizes)] = True
+        bits = np.packbits(has, axis=1).view(np.uint64)
+
+        def frequent(sets: np.ndarray, bits: np.ndarray) -> tuple:
+            count = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+            keep = count / table.num_rows >= least
+            return sets[keep], bits[keep], count[keep]
+
+        out = []
+        sets, bits, count = frequent(np.arange(len(names))[:, None], bits)
+        while len(sets):
+            n, k = sets.shape
+            one = pa.array(np.full(n, key[0].as_py()), schema.types[0])
+            out.append(pa.Table.from_arrays([one, _lists(names, sets.ravel(), np.full(n, k)), pa.array(count), pa.array(count / table.num_rows)], [cols.batch, "itemset", "count", "support"]))
+            # the sets are in order: those that share a head follow one another, and each joins those after it
+            first = np.concatenate([[True], (sets[1:, :-1] != sets[:-1, :-1]).any(axis=1)])
+            end = np.append(np.flatnonzero(first), n)[np.cumsum(first)]
+            after = end - np.arange(n) - 1
+            upto = np.cumsum(after)
+            parts, lo = [], 0
+            while lo < n:
+                hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] - after[lo] + _CHUNK_WORDS // bits.shape[1], "right")))
+                left = np.repeat(np.arange(lo, hi), after[lo:hi])
+                right = left + 1 + np.arange(len(left)) - np.repeat(upto[lo:hi] - after[lo:hi] - (upto[lo] - after[lo]), after[lo:hi])
+                parts.append(frequent(np.column_stack([sets[left], sets[right, -1]]), bits[left] & bits[right]))
+                lo = hi
+            sets, bits, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pa.concat_tables(out) if out else schema.empty_table()
+
+    kind = bk.schema[cols.batch].dataType.simpleString()
+    schema = pa.schema([(cols.batch, pa.int64() if kind == "bigint" else pa.int32()), ("itemset", pa.list_(pa.string())), ("count", pa.int64()), ("support", pa.float64())])
+    rows = bk.filter(F.col(cols.batch).isNotNull()).select(F.col(cols.batch).alias("batch"), F.col(cols.row).alias("row"), "items")
+    return rows.groupBy("batch").applyInArrow(mine, f"`{cols.batch}` {kind}, itemset array<string>, count long, support double")
 
 
 #: Rows in a block of ``frequent_itemsets_blocked``: 512 words of 64 rows, 4 KB.
@@ -201,25 +210,57 @@ def frequent_itemsets_fpgrowth(bk: DataFrame, batch_index: int, params: RulePara
     ).filter(F.col("support") >= F.lit(params.min_support))
 
 
-def association_rules(itemsets: DataFrame, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
+def association_rules(itemsets: DataFrame, params: RuleParams = RuleParams(), cols: Columns = DEFAULT_COLUMNS, holding: str | None = None) -> DataFrame:
     """Every split of every itemset of size >= 2 into antecedent and
-    consequent (both non-empty), confidence >= min_confidence, lift >= min_lift."""
-    big = itemsets.filter(F.size("itemset") >= 2)
-    ante_side = big.select(
-        cols.batch, F.col("itemset").alias("__set"), F.col("support").alias("support"),
-        F.explode(_subsets("itemset", proper=True)).alias("antecedents"),
-    ).withColumn("consequents", F.array_except("__set", "antecedents"))
-    sup = itemsets.select(cols.batch, "itemset", "support")
-    a = sup.select(cols.batch, F.col("itemset").alias("antecedents"), F.col("support").alias("__sa"))
-    c = sup.select(cols.batch, F.col("itemset").alias("consequents"), F.col("support").alias("__sc"))
-    j = ante_side.join(a, [cols.batch, "antecedents"]).join(c, [cols.batch, "consequents"])
-    conf = F.col("support") / F.col("__sa")
-    rules = j.select(
-        cols.batch, F.array_sort("antecedents").alias("antecedents"), F.array_sort("consequents").alias("consequents"),
-        F.col("__sa").alias("antecedent_support"), F.col("__sc").alias("consequent_support"), "support",
-        conf.alias("confidence"), (conf / F.col("__sc")).alias("lift"),
-    )
-    return rules.filter((F.col("confidence") >= params.min_confidence) & (F.col("lift") >= params.min_lift))
+    consequent (both non-empty), confidence >= min_confidence, lift >= min_lift.
+
+    ``holding``: only the rules whose consequent holds this item. An itemset is a number with one bit for each item of
+    its batch, so a part is found among the batch's itemsets by number."""
+    min_confidence, min_lift = params.min_confidence, params.min_lift
+
+    def split(key: tuple, table: pa.Table) -> pa.Table:
+        names, codes, sizes = _coded(table["itemset"].combine_chunks())
+        support, start = table["support"].to_numpy(), np.cumsum(sizes) - sizes
+        bit = np.array([1 << i for i in range(len(names))], np.int64 if len(names) < 63 else object)  # of any number of items
+        number = np.bitwise_or.reduceat(bit[codes], start)
+        order = np.argsort(number)
+        known, known_support = number[order], support[order]
+
+        def supports(part: np.ndarray) -> np.ndarray:
+            at = np.minimum(np.searchsorted(known, part), len(known) - 1)
+            return np.where((known[at] == part).astype(bool), known_support[at], np.nan)
+
+        wanted = number.copy()
+        if holding is not None:
+            wanted = number & (1 << names.to_pylist().index(holding) if holding in names.to_pylist() else 0)
+        out = []
+        for k in np.unique(sizes[sizes > 1]).tolist():
+            here, most = np.flatnonzero((sizes == k) & (wanted != 0).astype(bool)), (1 << k) - 1
+            for first in range(1, most, _SPLITS) if len(here) else ():
+                masks = np.arange(first, min(first + _SPLITS, most))
+                chosen = (masks[:, None] >> np.arange(k) & 1).astype(bool)
+                step = max(1, _CHUNK_SPLITS // len(masks))
+                for some in (here[i:i + step] for i in range(0, len(here), step)):
+                    items = np.sort(codes[start[some][:, None] + np.arange(k)], axis=1)
+                    parts = bit[items] @ chosen.T.astype(bit.dtype)  # sums of different bits
+                    at, by = np.nonzero(((wanted[some][:, None] & ~parts) != 0).astype(bool))
+                    ante, s = parts[at, by], support[some[at]]
+                    sa = supports(ante)
+                    sure = s / sa >= min_confidence
+                    at, by, ante, s, sa = at[sure], by[sure], ante[sure], s[sure], sa[sure]
+                    sc = supports(number[some[at]] ^ ante)
+                    lifts = s / sa / sc >= min_lift
+                    at, by, s, sa, sc = at[lifts], by[lifts], s[lifts], sa[lifts], sc[lifts]
+                    one = pa.array(np.full(len(at), key[0].as_py()), schema.types[0])
+                    texts = [_lists(names, items[at][x], x.sum(axis=1)) for x in (chosen[by], ~chosen[by])]
+                    out.append(pa.Table.from_arrays([one, *texts, *map(pa.array, (sa, sc, s, s / sa, s / sa / sc))], schema.names))
+        return pa.concat_tables(out) if out else schema.empty_table()
+
+    kind = itemsets.schema[cols.batch].dataType.simpleString()
+    lists, numbers = ("antecedents", "consequents"), ("antecedent_support", "consequent_support", "support", "confidence", "lift")
+    schema = pa.schema([(cols.batch, pa.int64() if kind == "bigint" else pa.int32()), *[(c, pa.list_(pa.string())) for c in lists], *[(c, pa.float64()) for c in numbers]])
+    rows = itemsets.filter(F.col(cols.batch).isNotNull()).select(F.col(cols.batch).alias("batch"), "itemset", "support")
+    return rows.groupBy("batch").applyInArrow(split, f"`{cols.batch}` {kind}, " + ", ".join([f"{c} array<string>" for c in lists] + [f"{c} double" for c in numbers]))
 
 
 def _rank_order():
