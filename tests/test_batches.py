@@ -84,3 +84,28 @@ def test_store_rewrite_replaces_only_its_batches(spark):
     rows = sorted((r["batch_index"], r["i"], r["tag"]) for r in got.collect())
     exp = sorted([(b, i, "v1") for b in (0, 2, 3, 4) for i in range(3)] + [(1, 0, "v2"), (5, 0, "v2")])
     assert rows == exp
+
+
+def test_rows_of_one_group_stay_spread(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import rules
+    from tidemark.plans.positions import positions_within_groups
+
+    df = spark.range(4000, numPartitions=8).select(F.lit(0).alias("batch_index"), F.col("id").alias("row_idx"), (F.col("id") % 90).cast("double").alias("Transaction_Amount"))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in zip(names, ("-1", "false"), strict=True):
+            spark.conf.set(name, value)
+        placed = positions_within_groups(df, ["batch_index"], [F.col("Transaction_Amount").asc()], "at", "n", 8)
+        bk = rules.baskets(df, bounded=False)
+        most = [max(r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect()) for d in (placed, bk)]
+        at = placed.agg(F.countDistinct("at"), F.min("at"), F.max("at"), F.min("n"), F.max("n")).first()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert max(most) < 3000  # all 4000 in one task when joined by group alone
+    assert tuple(at) == (4000, 0, 3999, 4000, 4000)
+    items = {r["items"][0]: r["n"] for r in bk.groupBy("items").agg(F.count("*").alias("n")).collect()}
+    assert sum(items.values()) == 4000 and set(items) == {"Amount_high", "Amount_low"}

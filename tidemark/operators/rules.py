@@ -67,7 +67,7 @@ def baskets(df: DataFrame, cols: Columns = DEFAULT_COLUMNS, bounded: bool = True
             meds = df.select(cols.batch).distinct()
             for i, (c, _, _) in enumerate(med_cols):
                 meds = meds.join(group_medians(df, [cols.batch], c, f"__med{i}"), cols.batch, "left")
-        base = df.join(meds, cols.batch)
+        base = df.join(meds if bounded else F.broadcast(meds), cols.batch)  # a row for each batch
         for i, (c, hi, lo) in enumerate(med_cols):
             m = F.col(f"__med{i}")
             items.append(F.when(F.col(c) > m, F.lit(hi)).when(F.col(c) <= m, F.lit(lo)))

@@ -38,11 +38,13 @@ def global_positions(
     out_col: str = "position",
     num_partitions: int | None = None,
     checkpoint: bool = True,
+    part_col: str | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = 0-based position of each row in ``order``.
 
     Ties in ``order`` are broken by an id unique per input row, so the range
-    split stays balanced whatever the key skew.
+    split stays balanced whatever the key skew. ``part_col``: also add the
+    number of the row's part of that split.
     """
     n = _num_partitions(df, num_partitions)
     keyed = df.withColumn(_UID, F.monotonically_increasing_id())
@@ -62,8 +64,9 @@ def global_positions(
     out = (
         ranged.join(F.broadcast(offsets), _PID)
         .withColumn(out_col, (F.col("__off") + F.col(_POS)).cast("long"))
-        .drop(_PID, _POS, _UID, "__off")
+        .drop(_POS, _UID, "__off")
     )
+    out = out.withColumnRenamed(_PID, part_col) if part_col else out.drop(_PID)
     out._tidemark_path = getattr(ranged, "_tidemark_path", None)
     return out
 
@@ -81,18 +84,21 @@ def positions_within_groups(
 
     A group's rows are contiguous in the global (groups, order) numbering, so
     the position inside a group is the global position minus the group's
-    first position (a per-group aggregate with map-side combine).
+    first position. That is joined by part of the range split and group: by group
+    alone, one task would read all rows of a group.
     """
     gorder = [F.col(g).asc_nulls_last() for g in groups] + list(order)
-    pos = global_positions(df, gorder, "__gpos", num_partitions, checkpoint)
-    agg = [F.min("__gpos").alias("__gstart")]
+    pos = global_positions(df, gorder, "__gpos", num_partitions, checkpoint, "__part")
+    held = pos.groupBy("__part", *groups).agg(F.min("__gpos").alias("__gmin"), F.count(F.lit(1)).alias("__gn"))
+    agg = [F.min("__gmin").alias("__gstart")]
     if size_col:
-        agg.append(F.count(F.lit(1)).alias(size_col))
-    starts = pos.groupBy(*groups).agg(*agg)
+        agg.append(F.sum("__gn").alias(size_col))
+    starts = held.groupBy(*groups).agg(*agg)
     starts = starts.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)],
                            *[c for c in starts.columns if c not in groups])
     cond = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(groups)]
-    joined = pos.join(starts, cond, "inner")
+    parts = held.select(F.col("__part").alias("__p"), *groups).join(starts, cond).drop(*groups)
+    joined = pos.join(parts, [F.col("__part") == F.col("__p"), *cond], "inner")
     out = joined.select(
         *[F.col(c) for c in df.columns],
         (F.col("__gpos") - F.col("__gstart")).alias(out_col),
